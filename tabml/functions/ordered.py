@@ -20,46 +20,35 @@ from pyspark.sql import types as T
 
 from tabml.session import bounded_rows
 
-BUCKETS = 4096
-_FAN = 16
+_CUTS = 256  # buckets between approximate quantiles, found by two 16-way searches
+_PARTS = 16  # equal-width parts inside each bucket
+BUCKETS = _CUTS * _PARTS
 
 
 def _cut_tree(df: DataFrame, order: Column) -> Column:
-    """4095 approximate quantiles as a three-level tree with 15 cuts per node."""
-    shares = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = df.agg(F.percentile_approx(order, shares, 20000).alias("c"))
-
-    def node(first: Column, stride: int) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.lit(_FAN - 1)), lambda i: F.get(F.col("c"), first + i * stride - 1)
-        )
-
-    def level(nodes: int, stride: int) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(nodes - 1)), lambda k: node(k * (stride * _FAN), stride)
-        )
-
-    return cuts.select(
-        F.struct(
-            level(1, _FAN * _FAN).alias("a"),
-            level(_FAN, _FAN).alias("b"),
-            level(_FAN * _FAN, 1).alias("c"),
-        )
+    """Approximate quantiles at 0/256 .. 256/256, flat and as a two-level search tree."""
+    shares = F.expr("array(" + ",".join(f"{i / _CUTS}D" for i in range(_CUTS + 1)) + ")")
+    cuts = df.agg(F.percentile_approx(order.cast("double"), shares, 10000).alias("q"))
+    return cuts.selectExpr(
+        "struct(q, transform(sequence(1, 15), i -> q[i * 16]) as top,"
+        " transform(sequence(0, 15), k -> transform(sequence(1, 15), i -> q[k * 16 + i])) as low) as t"
     ).scalar()
 
 
 def _bucket(df: DataFrame, tree: str, value: str) -> DataFrame:
-    """Number of cuts below the value, found with 45 comparisons instead of 4095."""
+    """A bucket number that grows with the value: 30 comparisons and one interpolation.
 
-    def below(level: str, node: Column) -> Column:
-        cuts = F.get(F.col(f"{tree}.{level}"), node)
-        return F.coalesce(F.size(F.filter(cuts, lambda c: c < F.col(value))), F.lit(0))
-
-    df = df.withColumn("_a", below("a", F.lit(0)))
-    df = df.withColumn("_b", F.col("_a") * _FAN + below("b", F.col("_a")))
-    return df.withColumn("_bucket", F.col("_b") * _FAN + below("c", F.col("_b"))).drop(
-        tree, "_a", "_b"
+    Bucket k lies between quantiles k and k + 1 and is cut into equal-width parts.
+    """
+    v = f"cast(`{value}` as double)"
+    df = df.withColumn("_a", F.expr(f"size(filter({tree}.top, c -> c < {v}))"))
+    df = df.withColumn("_b", F.expr(f"_a * 16 + size(filter({tree}.low[_a], c -> c < {v}))"))
+    part = F.expr(
+        f"case when {tree}.q[_b + 1] > {tree}.q[_b] then"
+        f" least(greatest(floor(({v} - {tree}.q[_b]) / ({tree}.q[_b + 1] - {tree}.q[_b]) * {_PARTS}), 0),"
+        f" {_PARTS - 1}) else 0 end"
     )
+    return df.withColumn("_bucket", F.col("_b") * _PARTS + part).drop(tree, "_a", "_b")
 
 
 def running_totals(
