@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from catalog.profile import NUMBERS, TYPED, PLAN_RULE, ENCODER, VISIT_OPTIONS, _card, over_visits, visits
@@ -95,13 +97,20 @@ def _selected(spark, sf):
 
 
 def _text_weights(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    model = extras.text_weights(docs, "text")
-    weights = model.transform(docs)
-    from pyspark.ml.functions import vector_to_array
-
-    norm = F.aggregate(vector_to_array("tfidf"), F.lit(0.0), lambda a, x: a + x * x)
-    return weights.select("doc_id", F.size("_words").alias("n_terms"), F.sqrt(norm).alias("norm"))
+    """Per language: documents, distinct hashed terms with weight, and total weight."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    weights = extras.text_weights(docs, "text").transform(docs)
+    # The summary adds sparse vectors; only its one vector per language is made dense.
+    stats = Summarizer.metrics("count", "numNonZeros", "sum").summary(F.col("tfidf"))
+    per_lang = weights.groupBy("lang").agg(stats.alias("s"))
+
+    def added(name):
+        return F.aggregate(vector_to_array(f"s.{name}"), F.lit(0.0), lambda a, x: a + x)
+
+    return per_lang.select(
+        "lang", F.col("s.count").alias("n_docs"), added("numNonZeros").alias("n_terms"),
+        F.round(added("sum"), 3).alias("weight"),
+    )
 
 
 QUERIES = {

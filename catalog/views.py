@@ -14,8 +14,16 @@ OPTIONS = CohortOptions(
 )
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. Its schema is read from the file once; naming it afterwards saves
+    the job that would read it again."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def member(spark, sf) -> DataFrame:

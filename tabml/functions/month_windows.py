@@ -105,48 +105,66 @@ def window_totals(events: DataFrame, key: str, day: str, measures: list[Measure]
         .agg(*[combine[m.how](m.value).alias(m.name) for m in measures])
     )
     spans = list(dict.fromkeys(m.span for m in measures))
-    first = _widest(F.least, [s.start(at) for s in spans])
-    stop = _widest(F.greatest, [s.end(at) for s in spans])
+    place = {s: i for i, s in enumerate(spans)}
+    # The interval of each span is worked out once per day, not once per month of it.
+    edges = {f"_s{i}": s.start(at) for s, i in place.items()}
+    edges |= {f"_e{i}": s.end(at) for s, i in place.items()}
+    first = _widest(F.least, [F.col(f"_s{i}") for i in place.values()])
+    stop = _widest(F.greatest, [F.col(f"_e{i}") for i in place.values()])
     months = F.when(
         first < stop, F.sequence(first, F.add_months(stop, -1), F.expr("interval 1 month"))
     )
     month = F.col(MONTH)
+
+    def inside(m: Measure) -> Column:
+        i = place[m.span]
+        return F.when((month >= F.col(f"_s{i}")) & (month < F.col(f"_e{i}")), F.col(m.name))
+
     # At most one row per calendar day and key is left, so the key alone is a safe
     # partitioning, and the spread rows are aggregated where they are made.
     return (
         daily.repartition(key)
+        .withColumns(edges)
         .withColumn(MONTH, F.explode(months))
         .groupBy(key, MONTH)
-        .agg(
-            *[
-                combine[m.how](
-                    F.when((month >= m.span.start(at)) & (month < m.span.end(at)), F.col(m.name))
-                ).alias(m.name)
-                for m in measures
-            ]
-        )
+        .agg(*[combine[m.how](inside(m)).alias(m.name) for m in measures])
     )
 
 
 def distinct_steps(
-    events: DataFrame, key: str, kind: str, ident: str, day: str, spans: dict[str, object]
+    events: DataFrame,
+    key: str,
+    kind: str,
+    ident: str,
+    day: str,
+    spans: dict[str, object],
+    counted: tuple[str, ...] = (),
 ) -> DataFrame:
     """Steps of the distinct count of ``ident`` for each kind, one column per kind.
 
-    ``n_<kind>`` holds the steps of the plain row count over the same span. Rows
-    with a NULL identifier count there only.
+    For the ``counted`` kinds ``n_<kind>`` holds the steps of the plain row count over
+    the same span. Rows with a NULL identifier count there only.
     """
     at = F.col(day)
     kinds = list(spans)
+    # Kinds travel through the shuffles as small numbers.
+    code = F.lit(None).cast("int")
+    for i, k in enumerate(kinds):
+        code = F.when(F.col(kind) == k, i).otherwise(code)
     days = (
-        events.filter(at.isNotNull()).groupBy(key, kind, ident, day).agg(F.count(F.lit(1)).alias("n"))
+        events.filter(at.isNotNull())
+        .select(key, code.alias(kind), ident, day)
+        .groupBy(key, kind, ident, day)
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     later = F.lead(at).over(Window.partitionBy(key, kind, ident).orderBy(at))
 
     def by_kind(edge) -> Column:
-        chosen = F.when(F.col(kind) == kinds[0], edge(spans[kinds[0]]))
-        for k in kinds[1:]:
-            chosen = chosen.when(F.col(kind) == k, edge(spans[k]))
+        """``edge`` of the row's own span; kinds with equal spans share one branch."""
+        chosen = F.lit(None).cast("date")
+        for span in dict.fromkeys(spans.values()):
+            same = [i for i, k in enumerate(kinds) if spans[k] == span]
+            chosen = F.when(F.col(kind).isin(same), edge(span)).otherwise(chosen)
         return chosen
 
     one = F.col(ident).isNotNull().cast("long")
@@ -164,15 +182,23 @@ def distinct_steps(
     def step(month: Column, unique: Column, rows: Column) -> Column:
         return F.struct(month.alias("month"), unique.alias("unique"), rows.alias("rows"))
 
-    steps = F.array(
+    distinct = [
         step(F.col("opens"), F.col("one"), F.col("n")),
         step(F.least("closes", "renews"), -F.col("one"), zero),
-        step(F.col("closes"), zero, -F.col("n")),
-    )
+    ]
+    steps = F.array(*distinct)
+    if counted:
+        plain = F.array(*distinct, step(F.col("closes"), zero, -F.col("n")))
+        codes = [i for i, k in enumerate(kinds) if k in counted]
+        steps = F.when(F.col(kind).isin(codes), plain).otherwise(steps)
     exploded = marked.select(key, kind, F.explode(steps).alias("s"))
     return exploded.groupBy(key, F.col("s.month").alias(MONTH)).agg(
-        *[F.sum(F.when(F.col(kind) == k, F.col("s.unique"))).alias(k) for k in kinds],
-        *[F.sum(F.when(F.col(kind) == k, F.col("s.rows"))).alias(f"n_{k}") for k in kinds],
+        *[F.sum(F.when(F.col(kind) == i, F.col("s.unique"))).alias(k) for i, k in enumerate(kinds)],
+        *[
+            F.sum(F.when(F.col(kind) == i, F.col("s.rows"))).alias(f"n_{k}")
+            for i, k in enumerate(kinds)
+            if k in counted
+        ],
     )
 
 
@@ -182,11 +208,13 @@ def assemble(
     totals: list[DataFrame] = (),
     steps: list[DataFrame] = (),
     latest: tuple[str, ...] = (),
+    overall: tuple[str, ...] = (),
 ) -> DataFrame:
     """Bring feature parts onto the spine: one union, one aggregation, no joins.
 
     ``totals`` hold final values per (key, month), ``steps`` hold steps to be summed
-    over the months, ``latest`` names columns to carry forward as running maximum.
+    over the months, ``latest`` names columns to carry forward as running maximum and
+    ``overall`` columns to be summed over all months of the key.
     Months that carry nothing are NULL for totals and 0 for steps. Without a spine,
     one of the totals marks its months by ``in_spine`` = 1.
     """
@@ -214,7 +242,8 @@ def assemble(
     )
     carried = [F.coalesce(F.sum(c).over(so_far), F.lit(0)).alias(c) for c in step_cols]
     carried += [F.max(c).over(so_far).alias(c) for c in latest]
-    plain = [c for c in total_cols if c not in latest]
+    carried += [F.sum(c).over(Window.partitionBy(key)).alias(c) for c in overall]
+    plain = [c for c in total_cols if c not in latest and c not in overall]
     return (
         merged.select(key, MONTH, "in_spine", *plain, *carried)
         .filter(F.col("in_spine") == 1)

@@ -26,9 +26,12 @@ BUCKETS = _CUTS * _PARTS
 
 
 def _cut_tree(df: DataFrame, order: Column) -> Column:
-    """Approximate quantiles at 0/256 .. 256/256, flat and as a two-level search tree."""
+    """Approximate quantiles at 0/256 .. 256/256, flat and as a two-level search tree.
+
+    They only balance the buckets, so the sketch that every task sends is kept small.
+    """
     shares = F.expr("array(" + ",".join(f"{i / _CUTS}D" for i in range(_CUTS + 1)) + ")")
-    cuts = df.agg(F.percentile_approx(order.cast("double"), shares, 10000).alias("q"))
+    cuts = df.agg(F.percentile_approx(order.cast("double"), shares, 1024).alias("q"))
     return cuts.selectExpr(
         "struct(q, transform(sequence(1, 15), i -> q[i * 16]) as top,"
         " transform(sequence(0, 15), k -> transform(sequence(1, 15), i -> q[k * 16 + i])) as low) as t"

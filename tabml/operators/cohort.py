@@ -156,9 +156,8 @@ def distinct_windowed(
     in ``n_<name>`` only.
     """
     stream = tagged(events, day, {k: ident for k, (ident, _) in idents.items()})
-    steps = mw.distinct_steps(
-        stream, KEY, "kind", "ident", "day", {k: span for k, (_, span) in idents.items()}
-    )
+    spans = {k: span for k, (_, span) in idents.items()}
+    steps = mw.distinct_steps(stream, KEY, "kind", "ident", "day", spans, tuple(spans))
     return mw.assemble(spine, KEY, steps=[steps])
 
 
@@ -197,23 +196,29 @@ def ed_visits(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
     return out.filter(F.col("n_ed_visits_180d") > 0).drop("n_ed_visits_180d")
 
 
+def covered_days(opts: CohortOptions) -> Column:
+    """Days of a fill of the named drug that lie in the window before the fixed index date;
+    NULL for other fills, unparseable supplies and fills outside the window."""
+    index = F.lit(opts.coverage_index)
+    opens = F.date_sub(index, opts.coverage_days)
+    stop = F.least(F.date_add("fill_day", F.col("supply")), index)
+    days = F.greatest(F.lit(0), F.datediff(stop, F.greatest("fill_day", opens)))
+    counts = (
+        F.col("drug_name").ilike(opts.drug_pattern)
+        & F.col("supply").isNotNull()
+        & F.col("fill_day").between(opens, index)
+    )
+    return F.when(counts, days)
+
+
 def coverage_ratio(pharmacy: DataFrame, opts: CohortOptions) -> DataFrame:
     """Days covered by the named drug before one fixed index date, per person.
 
     Overlapping fills add up, so the ratio may exceed 1.
     """
-    index = F.lit(opts.coverage_index)
-    opens = F.date_sub(index, opts.coverage_days)
-    named = (
-        fills(pharmacy)
-        .filter(F.col("drug_name").ilike(opts.drug_pattern))
-        .filter(F.col("supply").isNotNull())
-        .filter(F.col("fill_day").between(opens, index))
-    )
-    stop = F.least(F.date_add("fill_day", F.col("supply")), index)
-    covered = F.greatest(F.lit(0), F.datediff(stop, F.greatest("fill_day", opens)))
-    return named.groupBy(KEY).agg(
-        (F.sum(covered) / F.lit(float(opts.coverage_days))).alias("pdc_180d")
+    days = fills(pharmacy).select(KEY, covered_days(opts).alias("days"))
+    return days.filter(F.col("days").isNotNull()).groupBy(KEY).agg(
+        (F.sum("days") / F.lit(float(opts.coverage_days))).alias("pdc_180d")
     )
 
 
@@ -283,7 +288,7 @@ def pharmacy_use(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
         stream, KEY, "kind", "ident", "day", {k: HALF_YEAR for k in FILL_IDENTS}
     )
     out = mw.assemble(month_spine(tables), KEY, totals=[totals], steps=[steps])
-    return out.filter("fills_180d > 0").drop(*[f"n_{k}" for k in FILL_IDENTS])
+    return out.filter("fills_180d > 0")
 
 
 def days_since(last: str, name: str) -> Column:
@@ -333,7 +338,7 @@ def provider_spread(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
         )
     )
     spans = {"providers_180d": HALF_YEAR, "provider_specialties_180d": HALF_YEAR}
-    steps = mw.distinct_steps(stream, KEY, "kind", "ident", "day", spans)
+    steps = mw.distinct_steps(stream, KEY, "kind", "ident", "day", spans, ("providers_180d",))
     out = mw.assemble(month_spine(tables), KEY, steps=[steps])
     return out.filter("n_providers_180d > 0").select(KEY, MONTH, *spans)
 
@@ -382,7 +387,8 @@ def feature_table(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
 
     in_month = mw.Measure("in_spine", mw.OwnMonth(), "max", F.lit(1))
     claims = mw.window_totals(headers, KEY, "svc_from", [in_month, *claim_measures()])
-    drugs = mw.window_totals(rx, KEY, "fill_day", fill_measures(opts))
+    covered = mw.Measure("covered", mw.OwnMonth(), "sum", covered_days(opts))
+    drugs = mw.window_totals(rx, KEY, "fill_day", [covered, *fill_measures(opts)])
 
     claim_id = F.col("claim_id")
     idents = [
@@ -415,9 +421,7 @@ def feature_table(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
         "dx_unique3_12m": TWELVE_MONTHS,
         "provider_specialties_180d": HALF_YEAR,
     }
-    steps = mw.distinct_steps(stream, KEY, "kind", "ident", "day", spans).drop(
-        *[f"n_{k}" for k in spans if k != "dx_unique3_12m"]
-    )
+    steps = mw.distinct_steps(stream, KEY, "kind", "ident", "day", spans, ("dx_unique3_12m",))
 
     # The claims pass also yields the spine: months with a claim of their own.
     rows = mw.assemble(
@@ -426,6 +430,7 @@ def feature_table(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
         totals=[claims, drugs],
         steps=[steps],
         latest=("last_claim",),
+        overall=("covered",),
     )
     rows = rows.withColumnRenamed("n_dx_unique3_12m", "dx_count_12m").join(
         tables.member.select(KEY), KEY, "left_semi"
@@ -436,7 +441,7 @@ def feature_table(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
     rows = (
         rows.withColumn("days_since_last_named", days_since("last_named", "d"))
         .withColumn("days_since_last_claim", days_since("last_claim", "d"))
-        .join(coverage_ratio(tables.pharmacy, opts), KEY, "left")
+        .withColumn("pdc_180d", F.col("covered") / F.lit(float(opts.coverage_days)))
     )
     return rows.select(
         KEY, MONTH, *[F.coalesce(c, F.lit(v)).alias(c) for c, v in FEATURES.items()]

@@ -33,7 +33,7 @@ from tabml.functions.scalars import month_text
 from tabml.operators.profile import kinds, value_counts, without_nan
 from tabml.session import bounded_rows, staged
 
-MAX_LEVELS = 10_000
+MAX_LEVELS = 10_000  # over all one-hot columns together
 
 
 @dataclass(frozen=True)

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class Policies:
     high_cardinality_ratio: float = 0.5
-    # One-hot columns get one slot per level; above this many levels the mean of the
-    # target is used instead.
+    # Used by the rule that looks at the number of levels.
     max_levels: int = 50
+    # One-hot columns get one slot of the feature vector per level. Beyond this many the
+    # mean of the target is used, whatever the ratio.
+    onehot_limit: int = 1_000
     imbalance_ratio: float = 3.0
     min_recall: float = 0.6
     time_split_days: int = 180
@@ -60,7 +62,9 @@ def column_plan(card: DataFrame, policies: Policies = Policies(), encoder_rule:
     if encoder_rule == "levels":
         high = F.col("n_unique") > policies.max_levels
     else:
-        high = F.col("unique_ratio") > policies.high_cardinality_ratio
+        high = (F.col("unique_ratio") > policies.high_cardinality_ratio) | (
+            F.col("n_unique") > policies.onehot_limit
+        )
     bucket = (
         F.when(F.col("role") == "target", "target")
         .when(kind == "categorical", F.when(high, "categorical_high").otherwise("categorical_low"))
