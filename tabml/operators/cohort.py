@@ -162,9 +162,16 @@ def distinct_windowed(
 
 
 def tagged(events: DataFrame, day: str, idents: dict[str, Column]) -> DataFrame:
-    """One row per (event, kind) with the identifier as text, from one scan of the events."""
+    """One row per (event, kind) with the identifier, from one scan of the events.
+
+    Identifiers keep their type if they share one; else they become text.
+    """
+    found = events.select(*[c.alias(k) for k, c in idents.items()]).dtypes
+    same = len({kind for _, kind in found}) == 1
     pairs = [
-        F.struct(F.lit(kind).alias("kind"), ident.cast("string").alias("ident"))
+        F.struct(
+            F.lit(kind).alias("kind"), (ident if same else ident.cast("string")).alias("ident")
+        )
         for kind, ident in idents.items()
     ]
     return events.select(KEY, F.col(day).alias("day"), F.explode(F.array(*pairs)).alias("t")).select(
@@ -172,6 +179,26 @@ def tagged(events: DataFrame, day: str, idents: dict[str, Column]) -> DataFrame:
     )
 
 
+def distinct_parts(
+    streams: list[tuple[DataFrame, dict[str, object]]], counted: tuple[str, ...] = ()
+) -> list[DataFrame]:
+    """Steps of tagged streams, given with the spans of their kinds: one pass per
+    identifier type, so that numbers need not travel as text."""
+    passes: dict[str, tuple[DataFrame, dict[str, object]]] = {}
+    for stream, spans in streams:
+        kind = dict(stream.dtypes)["ident"]
+        if kind in passes:
+            before, known = passes[kind]
+            stream, spans = before.unionByName(stream), {**known, **spans}
+        passes[kind] = (stream, spans)
+    return [
+        mw.distinct_steps(
+            stream, KEY, "kind", "ident", "day", spans, tuple(k for k in spans if k in counted)
+        )
+        for stream, spans in passes.values()
+    ]
+
+
 def forward_label(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
     return windowed(
         month_spine(tables),
@@ -332,15 +359,23 @@ def _specialty_days(headers: DataFrame, provider: DataFrame, opts: CohortOptions
 
 def provider_spread(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
     headers = header_projection(tables.header)
-    stream = tagged(headers, "svc_from", {"providers_180d": F.col("provider_id")}).unionByName(
-        _specialty_days(headers, tables.provider, opts).withColumn(
-            "kind", F.lit("provider_specialties_180d")
-        )
+    specialties = _specialty_days(headers, tables.provider, opts)
+    steps = distinct_parts(
+        [
+            (
+                tagged(headers, "svc_from", {"providers_180d": F.col("provider_id")}),
+                {"providers_180d": HALF_YEAR},
+            ),
+            (
+                specialties.withColumn("kind", F.lit("provider_specialties_180d")),
+                {"provider_specialties_180d": HALF_YEAR},
+            ),
+        ],
+        counted=("providers_180d",),
     )
-    spans = {"providers_180d": HALF_YEAR, "provider_specialties_180d": HALF_YEAR}
-    steps = mw.distinct_steps(stream, KEY, "kind", "ident", "day", spans, ("providers_180d",))
-    out = mw.assemble(month_spine(tables), KEY, steps=[steps])
-    return out.filter("n_providers_180d > 0").select(KEY, MONTH, *spans)
+    out = mw.assemble(month_spine(tables), KEY, steps=steps)
+    names = ("providers_180d", "provider_specialties_180d")
+    return out.filter("n_providers_180d > 0").select(KEY, MONTH, *names)
 
 
 def utilisation_trend(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
@@ -391,44 +426,39 @@ def feature_table(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
     drugs = mw.window_totals(rx, KEY, "fill_day", [covered, *fill_measures(opts)])
 
     claim_id = F.col("claim_id")
-    idents = [
-        tagged(
-            headers,
-            "svc_from",
-            {
-                "ed_visits_180d": F.when(F.col("er"), claim_id),
-                "ambulatory_visits_180d": F.when(F.col("ambulatory"), claim_id),
-                "providers_180d": F.col("provider_id"),
-            },
-        ).filter(F.col("ident").isNotNull()),
-        tagged(rx, "fill_day", {k: F.col(c) for k, c in FILL_IDENTS.items()}).filter(
-            F.col("ident").isNotNull()
-        ),
-        tagged(dated_diagnoses(tables), "svc_from", {"dx_unique3_12m": F.col("dx3")}),
-        _specialty_days(header_projection(tables.header), tables.provider, opts).withColumn(
-            "kind", F.lit("provider_specialties_180d")
-        ),
-    ]
-    stream = idents[0]
-    for part in idents[1:]:
-        stream = stream.unionByName(part)
-    spans = {
-        "ed_visits_180d": HALF_YEAR_TO_INDEX,
-        "ambulatory_visits_180d": HALF_YEAR,
-        "providers_180d": HALF_YEAR,
-        "rx_ndc_unique_180d": HALF_YEAR,
-        "rx_prescribers_180d": HALF_YEAR,
-        "dx_unique3_12m": TWELVE_MONTHS,
-        "provider_specialties_180d": HALF_YEAR,
+    header_idents = {
+        "ed_visits_180d": F.when(F.col("er"), claim_id),
+        "ambulatory_visits_180d": F.when(F.col("ambulatory"), claim_id),
+        "providers_180d": F.col("provider_id"),
     }
-    steps = mw.distinct_steps(stream, KEY, "kind", "ident", "day", spans, ("dx_unique3_12m",))
+    header_spans = {k: HALF_YEAR for k in header_idents} | {"ed_visits_180d": HALF_YEAR_TO_INDEX}
+    present = F.col("ident").isNotNull()
+    specialties = _specialty_days(header_projection(tables.header), tables.provider, opts)
+    steps = distinct_parts(
+        [
+            (tagged(headers, "svc_from", header_idents).filter(present), header_spans),
+            (
+                tagged(rx, "fill_day", {k: F.col(c) for k, c in FILL_IDENTS.items()}).filter(present),
+                {k: HALF_YEAR for k in FILL_IDENTS},
+            ),
+            (
+                tagged(dated_diagnoses(tables), "svc_from", {"dx_unique3_12m": F.col("dx3")}),
+                {"dx_unique3_12m": TWELVE_MONTHS},
+            ),
+            (
+                specialties.withColumn("kind", F.lit("provider_specialties_180d")),
+                {"provider_specialties_180d": HALF_YEAR},
+            ),
+        ],
+        counted=("dx_unique3_12m",),
+    )
 
     # The claims pass also yields the spine: months with a claim of their own.
     rows = mw.assemble(
         None,
         KEY,
         totals=[claims, drugs],
-        steps=[steps],
+        steps=steps,
         latest=("last_claim",),
         overall=("covered",),
     )

@@ -18,6 +18,9 @@ def local_session(cpus: str = "8", partitions: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # As many partitions as cores: merging them would leave cores idle on small data.
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        .config("spark.sql.files.openCostInBytes", "256k")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
