@@ -71,6 +71,10 @@ def _orders(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
 
 
+# Order and line number repeat in the data; with these a line is told apart.
+LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+
+
 CORRELATED = ["l_quantity", "twice", "l_discount", "minus", "l_tax"]
 
 
@@ -176,6 +180,12 @@ QUERIES = {
     "x08_oversample": lambda spark, sf: cast_all(
         split.oversample(_visit_labels(spark, sf), "y", ("claim_id",), 0.9)
     ),
+    "x09_synthetic_rows": lambda spark, sf: cast_all(
+        split.synthetic_rows(
+            table(spark, sf, "lineitem").withColumn("y", F.expr("cast(l_returnflag = 'R' as int)")),
+            "y", LINE_KEY, ["l_quantity", "l_extendedprice", "l_discount"], 0.8,
+        )
+    ),
     "x10_folds": lambda spark, sf: cast_all(
         split.stratified_folds(_orders(spark, sf), "o_orderstatus", ("o_orderkey",), 5)
     ),

@@ -54,6 +54,11 @@ def _bucket(df: DataFrame, tree: str, value: str) -> DataFrame:
     return df.withColumn("_bucket", F.col("_b") * _PARTS + part).drop(tree, "_a", "_b")
 
 
+def balanced_buckets(df: DataFrame, order: str) -> DataFrame:
+    """Adds ``_bucket``, which grows with the order column and spreads its rows evenly."""
+    return _bucket(df.withColumn("_tree", _cut_tree(df, F.col(order))), "_tree", order)
+
+
 def running_totals(
     df: DataFrame, by: list[str], order: str, sums: dict[str, Column], descending: bool = False
 ) -> DataFrame:
@@ -64,6 +69,7 @@ def running_totals(
     """
     df = df.filter(F.col(order).isNotNull())
     groups = df.groupBy(*by, order).agg(*[c.alias(n) for n, c in sums.items()])
+    # Cuts from the rows themselves: a pass over one column instead of a second grouping.
     tagged = _bucket(groups.withColumn("_tree", _cut_tree(df, F.col(order))), "_tree", order)
 
     def toward(name: str) -> Column:

@@ -422,6 +422,8 @@ def feature_table(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
 
     in_month = mw.Measure("in_spine", mw.OwnMonth(), "max", F.lit(1))
     claims = mw.window_totals(headers, KEY, "svc_from", [in_month, *claim_measures()])
+    # Months without a claim of their own are not asked for; they only pass on the last one.
+    claims = claims.filter((F.col("in_spine") == 1) | F.col("last_claim").isNotNull())
     covered = mw.Measure("covered", mw.OwnMonth(), "sum", covered_days(opts))
     drugs = mw.window_totals(rx, KEY, "fill_day", [covered, *fill_measures(opts)])
 

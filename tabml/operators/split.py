@@ -7,12 +7,16 @@ after that a split is one comparison per row.
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabml.functions.ordered import class_sizes, digest_levels, rank_cuts
+from tabml.functions.ordered import balanced_buckets, class_sizes, digest_levels, rank_cuts
+from tabml.functions.scalars import hash_fraction
+
+PART_ROWS = 2_000_000  # rows of one repeated value that a task may sort
 
 
 @dataclass(frozen=True)
@@ -205,3 +209,55 @@ def oversample(
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times") + once_more)))
         .drop("_times", "_cut")
     )
+
+
+def synthetic_rows(
+    df: DataFrame,
+    label: str,
+    key: tuple[str, ...],
+    columns: list[str],
+    ratio: float = 0.3,
+    seed: int = 42,
+) -> DataFrame:
+    """New rows of the rarest class, up to ``ratio`` of the largest, between neighbours.
+
+    The neighbour of a row is the next one along a random projection of the standardised
+    columns, inside a bucket between quantiles of the projection; no pair of rows is
+    compared. Large classes are also divided by the key's digest, so that a bucket filled
+    by one repeated value is no single task. Rows with a missing column have no place on
+    the projection and are not copied. Returns the columns, the label and ``copy``.
+    """
+    sizes = class_sizes(df, F.col(label))
+    rare = min(sizes, key=lambda v: (sizes[v], str(v)))
+    few = df.filter(F.col(label).eqNullSafe(F.lit(rare))).dropna(subset=columns)
+    stats = few.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(c).alias(f"mean_{c}") for c in columns],
+        *[F.stddev_pop(c).alias(f"std_{c}") for c in columns],
+    ).first()
+    n = stats["n"]
+    missing = max(round(max(sizes.values()) * ratio) - sizes[rare], 0)
+    times, extra = divmod(missing, max(n, 1))
+    cut = _cuts(few, F.lit(1), key, seed, [(1, extra)]).get((1, extra), "")
+
+    rng = random.Random(seed)
+    along = F.lit(0.0)
+    for c in columns:
+        z = (F.col(c) - F.lit(stats[f"mean_{c}"])) / F.lit(stats[f"std_{c}"] or 1.0)
+        along = along + z * F.lit(rng.gauss(0, 1))
+    place = order_text(key, seed)
+    copies = F.lit(times) + (place <= F.lit(cut)).cast("int")
+    rows = few.select(*columns, label, along.alias("_at"), place.alias("_place"), copies.alias("_copies"))
+    rows = balanced_buckets(rows, "_at").withColumn(
+        "_part", F.pmod(F.xxhash64("_place"), F.lit(1 + n // PART_ROWS))
+    )
+    order = Window.partitionBy("_bucket", "_part").orderBy("_at", "_place")
+    row = F.struct(*columns)
+    near = F.coalesce(F.lead(row).over(order), F.lag(row).over(order), row)
+    copied = rows.withColumn("_near", near).filter("_copies > 0").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    )
+    share = hash_fraction(F.md5(F.concat_ws("-", "_place", F.col("copy").cast("string"))))
+    return copied.select(
+        *[(F.col(c) + (F.col(f"_near.{c}") - F.col(c)) * share).alias(c) for c in columns], label, "copy"
+    )

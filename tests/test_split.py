@@ -88,3 +88,28 @@ def test_method_precedence():
     assert split.split_method("time", "random", "binary") == "time"
     assert split.split_method(None, None, "binary") == "stratified"
     assert split.split_method(None, None, "regression") == "random"
+
+
+@pytest.mark.parametrize("part_rows", [20, 10**6])
+def test_synthetic_rows(spark, monkeypatch, part_rows):
+    """The exact number of new rows, each between two rows of the class; also when one
+    point holds most of the class."""
+    monkeypatch.setattr(split, "PART_ROWS", part_rows)
+    df = spark.range(1000).select(
+        "id",
+        F.when(F.col("id") % 10 == 0, 1).otherwise(0).alias("y"),
+        F.when(F.col("id") % 20 == 0, 5.0).otherwise(F.col("id") / 100).alias("a"),
+        F.when(F.col("id") % 20 == 0, 1.0).otherwise(F.sqrt("id")).alias("b"),
+    )
+    out = split.synthetic_rows(df, "y", ("id",), ["a", "b"], 0.3).cache()
+    assert out.count() == round(900 * 0.3) - 100
+    assert {r["y"] for r in out.select("y").distinct().collect()} == {1}
+    lo, hi = df.filter("y = 1").agg(F.min("a"), F.max("a")).first()
+    a, b = out.agg(F.min("a"), F.max("a")).first()
+    assert lo <= a <= b <= hi
+    assert out.exceptAll(split.synthetic_rows(df.repartition(5), "y", ("id",), ["a", "b"], 0.3)).count() == 0
+
+
+def test_enough_rows_already(rows):
+    twice = rows.withColumn("a", F.col("id").cast("double"))
+    assert split.synthetic_rows(twice, "g", ("id",), ["a"], 0.01).count() == 0
