@@ -139,11 +139,13 @@ def distinct_steps(
     day: str,
     spans: dict[str, object],
     counted: tuple[str, ...] = (),
+    rows: str | None = None,
 ) -> DataFrame:
     """Steps of the distinct count of ``ident`` for each kind, one column per kind.
 
     For the ``counted`` kinds ``n_<kind>`` holds the steps of the plain row count over
-    the same span. Rows with a NULL identifier count there only.
+    the same span. Rows with a NULL identifier count there only. Events that were
+    counted before name the column with their number of ``rows``.
     """
     at = F.col(day)
     kinds = list(spans)
@@ -153,9 +155,9 @@ def distinct_steps(
         code = F.when(F.col(kind) == k, i).otherwise(code)
     days = (
         events.filter(at.isNotNull())
-        .select(key, code.alias(kind), ident, day)
+        .select(key, code.alias(kind), ident, day, (F.col(rows) if rows else F.lit(1)).alias("n"))
         .groupBy(key, kind, ident, day)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     later = F.lead(at).over(Window.partitionBy(key, kind, ident).orderBy(at))
 

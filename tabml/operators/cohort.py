@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabml.functions import month_windows as mw
+from tabml.functions.lookup import salted_lookup
 from tabml.functions.scalars import hash_order, padded, safe_date, safe_days, safe_money
 
 KEY = "person_id"
@@ -114,11 +115,18 @@ def fills(pharmacy: DataFrame) -> DataFrame:
 
 
 def dated_diagnoses(tables: ClaimTables) -> DataFrame:
-    """Diagnoses with the claim's service date; the person comes from the diagnosis."""
+    """(person, day, dx3, rows): the day is the claim's, the person the diagnosis' own.
+
+    Counted per claim and prefix before the join, so that a claim with very many
+    diagnoses brings few rows to it.
+    """
     dates = header_projection(tables.header).select("claim_id", "svc_from")
-    return tables.diagnosis.select(
-        KEY, "claim_id", F.substring(F.upper("dx_code"), 1, 3).alias("dx3")
-    ).join(dates, "claim_id")
+    counted = (
+        tables.diagnosis.select(KEY, "claim_id", F.substring(F.upper("dx_code"), 1, 3).alias("dx3"))
+        .groupBy(KEY, "claim_id", "dx3")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    return counted.join(dates, "claim_id")
 
 
 # ---------------------------------------------------------------- spine and label
@@ -148,24 +156,31 @@ def windowed(spine: DataFrame, events: DataFrame, day: str, measures: list[mw.Me
 
 
 def distinct_windowed(
-    spine: DataFrame, events: DataFrame, day: str, idents: dict[str, tuple[Column, object]]
+    spine: DataFrame,
+    events: DataFrame,
+    day: str,
+    idents: dict[str, tuple[Column, object]],
+    rows: Column | None = None,
 ) -> DataFrame:
-    """Distinct counts at the spine months with an event in the window.
+    """Distinct counts over the window, and the event count as ``n_<name>``.
 
     ``idents`` maps the output name to (identifier, span); a NULL identifier counts
     in ``n_<name>`` only.
     """
-    stream = tagged(events, day, {k: ident for k, (ident, _) in idents.items()})
+    stream = tagged(events, day, {k: ident for k, (ident, _) in idents.items()}, rows)
     spans = {k: span for k, (_, span) in idents.items()}
-    steps = mw.distinct_steps(stream, KEY, "kind", "ident", "day", spans, tuple(spans))
-    return mw.assemble(spine, KEY, steps=[steps])
+    return mw.assemble(spine, KEY, steps=distinct_parts([(stream, spans)], tuple(spans)))
 
 
-def tagged(events: DataFrame, day: str, idents: dict[str, Column]) -> DataFrame:
+def tagged(
+    events: DataFrame, day: str, idents: dict[str, Column], rows: Column | None = None
+) -> DataFrame:
     """One row per (event, kind) with the identifier, from one scan of the events.
 
-    Identifiers keep their type if they share one; else they become text.
+    Identifiers keep their type if they share one; else they become text. ``rows`` is
+    the number of events a row stands for.
     """
+    weight = F.lit(1) if rows is None else rows
     found = events.select(*[c.alias(k) for k, c in idents.items()]).dtypes
     same = len({kind for _, kind in found}) == 1
     pairs = [
@@ -174,9 +189,13 @@ def tagged(events: DataFrame, day: str, idents: dict[str, Column]) -> DataFrame:
         )
         for kind, ident in idents.items()
     ]
-    return events.select(KEY, F.col(day).alias("day"), F.explode(F.array(*pairs)).alias("t")).select(
-        KEY, "day", "t.kind", "t.ident"
+    exploded = events.select(
+        KEY,
+        F.col(day).alias("day"),
+        weight.cast("long").alias("rows"),
+        F.explode(F.array(*pairs)).alias("t"),
     )
+    return exploded.select(KEY, "day", "rows", "t.kind", "t.ident")
 
 
 def distinct_parts(
@@ -193,7 +212,7 @@ def distinct_parts(
         passes[kind] = (stream, spans)
     return [
         mw.distinct_steps(
-            stream, KEY, "kind", "ident", "day", spans, tuple(k for k in spans if k in counted)
+            stream, KEY, "kind", "ident", "day", spans, tuple(k for k in spans if k in counted), "rows"
         )
         for stream, spans in passes.values()
     ]
@@ -289,6 +308,7 @@ def diagnosis_breadth(tables: ClaimTables) -> DataFrame:
     out = distinct_windowed(
         month_spine(tables), dated_diagnoses(tables), "svc_from",
         {"dx_unique3_12m": (F.col("dx3"), TWELVE_MONTHS)},
+        F.col("rows"),
     )
     return out.withColumnRenamed("n_dx_unique3_12m", "dx_count_12m").filter("dx_count_12m > 0")
 
@@ -311,10 +331,8 @@ def pharmacy_use(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
     measures = [m for m in fill_measures(opts) if m.name in ("fills_180d", "rx_paid_180d")]
     totals = mw.window_totals(rx, KEY, "fill_day", measures)
     stream = tagged(rx, "fill_day", {k: F.col(c) for k, c in FILL_IDENTS.items()})
-    steps = mw.distinct_steps(
-        stream, KEY, "kind", "ident", "day", {k: HALF_YEAR for k in FILL_IDENTS}
-    )
-    out = mw.assemble(month_spine(tables), KEY, totals=[totals], steps=[steps])
+    steps = distinct_parts([(stream, {k: HALF_YEAR for k in FILL_IDENTS})])
+    out = mw.assemble(month_spine(tables), KEY, totals=[totals], steps=steps)
     return out.filter("fills_180d > 0")
 
 
@@ -345,16 +363,19 @@ def claim_recency(tables: ClaimTables) -> DataFrame:
 
 
 def _specialty_days(headers: DataFrame, provider: DataFrame, opts: CohortOptions) -> DataFrame:
-    """(person, day, specialty). Claims without a provider skip the lookup join, which
-    would otherwise gather all of them in one task; the rest is first cut to distinct days."""
-    days = headers.select(KEY, F.col("svc_from").alias("day"), "provider_id")
-    known = days.filter(F.col("provider_id").isNotNull()).distinct()
-    looked_up = known.join(provider.select("provider_id", "specialty"), "provider_id", "left")
-    unknown = days.filter(F.col("provider_id").isNull()).withColumn(
-        "specialty", F.lit(None).cast("string")
+    """(person, day, specialty as identifier). Claims are first cut to distinct days of a
+    provider; a provider of very many claims, or none, is spread over many tasks."""
+    days = headers.select(KEY, F.col("svc_from").alias("day"), "provider_id").distinct()
+    found = salted_lookup(
+        days, provider.select("provider_id", "specialty"), "provider_id", [KEY, "day"]
+    )
+    return found.select(
+        KEY,
+        "day",
+        F.lit(1).cast("long").alias("rows"),
+        F.lit("provider_specialties_180d").alias("kind"),
+        F.coalesce("specialty", F.lit(opts.unknown_specialty)).alias("ident"),
     )
-    both = looked_up.unionByName(unknown)
-    return both.select(KEY, "day", F.coalesce("specialty", F.lit(opts.unknown_specialty)).alias("ident"))
 
 
 def provider_spread(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
@@ -366,10 +387,7 @@ def provider_spread(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
                 tagged(headers, "svc_from", {"providers_180d": F.col("provider_id")}),
                 {"providers_180d": HALF_YEAR},
             ),
-            (
-                specialties.withColumn("kind", F.lit("provider_specialties_180d")),
-                {"provider_specialties_180d": HALF_YEAR},
-            ),
+            (specialties, {"provider_specialties_180d": HALF_YEAR}),
         ],
         counted=("providers_180d",),
     )
@@ -444,13 +462,12 @@ def feature_table(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
                 {k: HALF_YEAR for k in FILL_IDENTS},
             ),
             (
-                tagged(dated_diagnoses(tables), "svc_from", {"dx_unique3_12m": F.col("dx3")}),
+                tagged(
+                    dated_diagnoses(tables), "svc_from", {"dx_unique3_12m": F.col("dx3")}, F.col("rows")
+                ),
                 {"dx_unique3_12m": TWELVE_MONTHS},
             ),
-            (
-                specialties.withColumn("kind", F.lit("provider_specialties_180d")),
-                {"provider_specialties_180d": HALF_YEAR},
-            ),
+            (specialties, {"provider_specialties_180d": HALF_YEAR}),
         ],
         counted=("dx_unique3_12m",),
     )

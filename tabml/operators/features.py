@@ -28,6 +28,7 @@ from pyspark.ml.util import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabml.functions.lookup import salted_lookup, spread_columns
 from tabml.functions.ordered import exact_quantiles
 from tabml.functions.scalars import month_text
 from tabml.operators.profile import kinds, value_counts, without_nan
@@ -214,9 +215,16 @@ class Preprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             state["modes"] = {r["column"]: r["mode"] for r in modes(train, texts).collect()}
         if plan.onehot:
             state["levels"] = levels(train, plan.onehot, state["modes"])
-        model = PreprocessorModel(plan=json.dumps(asdict(plan)), state=json.dumps(state))
+        means = None
         if plan.target_mean:
-            model.means = staged(target_means(train, plan, state["modes"]), "target-means")
+            means = staged(target_means(train, plan, state["modes"]), "target-means")
+            # Number of values and global mean per column: the number decides how to join.
+            facts = means.groupBy("column").agg(
+                F.count("value").alias("rows"), F.max(F.when(F.col("value").isNull(), F.col("mean"))).alias("all")
+            )
+            state["means"] = {r["column"]: (r["rows"], r["all"]) for r in facts.collect()}
+        model = PreprocessorModel(plan=json.dumps(asdict(plan)), state=json.dumps(state))
+        model.means = means
         return model
 
 
@@ -266,16 +274,14 @@ class PreprocessorModel(Model, MLWritable, MLReadable):
                 cols.append(hit.alias(f"_f_{next(names)}"))
         out = base.select("*", *cols)
         for c in plan.target_mean:
-            means = self.means.filter(F.col("column") == c)
-            everyone = means.filter(F.col("value").isNull()).select("mean").scalar()
-            # One row per value, however many: Spark picks the join from the table's size,
-            # and splits the partitions of frequent values when it has to shuffle.
-            table = means.filter(F.col("value").isNotNull()).select(
+            rows, everyone = state["means"].get(c, (0, 0.0))
+            table = self.means.filter((F.col("column") == c) & F.col("value").isNotNull()).select(
                 F.col("value").alias("_value"), F.col("mean").alias("_mean")
             )
+            spread = spread_columns(out)
             out = (
-                out.join(table, filled(c) == F.col("_value"), "left")
-                .withColumn(f"_f_{next(names)}", F.coalesce("_mean", everyone, F.lit(0.0)))
+                salted_lookup(out.withColumn("_value", filled(c)), table, "_value", spread, rows)
+                .withColumn(f"_f_{next(names)}", F.coalesce("_mean", F.lit(everyone), F.lit(0.0)))
                 .drop("_value", "_mean")
             )
         return out

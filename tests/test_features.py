@@ -36,6 +36,23 @@ def test_values_come_from_training_rows(spark, model):
     assert got[12]["h_tmean"] == pytest.approx(1 / 3)
 
 
+def test_salted_lookup_gives_the_same(spark, model, monkeypatch):
+    """The path for tables too large to broadcast, with one value on most rows."""
+    from tabml.functions import lookup
+
+    many = [(i, 1.0, "a", "p" if i % 3 else None, 0) for i in range(300)] + [(i, None, "b", "q", 1) for i in range(300, 330)]
+    new = spark.createDataFrame(many, SCHEMA)
+    want = sorted(map(tuple, model.named(new, "id").collect()))
+    monkeypatch.setattr(lookup, "SMALL_TABLE", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = model.named(new, "id")
+        assert sorted(map(tuple, plan.collect())) == want
+        assert "BroadcastHashJoin" not in plan._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_saved_and_loaded(spark, model):
     path = new_path(spark, "pipeline")
     PipelineModel(stages=[model]).write().save(path)
