@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from catalog.profile import NUMBERS, TYPED, PLAN_RULE, ENCODER, VISIT_OPTIONS, _card, over_visits, visits
+from catalog.profile import NUMBERS, TYPED, PLAN_RULE, ENCODER, _card, over_visits, visits
 from catalog.views import cast_all, table
 from tabml.operators import extras, features, labels, split
 from tabml.operators.features import FeaturePlan, Preprocessor

@@ -182,6 +182,8 @@ def undersample(
 ) -> DataFrame:
     """Keep of each larger class so many rows that the rarest makes ``ratio`` of it."""
     sizes = class_sizes(df, F.col(label))
+    if not sizes:
+        return df
     rare = min(sizes.values())
     keep = {v: min(n, round(rare / ratio)) for v, n in sizes.items()}
     shrunk = [(v, r) for v, r in keep.items() if r < sizes[v]]
@@ -199,6 +201,8 @@ def oversample(
 ) -> DataFrame:
     """Repeat the rows of smaller classes up to ``ratio`` of the largest; adds ``copy``."""
     sizes = class_sizes(df, F.col(label))
+    if not sizes:
+        return df.withColumn("copy", F.lit(1))
     goal = round(max(sizes.values()) * ratio)
     plan = {v: divmod(max(goal, n), n) for v, n in sizes.items()}
     cuts = _cuts(df, F.col(label), key, seed, [(v, extra) for v, (_, extra) in plan.items()])
@@ -228,6 +232,8 @@ def synthetic_rows(
     the projection and are not copied. Returns the columns, the label and ``copy``.
     """
     sizes = class_sizes(df, F.col(label))
+    if not sizes:
+        return df.select(*columns, label, F.lit(1).alias("copy"))
     rare = min(sizes, key=lambda v: (sizes[v], str(v)))
     few = df.filter(F.col(label).eqNullSafe(F.lit(rare))).dropna(subset=columns)
     stats = few.agg(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -121,3 +121,12 @@ def test_unknown_metric_is_an_error():
     assert metrics.metric_name("PR_AUC") == "auprc"
     with pytest.raises(ValueError):
         metrics.metric_name("accuracy")
+
+
+def test_no_rows(spark):
+    none = spark.createDataFrame([], "name string, y int, score double")
+    assert metrics.ranking_metrics(none, ["name"]).collect() == []
+    assert metrics.best_threshold(none, 0.6, ["name"]).collect() == []
+    assert metrics.curve_points(none).collect() == []
+    one = metrics.confusion(none, 0.5).first()
+    assert (one["tp"], one["f1"]) == (0, 0.0)

@@ -113,3 +113,16 @@ def test_synthetic_rows(spark, monkeypatch, part_rows):
 def test_enough_rows_already(rows):
     twice = rows.withColumn("a", F.col("id").cast("double"))
     assert split.synthetic_rows(twice, "g", ("id",), ["a"], 0.01).count() == 0
+
+
+def test_no_rows(spark):
+    """Every split and resampling of an empty table is empty."""
+    df = spark.createDataFrame([], "id long, y int, t timestamp, a double")
+    for method in ("stratified", "random", "time"):
+        opts = split.SplitOptions(key=("id",), label="y", method=method, timestamp="t")
+        out = split.split_rows(df, opts)
+        assert "split" in out.columns and out.count() == 0
+    assert split.undersample(df, "y", ("id",)).count() == 0
+    assert split.oversample(df, "y", ("id",)).count() == 0
+    assert split.synthetic_rows(df, "y", ("id",), ["a"]).count() == 0
+    assert split.stratified_folds(df, "y", ("id",)).count() == 0
