@@ -11,9 +11,6 @@ are never shuffled; only the last, small bucket is sorted.
 
 from __future__ import annotations
 
-import functools
-import operator
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,7 +48,9 @@ def _bucket(df: DataFrame, tree: str, value: str) -> DataFrame:
         f" least(greatest(floor(({v} - {tree}.q[_b]) / ({tree}.q[_b + 1] - {tree}.q[_b]) * {_PARTS}), 0),"
         f" {_PARTS - 1}) else 0 end"
     )
-    return df.withColumn("_bucket", F.col("_b") * _PARTS + part).drop(tree, "_a", "_b")
+    # Never NULL, so that a join on it asks for no check of the input rows.
+    number = F.coalesce(F.col("_b") * _PARTS + part, F.lit(0))
+    return df.withColumn("_bucket", number).drop(tree, "_a", "_b")
 
 
 def balanced_buckets(df: DataFrame, order: str) -> DataFrame:
@@ -72,32 +71,38 @@ def running_totals(
     # Cuts from the rows themselves: a pass over one column instead of a second grouping.
     tagged = _bucket(groups.withColumn("_tree", _cut_tree(df, F.col(order))), "_tree", order)
 
+    # The groups as keys that are never NULL: plain equality below keeps the partitioning
+    # of the window, null-safe equality would shuffle and sort the rows once more.
+    keys = [f"_key{i}" for i in range(len(by))]
+    for key, c in zip(keys, by):
+        text = F.concat(F.lit("="), F.col(f"`{c}`").cast("string"))
+        tagged = tagged.withColumn(key, F.coalesce(text, F.lit("null")))
+    place = [*keys, "_bucket"]
+
     def toward(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()
 
     inside = (
-        Window.partitionBy(*by, "_bucket")
+        Window.partitionBy(*place)
         .orderBy(toward(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = tagged.select("*", *[F.sum(n).over(inside).alias(f"_in_{n}") for n in sums])
 
     # At most BUCKETS rows per group of ``by``.
-    totals = tagged.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(n) for n in sums])
-    scope = Window.partitionBy(*by)
+    totals = tagged.groupBy(*place).agg(*[F.sum(n).alias(n) for n in sums])
+    scope = Window.partitionBy(*keys)
     before = scope.orderBy(toward("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *by,
-        "_bucket",
+        *place,
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_off_{n}") for n in sums],
         *[F.sum(n).over(scope).alias(f"all_{n}") for n in sums],
     )
-    # The window above already partitioned and sorted by these join keys. Null-safe
-    # equality keeps groups whose ``by`` is NULL.
-    left, right = local.alias("l"), offsets.alias("r")
-    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*by, "_bucket"]]
-    return left.join(right, functools.reduce(operator.and_, on)).select(
-        *[F.col(f"l.{c}") for c in [*by, order, *sums]],
+    # The window above already partitioned and sorted the rows by these join keys.
+    return local.join(offsets, place).select(
+        *by,
+        order,
+        *sums,
         *[(F.col(f"_in_{n}") + F.col(f"_off_{n}")).alias(f"cum_{n}") for n in sums],
         *[F.col(f"all_{n}") for n in sums],
     )
