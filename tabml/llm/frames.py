@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tabml.session import bounded_rows
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,14 +27,33 @@ def picked(key: Column, share: float | Column, seed: int = 7) -> Column:
 def sample_of(keys: DataFrame, by: str, size: int) -> DataFrame:
     """``keys`` (key, ``by``) thinned to about ``size`` rows per value of ``by``.
 
-    Adds ``weight``: how many rows each kept row stands for. The counts per value are
-    one row each.
+    Adds ``weight``: how many rows each kept row stands for. Values of ``by`` are classes:
+    their counts are a few rows, checked, and broadcast.
     """
     counts = keys.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    rows = [(r[by], r["_n"]) for r in bounded_rows(counts, 100_000, f"values of {by}")]
+    schema = T.StructType([keys.schema[by], T.StructField("_n", T.LongType())])
+    counts = F.broadcast(keys.sparkSession.createDataFrame(rows, schema))
     share = F.least(F.lit(1.0), F.lit(float(size)) / F.col("_n"))
     kept = keys.join(counts, by).filter(picked(F.col("key"), share))
     return kept.withColumn("weight", 1.0 / share).drop("_n")
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
+def quoted(columns: list[str]) -> list[str]:
+    return [f"`{c.replace('`', '``')}`" for c in columns]
+
+
+def small_or_plain(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -150,6 +150,13 @@ def measured(column: pa.Array, model: QualityModel | None) -> tuple[np.ndarray,
     return np.concatenate(counts), np.concatenate(chances)
 
 
+def _verdict(counts: np.ndarray, chance: np.ndarray, keep_at: float, min_words: int, max_repeat_percent: int):
+    """Which texts fail the base rules, and which are kept."""
+    n, repeat = counts[:, 0], counts[:, 4]
+    failed = (n < min_words) | (100 * repeat > max_repeat_percent * n)
+    return failed, ~failed & (chance >= keep_at)
+
+
 def judge(
     docs: DataFrame,
     model: QualityModel | None,
@@ -165,11 +172,10 @@ def judge(
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, chance = measured(batch.column("text"), model)
-            n, repeat = counts[:, 0], counts[:, 4]
-            failed = (n < min_words) | (100 * repeat > max_repeat_percent * n)
+            failed, kept = _verdict(counts, chance, keep_at, min_words, max_repeat_percent)
             columns = [pa.array(np.ascontiguousarray(counts[:, k])) for k in range(len(COUNTS))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), *columns, pa.array(chance), pa.array(failed), pa.array(~failed & (chance >= keep_at))],
+                [batch.column("key"), *columns, pa.array(chance), pa.array(failed), pa.array(kept)],
                 names=["key", *COUNTS, "probability", "base_failed", "kept"],
             )
 
@@ -179,3 +185,15 @@ def judge(
         + [T.StructField("kept", T.BooleanType())]
     )
     return rows.mapInArrow(judged, schema).withColumnRenamed("key", key)
+
+
+def keep(docs: DataFrame, model: QualityModel | None, text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns, in one pass."""
+    options = {"keep_at": 0.5, "min_words": 20, "max_repeat_percent": 30} | options
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, chance = measured(batch.column(text), model)
+            yield batch.filter(pa.array(_verdict(counts, chance, **options)[1]))
+
+    return docs.mapInArrow(kept, docs.schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import boosting, language, packing, quality, tokens
+from tabml.llm import boosting, jaccard, language, mixing, packing, quality, secrets, sketch, tokens, warc
 from tabml.llm.frames import remainder, table
 
 
@@ -33,24 +33,186 @@ def op3_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    ordered = mixed.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
+    return ordered.select("doc_id", "size", "source_size", "target", "taken", F.size("positions").cast("long").alias("passes"))
+
+
+def op5_jaccard_product(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, folder, "documents"))
+
+
 def op6_online_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     pieces = packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, drops_space=True)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    # The pages carry no capture time: one second after another by id.
+    captured = F.timestamp_seconds(F.lit(1_700_000_000) + F.coalesce("page_id", F.lit(0)))
+    index = warc.merged_index(warc.capture_runs(spark, warc.write_archives(pages, captured)))
+    return index.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "intact"
+    )
+
+
+def op8_paragraph_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.versions(table(spark, folder, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
     return quality.judge(docs, quality.fit(docs, labels))
 
 
+def op10_blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    kinds = [r.kind for r in secrets.BASE]
+    base = F.filter("found", lambda f: f["kind"].isin(kinds))
+    counts = [
+        F.size(F.filter("found", lambda f: f["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}")  # noqa: B023
+        for kind in kinds
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("found")).alias("spans")
+    )
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {
     "op1_language_codes": op1_language_codes,
     "op2_token_cache": op2_token_cache,
     "op3_quality_trees": op3_quality_trees,
+    "op4_curriculum_mix": op4_curriculum_mix,
+    "op5_jaccard_product": op5_jaccard_product,
     "op6_online_packing": op6_online_packing,
+    "op7_warc_index": op7_warc_index,
+    "op8_paragraph_sketch": op8_paragraph_sketch,
     "op9_quality_rules": op9_quality_rules,
+    "op10_blob_ledger": op10_blob_ledger,
+    "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+
+_OP4 = f"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{_WORD}')), 0) AS BIGINT) AS size,
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS draw
+  FROM documents),
+totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS whole FROM sized GROUP BY source),
+weighed AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS weight FROM totals),
+tiers AS (
+  SELECT *, sum(whole) OVER () AS words, sum(weight) OVER () AS weights,
+         coalesce(sum(3 * whole) OVER before, 0) AS held, coalesce(sum(weight) OVER before, 0) AS gone
+  FROM weighed
+  WINDOW before AS (ORDER BY whole / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+shares AS (
+  SELECT *, CAST(words - held AS DOUBLE) / CAST(weights - gone AS DOUBLE) AS share FROM tiers),
+share AS (
+  SELECT coalesce((SELECT share FROM shares WHERE 3 * whole > share * weight
+                   ORDER BY whole / weight, source ASC NULLS LAST LIMIT 1), 0) AS share),
+goals AS (
+  SELECT source, whole, CAST(CASE WHEN 3 * whole <= share.share * weight THEN 3 * whole ELSE share.share * weight END AS DOUBLE) AS target
+  FROM weighed, share),
+placed AS (
+  SELECT sized.*, whole, target,
+         sum(size) OVER (PARTITION BY sized.source ORDER BY draw, size, doc_id ROWS UNBOUNDED PRECEDING) - size / 2 AS middle
+  FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source),
+passed AS (
+  SELECT *, CASE WHEN whole > 0 THEN CAST(floor(target / whole) AS INTEGER) ELSE 0 END AS turns FROM placed)
+SELECT doc_id, size, whole AS source_size, target,
+       CAST(size * (turns + CASE WHEN middle < target - turns * whole THEN 1 ELSE 0 END) AS BIGINT) AS taken,
+       CAST(turns + CASE WHEN middle < target - turns * whole THEN 1 ELSE 0 END AS BIGINT) AS passes
+FROM passed
+"""
+
+_OP5 = f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}'), []) AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct([array_to_string(w[i : i + 3], ' ') for i in range(1, len(w) - 2)]) END AS grams
+  FROM worded),
+cells AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM cells a JOIN cells b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION
+  SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a)
+SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
+"""
+
+_OP7 = r"""
+WITH sized AS (
+  SELECT page_id, url, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+copies AS (SELECT digest, max(page_id) AS first, count(*) AS c FROM sized WHERE n >= 1000 GROUP BY digest),
+parts AS (
+  SELECT *, regexp_replace(coalesce(url, ''), '^[^:]*://', '') AS rest FROM sized LEFT JOIN copies USING (digest)),
+hosts AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/]*')), ':.*$', ''), '^www[.]', '') AS host,
+         lower(regexp_replace(regexp_replace(rest, '^[^/]*/?', ''), '#.*$', '')) AS path
+  FROM parts)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN c > 1 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN c > 1 AND page_id <> first THEN first END AS refers_to,
+       CASE WHEN coalesce(url, '') = '' THEN '' ELSE
+         array_to_string(list_reverse(string_split(host, '.')), ',') || ')/' || path END AS url_key,
+       CAST(1700000000 + coalesce(page_id, 0) AS BIGINT) AS captured, true AS intact
+FROM hosts
+"""
+
+
+def _op10() -> str:
+    """Matches of each rule: the text with marks around them is split, lengths before a part are its place."""
+    parts = []
+    for place, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        keeps = f"length(regexp_extract(part, '{pattern}', {rule.group})) >= {rule.least}"
+        parts.append(f"""
+  SELECT doc_id, '{rule.kind}' AS kind, {place} AS place, start, start + length(part) AS stop
+  FROM (SELECT doc_id, split[i] AS part, coalesce(list_sum([length(x) for x in split[1 : i - 1]]), 0) AS start
+        FROM (SELECT doc_id, split, unnest(range(2, len(split) + 1, 2)) AS i
+              FROM (SELECT doc_id, string_split(replace(regexp_replace(plain, '{pattern}', chr(1) || '\\0' || chr(2), 'g'),
+                                                        chr(2), chr(1)), chr(1)) AS split FROM texts)))
+  WHERE {keeps if rule.least else "true"}""")
+    base = ", ".join(f"'{r.kind}'" for r in secrets.BASE)
+    counts = ", ".join(
+        f"CAST(count(*) FILTER (kind = '{r.kind}') AS BIGINT) AS n_{r.kind}" for r in secrets.BASE
+    )
+    order = "ORDER BY start, place, stop"
+    span = "kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT)"
+    return f"""
+WITH texts AS (
+  SELECT doc_id, replace(replace(coalesce(text, ''), chr(1), chr(3)), chr(2), chr(3)) AS plain FROM documents),
+spans AS ({" UNION ALL ".join(parts)}),
+found AS (
+  SELECT doc_id, {counts}, string_agg({span}, ',' {order}) FILTER (kind IN ({base})) AS base,
+         string_agg({span}, ',' {order}) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.BASE)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN found USING (doc_id)
+"""
+
+
+SQL: dict[str, str] = {
+    "op4_curriculum_mix": _OP4,
+    "op5_jaccard_product": _OP5,
+    "op7_warc_index": _OP7,
+    "op10_blob_ledger": _op10(),
+}
