@@ -56,7 +56,7 @@ def grow(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 80, dep
     mean = float(np.average(y, weights=weight)) if n else 0.5
     base = float(np.log((mean + 1e-4) / (1 - mean + 1e-4)))
     inner, leaves = 2**depth - 1, 2**depth
-    if not 0 < mean < 1:
+    if not n or not 0 < mean < 1:
         return Trees(base, np.zeros((0, inner), int), np.zeros((0, inner)), np.zeros((0, leaves)))
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(columns)]
     binned = np.stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(cuts)], 1)

@@ -100,10 +100,22 @@ def test_time_inverts_the_integral(spark, knots):
 def test_curriculum_moves_sources_over_time(spark):
     rows = [(i, "w " * 10, "abc"[i % 3]) for i in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    order = [r["source"] for r in mixing.in_training_order(docs).select("source").collect()]
-    half = len(order) // 2
-    early, late = Counter(order[:half]), Counter(order[half:])
-    assert early["a"] > 1.3 * late["a"] and late["c"] > 1.3 * early["c"] and abs(early["b"] - late["b"]) < 0.1 * early["b"]
+    early, late, total = Counter(), Counter(), 30_000
+    for r in mixing.mix(docs).collect():
+        for p in r["positions"]:
+            (early if p < total / 2 else late)[r["source"]] += 1
+    assert early["a"] > 1.3 * late["a"] and late["c"] > 1.3 * early["c"] and abs(early["b"] - late["b"]) <= 2
+    # The rows come in the order of their positions.
+    order = [r["doc_id"] for r in mixing.in_training_order(docs).select("doc_id").collect()]
+    at = sorted((p, r["doc_id"]) for r in mixing.mix(docs).collect() for p in r["positions"])
+    place = {}
+    for p, k in at:
+        place.setdefault(k, []).append(p)
+    seen, last = Counter(), -1.0
+    for k in order:
+        assert place[k][seen[k]] >= last
+        last = place[k][seen[k]]
+        seen[k] += 1
 
 
 def test_order_is_by_digest(spark):

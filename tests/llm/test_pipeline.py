@@ -21,7 +21,8 @@ def stages(spark, sf):
         docs = out
 
 
-def test_stages_against_brute_force(spark, sf):
+def test_stages_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"  # the smallest tables that hold secrets
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "near_duplicates", "secret_scans", "source_mixture", "packed_sequences"]
     for name, got, out in stages(spark, sf):

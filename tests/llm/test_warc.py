@@ -112,7 +112,7 @@ def test_loser_tree_merges_any_runs():
 
 
 def test_damage_is_noticed():
-    record = b"WARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Payload-Digest: sha1:00\r\nContent-Length: 41\r\n\r\n"
+    record = b"WARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Payload-Digest: sha1:00\r\nContent-Length: 42\r\n\r\n"
     capture, body = warc.parsed(record + b"HTTP/1.1 200 OK\r\nContent-Length: 4\r\n\r\nbody")
     assert not capture["intact"] and body == b"body"
 
