@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabml.llm import text as tx
-from tabml.llm.frames import sample_of
+from tabml.llm.frames import in_batches, sample_of
 from tabml.llm.linear import sigmoid
 
 BINS = 64
@@ -166,11 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, key: str = "d
     # The sample is bounded by the parameter, so it may be broadcast.
     picks = F.broadcast(sample_of(rows, "label", per_class))
     texts = docs.select(F.col(key).alias("key"), "text").join(picks, "key")
-    found = (
-        texts.select(F.col("key").cast("string").alias("key"), "label", "weight", "text")
-        .mapInArrow(_profiles, "key string, label int, weight double, x binary")
-        .collect()
-    )
+    texts = texts.select(F.col("key").cast("string").alias("key"), "label", "weight", "text")
+    found = in_batches(texts, _profiles, "key string, label int, weight double, x binary").collect()
     found = sorted(found, key=lambda r: (r["key"], r["label"], bytes(r["x"])))
     x = np.array([np.frombuffer(r["x"]) for r in found]).reshape(-1, len(FEATURES))
     y = np.array([r["label"] for r in found], float)
@@ -188,4 +185,4 @@ def score(docs: DataFrame, model: Trees, key: str = "doc_id", text: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(p)], names=["key", "score"])
 
     schema = T.StructType([rows.schema["key"], T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(scored, schema).withColumnRenamed("key", key)
+    return in_batches(rows, scored, schema).withColumnRenamed("key", key)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabml.llm.text import released
 from tabml.session import bounded_rows
 
 
@@ -55,5 +58,18 @@ def small_or_plain(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+BATCH_ROWS = 2_000
+
+
+def in_batches(rows: DataFrame, work: Callable, schema) -> DataFrame:
+    """``rows.mapInArrow`` for texts: batches of ``BATCH_ROWS`` rows at most, and workers that return
+    their memory. The session's Arrow batch size is lowered for that, never raised."""
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(name, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return rows.mapInArrow(lambda batches: released(work(batches)), schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

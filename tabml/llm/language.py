@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabml.llm import text as tx
-from tabml.llm.frames import sample_of
+from tabml.llm.frames import in_batches, sample_of
 from tabml.llm.linear import calibrated
 
 UNKNOWN = "und"
@@ -96,12 +96,8 @@ def fit(labelled: DataFrame, per_language: int = 400) -> LanguageModel:
     # The sample is bounded by the parameter, so its keys may be broadcast.
     chosen = F.broadcast(picks.select("key", "lang").distinct())
     texts = rows.select(F.col("key").cast("string").alias("key"), "lang", _lowered(F.col("text")).alias("text"))
-    found = (
-        texts.join(chosen, ["key", "lang"], "left_semi")
-        .select("key", "lang", "text")
-        .mapInArrow(_profiles, "key string, lang string, slots binary, counts binary")
-        .collect()
-    )
+    texts = texts.join(chosen, ["key", "lang"], "left_semi").select("key", "lang", "text")
+    found = in_batches(texts, _profiles, "key string, lang string, slots binary, counts binary").collect()
     found = sorted(found, key=lambda r: (r["lang"], r["key"], bytes(r["slots"]), bytes(r["counts"])))
     return _learned(
         [r["lang"] for r in found],
@@ -198,4 +194,4 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
         [rows.schema["key"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
         + [T.StructField("ambiguous", T.BooleanType())]
     )
-    return rows.mapInArrow(scored, schema).withColumnRenamed("key", key)
+    return in_batches(rows, scored, schema).withColumnRenamed("key", key)

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabml.llm.encoding import encoder
+from tabml.llm.frames import in_batches
 from tabml.llm.tokens import slices
 from tabml.session import staged
 
@@ -182,7 +183,7 @@ def packed(
             yield batch_of(out)
 
     tables, level = [], 0
-    pieces = staged(rows.mapInArrow(pack, schema), "packed")
+    pieces = staged(in_batches(rows, pack, schema), "packed")
     while True:
         tables.append(pieces.filter(F.col("left_by").isNull()))
         left = pieces.filter(F.col("left_by").isNotNull())

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabml.llm import text as tx
-from tabml.llm.frames import sample_of
+from tabml.llm.frames import in_batches, sample_of
 from tabml.llm.linear import calibrated, sigmoid, sparse_logistic
 
 BITS = 15
@@ -96,13 +96,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, key: str = "d
     rows = rows.filter(F.col("key").isNotNull() & F.col("label").isin(0, 1))
     # The sample is bounded by the parameter, so it may be broadcast.
     picks = F.broadcast(sample_of(rows, "label", per_class))
-    found = (
-        docs.select(F.col(key).alias("key"), "text")
-        .join(picks, "key")
-        .select(F.col("key").cast("string").alias("key"), "label", "weight", "text")
-        .mapInArrow(_profiles, "key string, label int, weight double, slots binary, shares binary")
-        .collect()
-    )
+    texts = docs.select(F.col(key).alias("key"), "text").join(picks, "key")
+    texts = texts.select(F.col("key").cast("string").alias("key"), "label", "weight", "text")
+    found = in_batches(texts, _profiles, "key string, label int, weight double, slots binary, shares binary").collect()
     found = sorted(found, key=lambda r: (r["label"], r["key"], bytes(r["slots"]), bytes(r["shares"])))
     y = np.array([r["label"] for r in found], float)
     if not 0 < y.sum() < len(y):
@@ -121,6 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, key: str = "d
     margin = np.array([(weights[s] * v).sum() + intercept for s, v in zip(slots, shares)])
     use = held if held.any() else np.ones(len(y), bool)
     slope, shift = calibrated(margin[use], y[use], weight[use])
+    del found, slots, shares
+    tx.release()
     return QualityModel(weights.astype(np.float32), intercept, slope, shift)
 
 
@@ -184,7 +182,7 @@ def judge(
         + [T.StructField("probability", T.DoubleType()), T.StructField("base_failed", T.BooleanType())]
         + [T.StructField("kept", T.BooleanType())]
     )
-    return rows.mapInArrow(judged, schema).withColumnRenamed("key", key)
+    return in_batches(rows, judged, schema).withColumnRenamed("key", key)
 
 
 def keep(docs: DataFrame, model: QualityModel | None, text: str = "text", **options) -> DataFrame:
@@ -196,4 +194,4 @@ def keep(docs: DataFrame, model: QualityModel | None, text: str = "text", **opti
             counts, chance = measured(batch.column(text), model)
             yield batch.filter(pa.array(_verdict(counts, chance, **options)[1]))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return in_batches(docs, kept, docs.schema)

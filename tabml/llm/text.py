@@ -8,13 +8,14 @@ other than space, tab, line feed, vertical tab, form feed and carriage return.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -24,6 +25,20 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def release() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; when they end, freed memory goes back to the system, as workers live on."""
+    yield from batches
+    release()
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; NULL counts as the empty text."""
     if isinstance(column, pa.ChunkedArray):

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm.frames import partitions
+from tabml.llm.frames import in_batches, partitions
 from tabml.session import new_path, staged
 
 VERSION = "WARC/1.1"
@@ -226,7 +226,7 @@ def capture_runs(spark: SparkSession, path: str) -> DataFrame:
             run, place = [part * (1 << 24) + number] * len(found), list(range(len(found)))
             yield _batch(found, (("run", pa.int64(), run), ("place", pa.int64(), place)))
 
-    return lines.filter("value <> ''").mapInArrow(runs, f"{_DDL}, run long, place long")
+    return in_batches(lines.filter("value <> ''"), runs, f"{_DDL}, run long, place long")
 
 
 class LoserTree:
@@ -295,4 +295,4 @@ def payloads(spark: SparkSession, path: str) -> DataFrame:
             columns = [pa.array([k for k, _ in kept], pa.int64()), pa.array([b for _, b in kept], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "payload"])
 
-    return lines.filter("value <> ''").mapInArrow(read, "page_id long, payload string")
+    return in_batches(lines.filter("value <> ''"), read, "page_id long, payload string")
