@@ -13,14 +13,15 @@ every pair; only the cells that can reach the similarity are formed:
   them discards most other cells; the rest get their overlap from whole rows.
 
 The order of columns follows counts of frequent n-grams: those found in several texts of
-one batch, summed over batches, the ``N_COMMON`` most frequent. Any order gives the same
+a chunk, summed over chunks: whole powers of two from the top, ``N_COMMON`` at most. Any order gives the same
 result; it only decides how many cells are formed.
 
-A large group of near copies would form a cell for each of its pairs. So the cells of each
-column's smallest row come first (a star per column instead of all pairs), their links
-are merged into components, and the other cells are formed only between rows of
-different components. Cells inside a component can't change the components, so none
-is lost.
+A large group of near copies would form a cell for each of its pairs. So some rounds form
+star cells first: with each column's most popular row (the one with the most rows in its
+columns, the likely original) instead of all pairs, and of each row the few that share
+the most columns. Their links are merged into components, and all other cells are formed only
+between rows of different components. Cells inside a component can't change the components, so
+none is lost.
 
 n-grams are 64-bit hashes. Rows travel by a number: the key, if it is a whole number, else
 its hash. Intermediate tables lie in the shared work folder.
@@ -43,11 +44,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabml.llm import text as tx
-from tabml.llm.frames import free_name, quoted, small_or_plain
+from tabml.llm.frames import free_name, in_batches, quoted, small_or_plain
 from tabml.session import staged
 
-N_COMMON = 1 << 17  # frequent n-grams whose order is known: at most 2 MB broadcast
-_LOCAL, _TOTAL = 3, 12  # texts of a batch, and of all batches, that make an n-gram frequent
+N_COMMON = 1 << 18  # frequent n-grams whose order is known: at most 3 MB broadcast
+_CHUNK = 2_000_000  # n-grams that a task counts at a time
+_LOCAL, _TOTAL = 2, 8  # texts of a chunk, and of such counts together, that make an n-gram frequent
+_ROUNDS, _STARS = 3, 2  # rounds of star cells, and cells of a row in each
 _SMALL = 1_000_000  # rows of one number that may be broadcast
 
 
@@ -96,47 +99,70 @@ def _number(kind: T.DataType) -> Column:
 
 
 def sizes(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
-    """(key, n, d1, d2, grams, counts): set sizes and digests; each batch's frequent n-grams in one row."""
+    """(key, n, d1, d2, grams, counts): set sizes and digests; each chunk's frequent n-grams in one row."""
     rows = _rows(docs, key, text)
 
+    def frequent(seen: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        gram, times = np.unique(np.concatenate(seen), return_counts=True)
+        often = times >= _LOCAL
+        return gram[often].view(np.int64), times[often].astype(np.int64)
+
+    def finished(columns: list, lists: tuple | None) -> pa.RecordBatch:
+        """The batch, with the frequent n-grams of a chunk in its first row."""
+        rest = [None] * (len(columns[0]) - 1)
+        grams, counts = ([None], [None]) if lists is None else ([lists[0]], [lists[1]])
+        columns = [*columns, pa.array(grams + rest, pa.list_(pa.int64())), pa.array(counts + rest, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "n", "d1", "d2", "grams", "counts"])
+
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, size, last, lists = [], 0, None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            n, d1, d2, seen = [], [], [], []
+            if last is not None:
+                yield finished(last, lists)
+            n, d1, d2, lists = [], [], [], None
             for _, _, data, offsets in tx.blocks(*tx.utf8(batch.column("text"))):
                 hashes, bounds = grams_of(data, offsets, width)
                 n.append(np.diff(bounds))
                 d1.append(_totals(tx.mixed(hashes + np.uint64(1)), bounds))
                 d2.append(_totals(tx.mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)), bounds))
                 seen.append(hashes)
-            gram, times = np.unique(np.concatenate(seen), return_counts=True)
-            often = times >= _LOCAL
-            rest = [None] * (batch.num_rows - 1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key"),
-                    pa.array(np.concatenate(n).astype(np.int64)),
-                    _signed(np.concatenate(d1)),
-                    _signed(np.concatenate(d2)),
-                    pa.array([gram[often].view(np.int64), *rest], pa.list_(pa.int64())),
-                    pa.array([times[often].astype(np.int64), *rest], pa.list_(pa.int64())),
-                ],
-                names=["key", "n", "d1", "d2", "grams", "counts"],
-            )
+                size += len(hashes)
+            if size >= _CHUNK:
+                lists, seen, size = frequent(seen), [], 0
+            last = [
+                batch.column("key"),
+                pa.array(np.concatenate(n).astype(np.int64)),
+                _signed(np.concatenate(d1)),
+                _signed(np.concatenate(d2)),
+            ]
+        if last is not None:
+            if lists is None and seen:
+                lists = frequent(seen)
+            yield finished(last, lists)
 
     numbers = [T.StructField(c, T.LongType()) for c in ("n", "d1", "d2")]
     lists = [T.StructField(c, T.ArrayType(T.LongType())) for c in ("grams", "counts")]
-    return rows.mapInArrow(measured, T.StructType([rows.schema["key"], *numbers, *lists]))
+    return in_batches(rows, measured, T.StructType([rows.schema["key"], *numbers, *lists]))
 
 
 def common_grams(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent n-grams, sorted, and their frequency bands; at most ``N_COMMON``."""
     pairs = found.filter(F.size("grams") > 0).select(F.explode(F.arrays_zip("grams", "counts")).alias("p"))
     counts = pairs.groupBy(F.col("p.grams").alias("gram")).agg(F.sum("p.counts").alias("n")).filter(F.col("n") >= _TOTAL)
-    top = counts.orderBy(F.desc("n"), "gram").limit(N_COMMON).toArrow()
+    counts = staged(counts, "frequent-grams")
+    # How many n-grams are in how many texts, by power of two: the bands that fit.
+    bands = counts.groupBy(F.floor(F.log2("n")).alias("band")).agg(F.count(F.lit(1)).alias("grams"))
+    least, total = None, 0
+    for band, grams in sorted(map(tuple, bands.collect()), reverse=True):
+        total += grams
+        if total > N_COMMON:
+            break
+        least = band
+    top = counts.filter(F.lit(False) if least is None else F.floor(F.log2("n")) >= least).toArrow()
     gram = top.column("gram").to_numpy().astype(np.int64).view(np.uint64)
-    band = 1 + np.minimum(np.log2(np.maximum(top.column("n").to_numpy(), 1)).astype(np.int64), 29)
+    band = (1 + np.minimum(np.log2(np.maximum(top.column("n").to_numpy(), 1)), 29)).astype(np.uint8)
     order = np.argsort(gram)
     return gram[order], band[order]
 
@@ -147,7 +173,7 @@ def coded(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarr
     code = (hashes >> np.uint64(6)).astype(np.int64)
     if len(gram):
         at = np.minimum(np.searchsorted(gram, hashes), len(gram) - 1)
-        code += np.where(gram[at] == hashes, band[at], 0) << 58
+        code += np.where(gram[at] == hashes, band[at], 0).astype(np.int64) << 58
     return code
 
 
@@ -180,7 +206,7 @@ def incidence(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], width: int
 
     numbers = [T.StructField(c, T.LongType()) for c in ("n", "d1", "d2")]
     schema = T.StructType([rows.schema["key"], *numbers, T.StructField("columns", T.ArrayType(T.LongType()))])
-    return rows.mapInArrow(listed, schema)
+    return in_batches(rows, listed, schema)
 
 
 # ---------------------------------------------------------------- components
@@ -224,10 +250,37 @@ def _need(percent: int, n: Column, m: Column) -> Column:
 
 
 def _room(percent: int, a: str, b: str) -> Column:
-    """Size bounds of a cell of row ``b`` and a row ``a`` that is no larger, at one common column."""
+    """Size bounds of the cell of two rows at a common column: can the overlap be large enough?"""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     left = F.least(n - F.col(f"{a}.pos"), m - F.col(f"{b}.pos"))
-    return (100 * n >= percent * m) & (left >= _need(percent, n, m))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (left >= _need(percent, n, m))
+
+
+def _cell(a: str, b: str) -> list[Column]:
+    """A pair of rows, whichever way round it was found."""
+    return [F.least(f"{a}.node", f"{b}.node").alias("a"), F.greatest(f"{a}.node", f"{b}.node").alias("b")]
+
+
+def _mixed(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The columns that hold rows of several components, with each row's ``root``."""
+    column = Window.partitionBy("col")
+    named = shared.withColumn("root", F.col("node"))
+    if roots is not None:
+        named = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = named.withColumn("lo", F.min("root").over(column)).withColumn("hi", F.max("root").over(column))
+    return named.filter("lo <> hi").select("col", "node", "n", "pos", "popular", "root")
+
+
+def _star_cells(mixed: DataFrame, percent: int) -> DataFrame:
+    """Cells of each column's most popular row with the rows of other components: of a row's
+    cells the ``_STARS`` that share the most columns."""
+    first = F.max(F.struct("popular", "node", "n", "pos", "root")).over(Window.partitionBy("col"))
+    stars = mixed.select(F.struct("node", "n", "pos", "root").alias("b"), first.alias("a"))
+    stars = stars.filter(F.col("a.root") != F.col("b.root")).filter(_room(percent, "a", "b"))
+    stars = stars.groupBy(F.col("b.node").alias("row"), *_cell("a", "b")).agg(F.count(F.lit(1)).alias("columns"))
+    most = Window.partitionBy("row").orderBy(F.desc("columns"), "a", "b")
+    best = stars.withColumn("place", F.row_number().over(most)).filter(F.col("place") <= _STARS)
+    return best.select("a", "b").distinct()
 
 
 def _similar(pairs: DataFrame, rows: DataFrame, docs: DataFrame, common, width: int, percent: int, key: str, text: str) -> DataFrame:
@@ -275,38 +328,51 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
 
     # Blocks of columns: every row that has a column in its prefix meets in the column's partition.
     cells = rows.select("node", "n", F.posexplode("columns").alias("pos", "col"))
-    column = Window.partitionBy("col")
-    smallest = F.min(F.struct("n", "node", "pos")).over(column)
-    shared = cells.withColumn("low", smallest).withColumn("rows", F.count(F.lit(1)).over(column)).filter("rows > 1")
-    shared = staged(shared.drop("rows"), "shared-columns")
+    cells = cells.withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("col")))
+    shared = staged(cells.filter("rows > 1"), "shared-columns")
+    popular = shared.groupBy("node").agg(F.sum("rows").alias("popular"))
+    shared = staged(shared.drop("rows").join(popular, "node"), "popular-rows")
 
-    stars = shared.select(F.struct("node", "n", "pos").alias("b"), F.col("low").alias("a")).filter("a.node <> b.node")
-    stars = stars.filter(_room(percent, "a", "b")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    stars = staged(stars, "star-cells")
     # A key with several texts ties their classes together.
     texts = members.filter("n > 0").select("node", "d1", "d2").distinct()
     several = texts.groupBy("node").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("node")
     same = texts.join(several, "node").join(classes.withColumnRenamed("node", "b"), ["d1", "d2"]).select(F.col("node").alias("a"), "b")
-    first = _similar(stars, rows, docs, common, width, percent, key, text).unionByName(same)
-    first = staged(first, "star-links")
-    merged = components(first)
+    links = staged(same, "links-of-keys")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        return staged(_similar(pairs, rows, docs, common, width, percent, key, text), "new-links")
+
+    tried, roots = None, None if links.isEmpty() else components(links)
+    for _ in range(_ROUNDS):
+        pairs = _star_cells(staged(_mixed(shared, roots), "mixed-columns"), percent)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = staged(pairs, "star-cells")
+        new = similar(pairs)
+        if new.isEmpty():
+            break
+        # A component is its roots' star: old links beyond that add nothing.
+        known = new if roots is None else new.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = components(known)
+        tried = pairs if tried is None else tried.unionByName(pairs)
 
-    named = shared.join(merged, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = named.withColumn("lo", F.min("root").over(column)).withColumn("hi", F.max("root").over(column))
-    mixed = staged(mixed.filter("lo <> hi").select("col", "node", "n", "pos", "root"), "mixed-columns")
+    mixed = staged(_mixed(shared, roots), "mixed-columns")
     one, other = mixed.alias("a"), mixed.alias("b")
-    rising = F.struct("a.n", "a.node") < F.struct("b.n", "b.node")
-    apart = (F.col("a.col") == F.col("b.col")) & (F.col("a.root") != F.col("b.root")) & rising & _room(percent, "a", "b")
-    rest = one.join(other, apart).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    rest = staged(rest.join(stars, ["a", "b"], "left_anti"), "other-cells")
-    second = _similar(rest, rows, docs, common, width, percent, key, text)
-    roots = components(first.unionByName(second))
-
+    apart = (F.col("a.col") == F.col("b.col")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
+    rest = one.join(other, apart & _room(percent, "a", "b")).select(*_cell("a", "b")).distinct()
+    if tried is not None:
+        rest = rest.join(tried, ["a", "b"], "left_anti")
+    new = similar(staged(rest, "other-cells"))
+    known = new if roots is None else new.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    roots = components(known)
+
+    # Tables that are written first make joins of two tables, which may be split where they are skewed.
     tied = classes.join(roots, "node", "left").select("d1", "d2", F.coalesce("root", "node").alias("class_root"))
+    tied = staged(tied, "class-roots")
     own = members.join(tied, ["d1", "d2"], "left").withColumn("root", F.coalesce("class_root", "node"))
     # Texts without words share a digest but not a component.
     own = staged(own.select("key", "n", F.when(F.col("n") > 0, F.col("root")).alias("root")), "members")
-    least = own.filter("n > 0").groupBy("root").agg(F.min("key").alias("component_id"))
+    least = staged(own.filter("n > 0").groupBy("root").agg(F.min("key").alias("component_id")), "component-keys")
     out = own.join(least, "root", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id")
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component)
