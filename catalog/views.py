@@ -167,41 +167,35 @@ _VIEWS = {
       + case when l_returnflag = 'R' then 17 else 0 end) % 91) / 91.0::double as score,
     l_orderkey % 3 as grp
   from lineitem""",
-    # parsed headers, flags, spine: shared by the cohort comparisons
-    "h": """
-  select person_id, claim_id, upper(claim_type) as claim_type, drg,
-    lpad(bill_type, 3, '0') as bill_type3,
-    try_cast(service_from as date) as svc_from, try_cast(service_thru as date) as svc_thru,
-    provider_id, try_cast(allowed_amount as double) as allowed,
-    try_cast(copay_amount as double) as copay, try_cast(coinsurance_amount as double) as coinsurance,
-    try_cast(deductible_amount as double) as deductible
-  from x_header where service_from is not null""",
-    "lf": """
-  select claim_id,
-    max(case when revenue_code like '045%' or revenue_code = '0981' then 1 else 0 end) as has_er_revenue
-  from x_line group by 1""",
-    "hf": """
-  select h.claim_id, h.person_id, h.svc_from,
-    case when (claim_type = 'INST' and (drg is not null or bill_type3 like '11%' or bill_type3 like '12%'))
-      or coalesce(has_er_revenue, 0) = 1 then 1 else 0 end as is_acute
-  from h left join lf on lf.claim_id = h.claim_id""",
-    "mm": """
-  select m.person_id, cast(date_trunc('month', svc_from) as date) as index_month,
-    last_day(svc_from) as index_date
-  from x_member m join h on h.person_id = m.person_id
-  where svc_from is not null group by 1, 2, 3""",
-    "rx": """
-  select person_id, try_cast(fill_date as date) as fill_day, ndc, prescriber_id,
-    cast(try_cast(days_supply as decimal(38, 0)) as int) as supply,
-    try_cast(paid_amount as double) as rx_paid, drug_name
+    # One relation per kind of event, each event with its parsed day and its own flags.
+    "visit": """
+  select person_id, claim_id, upper(claim_type) as kind, drg, lpad(bill_type, 3, '0') as bill,
+    try_cast(service_from as date) as day, try_cast(service_thru as date) as until, provider_id,
+    try_cast(allowed_amount as double) as allowed, try_cast(copay_amount as double) as copay,
+    try_cast(coinsurance_amount as double) as coinsurance, try_cast(deductible_amount as double) as deductible,
+    urgent is not null as emergency,
+    kind = 'INST' and (left(bill, 2) in ('11', '12') or drg is not null) as admitted,
+    cast(emergency or coalesce(admitted, false) as bigint) as acute
+ from x_header left join (select distinct claim_id as urgent from x_line
+    where revenue_code = '0981' or left(revenue_code, 3) = '045') on claim_id = urgent
+  where service_from is not null""",
+    "fill": """
+  select person_id, try_cast(fill_date as date) as day, ndc, prescriber_id, drug_name,
+    cast(try_cast(days_supply as decimal(38, 0)) as int) as supply, try_cast(paid_amount as double) as paid
   from x_pharmacy where fill_date is not null""",
+    "coding": """
+  select x_diagnosis.person_id, day, left(upper(dx_code), 3) as family
+  from x_diagnosis join (select claim_id, day from visit) using (claim_id)""",
+    # Every month in which a member has a visit, and its last day.
+    "person_month": """
+  select distinct person_id, date_trunc('month', day)::date as index_month, last_day(day) as closing
+  from visit semi join x_member using (person_id) where day is not null""",
 }
 _NEEDS = {
-    "h": ["x_header"],
-    "lf": ["x_line"],
-    "hf": ["h", "lf"],
-    "mm": ["x_member", "h"],
-    "rx": ["x_pharmacy"],
+    "visit": ["x_header", "x_line"],
+    "fill": ["x_pharmacy"],
+    "coding": ["x_diagnosis", "visit"],
+    "person_month": ["x_member", "visit"],
 }
 
 
