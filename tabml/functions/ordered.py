@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 from tabml.session import bounded_rows
 
 _CUTS = 256  # buckets between approximate quantiles, found by two 16-way searches
-_PARTS = 16  # equal-width parts inside each bucket
-BUCKETS = _CUTS * _PARTS
+_PARTS = 16  # equal-width parts inside each bucket, at least
+_PART_ROWS = 4_000  # rows that a part is meant for: more rows make more parts
 
 
 def _cut_tree(df: DataFrame, order: Column) -> Column:
@@ -28,9 +28,9 @@ def _cut_tree(df: DataFrame, order: Column) -> Column:
     They only balance the buckets, so the sketch that every task sends is kept small.
     """
     shares = F.expr("array(" + ",".join(f"{i / _CUTS}D" for i in range(_CUTS + 1)) + ")")
-    cuts = df.agg(F.percentile_approx(order.cast("double"), shares, 1024).alias("q"))
+    cuts = df.agg(F.percentile_approx(order.cast("double"), shares, 1024).alias("q"), F.count(order).alias("n"))
     return cuts.selectExpr(
-        "struct(q, transform(sequence(1, 15), i -> q[i * 16]) as top,"
+        f"struct(q, greatest({_PARTS}L, n div {_CUTS * _PART_ROWS}L) as parts, transform(sequence(1, 15), i -> q[i * 16]) as top,"
         " transform(sequence(0, 15), k -> transform(sequence(1, 15), i -> q[k * 16 + i])) as low) as t"
     ).scalar()
 
@@ -45,11 +45,11 @@ def _bucket(df: DataFrame, tree: str, value: str) -> DataFrame:
     df = df.withColumn("_b", F.expr(f"_a * 16 + size(filter({tree}.low[_a], c -> c < {v}))"))
     part = F.expr(
         f"case when {tree}.q[_b + 1] > {tree}.q[_b] then"
-        f" least(greatest(floor(({v} - {tree}.q[_b]) / ({tree}.q[_b + 1] - {tree}.q[_b]) * {_PARTS}), 0),"
-        f" {_PARTS - 1}) else 0 end"
+        f" least(greatest(floor(({v} - {tree}.q[_b]) / ({tree}.q[_b + 1] - {tree}.q[_b]) * {tree}.parts), 0),"
+        f" {tree}.parts - 1) else 0 end"
     )
     # Never NULL, so that a join on it asks for no check of the input rows.
-    number = F.coalesce(F.col("_b") * _PARTS + part, F.lit(0))
+    number = F.coalesce(F.col("_b") * F.col(f"{tree}.parts") + part, F.lit(0))
     return df.withColumn("_bucket", number).drop(tree, "_a", "_b")
 
 
@@ -89,7 +89,7 @@ def running_totals(
     )
     local = tagged.select("*", *[F.sum(n).over(inside).alias(f"_in_{n}") for n in sums])
 
-    # At most BUCKETS rows per group of ``by``.
+    # A row per bucket and group of ``by``: some thousandth of the rows.
     totals = tagged.groupBy(*place).agg(*[F.sum(n).alias(n) for n in sums])
     scope = Window.partitionBy(*keys)
     before = scope.orderBy(toward("_bucket")).rowsBetween(Window.unboundedPreceding, -1)

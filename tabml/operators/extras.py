@@ -5,9 +5,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, Tokenizer, VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,21 +55,18 @@ def clip_outliers(
     return df.withColumns({c: clip(c) for c in columns if c in edges})
 
 
+PAIRS = 200  # pairs of columns in one aggregation: more make a plan too wide to compile
+
+
 def _pairwise(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], float]:
-    """Correlation of every pair: one pass, one value per pair of columns."""
-    if len(columns) <= 40:
-        pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-        row = df.agg(
-            *[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)]
-        ).first()
-        return {p: row[i] for i, p in enumerate(pairs)}
-    vectors = VectorAssembler(inputCols=columns, outputCol="v", handleInvalid="skip").transform(df)
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    return {
-        (a, columns[j]): float(matrix[i, j])
-        for i, a in enumerate(columns)
-        for j in range(i + 1, len(columns))
-    }
+    """Correlation of every pair over the rows where both are known, a pass per ``PAIRS`` pairs."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    out: dict[tuple[str, str], float] = {}
+    for at in range(0, len(pairs), PAIRS):
+        part = pairs[at : at + PAIRS]
+        both = [F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(part)]
+        out.update(zip(part, df.agg(*both).first()))
+    return out
 
 
 def correlated_columns(df: DataFrame, columns: list[str], limit: float = 0.95) -> list[str]:
@@ -88,11 +82,17 @@ def correlated_columns(df: DataFrame, columns: list[str], limit: float = 0.95) -
     return dropped
 
 
-def text_weights(df: DataFrame, column: str, out: str = "tfidf", slots: int = 1 << 18, min_docs: int = 1):
-    """Fitted tf-idf pipeline over whole texts; terms are hashed, so no vocabulary is held."""
-    stages = [
-        Tokenizer(inputCol=column, outputCol="_words"),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=slots),
-        IDF(inputCol="_tf", outputCol=out, minDocFreq=min_docs),
-    ]
-    return Pipeline(stages=stages).fit(df)
+def text_weights(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, term, tf, docs, weight): tf-idf of the lower-cased words of whole texts.
+
+    ``docs`` counts the rows that hold the term; weight = tf * ln((rows + 1) / (docs + 1)).
+    Terms are compared as they are, none collide. Rows without words give no rows. Keys
+    have to tell rows apart. A term in most rows joins as one row: its counts are narrow, and
+    adaptive execution splits it.
+    """
+    words = F.explode(F.split(F.lower(F.col(column)), r"\s+")).alias("term")
+    terms = df.select(key, words).filter("term <> ''").groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    docs = terms.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    idf = F.log((rows + 1) / (F.col("docs") + 1))
+    return terms.join(docs, "term").select(key, "term", "tf", "docs", (F.col("tf") * idf).alias("weight"))

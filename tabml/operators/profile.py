@@ -14,13 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabml.functions.ordered import class_sizes, exact_quantiles, running_totals, unpivoted
+from tabml.functions.ordered import exact_quantiles, running_totals, unpivoted
 from tabml.functions.scalars import finite
 
 # Fixed value: names that look like identifiers, in any case.
 ID_PATTERN = r"(_ID$|^ID$|ID_)"
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-LONG_TEXT = 64
 
 
 @dataclass(frozen=True)
@@ -67,24 +66,28 @@ def without_nan(df: DataFrame) -> DataFrame:
     )
 
 
-def first_columns(df: DataFrame, limit: int | None = 50) -> DataFrame:
+def first_columns(df: DataFrame, limit: int | None = None) -> DataFrame:
     return df if limit is None else df.select(*[f"`{c}`" for c in df.columns[:limit]])
 
 
 # ---------------------------------------------------------------- dataset level
 
 
+def row_digest(df: DataFrame) -> Column:
+    """Digest of all values of a row; NULL and the empty text differ."""
+    text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
+    marks = [F.col(f"`{c}`").isNull().cast("int").cast("string") for c in df.columns]
+    lengths = [F.length(t).cast("string") for t in text]
+    return F.md5(F.concat_ws("|", *marks, *lengths, *text))
+
+
 def dataset_summary(df: DataFrame) -> DataFrame:
     """Rows, columns and share of duplicate rows.
 
     Rows are compared by a digest of all their values, so the shuffle moves 32
     characters per distinct row and not the row.
     """
-    text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
-    marks = [F.col(f"`{c}`").isNull().cast("int").cast("string") for c in df.columns]
-    lengths = [F.length(t).cast("string") for t in text]
-    digest = F.md5(F.concat_ws("|", *marks, *lengths, *text))
-    groups = df.groupBy(digest.alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(row_digest(df).alias("digest")).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
         F.lit(len(df.columns)).alias("n_cols"),
@@ -119,18 +122,17 @@ def top_values(df: DataFrame, columns: list[str], k: int = 10, with_nulls: bool
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct non-null values per column, and whether they all read as 0 or 1.
 
-    Long texts are represented by their digest, taken over the whole text.
+    Values are compared by the digest of their whole text.
     """
     values = unpivoted(df, columns, "string").filter(F.col("value").isNotNull())
-    short = F.when(F.length("value") > LONG_TEXT, F.md5("value")).otherwise(F.col("value"))
     number = F.col("value").try_cast("double")
     zero_one = F.coalesce((number > -1) & (number < 2), F.lit(True))
     return (
-        values.select("column", short.alias("value"))
-        .groupBy("column", "value")
-        .agg(F.lit(1).alias("one"))
+        values.select("column", F.unhex(F.md5("value")).alias("digest"), zero_one.alias("zero_one"))
+        .groupBy("column", "digest")
+        .agg(F.bool_and("zero_one").alias("zero_one"))
         .groupBy("column")
-        .agg(F.sum("one").alias("n_unique"), F.bool_and(zero_one).alias("zero_one"))
+        .agg(F.count(F.lit(1)).alias("n_unique"), F.bool_and("zero_one").alias("zero_one"))
     )
 
 
@@ -240,8 +242,17 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
 def target_summary(df: DataFrame, target: str, task: str | None = None) -> DataFrame:
     """One row per class with its count, and the task, ratio and positive class.
 
-    1, "1" or true is the positive class if present, else the rarest one.
+    1, "1" or true is the positive class if present, else the rarest one. A numeric target
+    (``task`` begins with regress) has no classes: one row with the number of known values.
     """
+    if str(task or "").startswith("regress"):
+        return df.agg(
+            F.lit(None).cast("string").alias("class"),
+            F.count(F.col(target)).alias("n"),
+            F.lit("regression").alias("task"),
+            F.lit(None).cast("string").alias("positive_class"),
+            F.lit(None).cast("double").alias("imbalance_ratio"),
+        )
     counts = (
         df.groupBy(F.col(target).cast("string").alias("class")).agg(F.count(F.lit(1)).alias("n"))
     )
@@ -257,8 +268,7 @@ def target_summary(df: DataFrame, target: str, task: str | None = None) -> DataF
     # A single row: the totals over the classes.
     facts = total.select(
         F.struct(
-            F.when(F.lit(str(task or "")).startswith("regress"), "regression")
-            .when(F.col("classes") <= 2, "binary")
+            F.when(F.col("classes") <= 2, "binary")
             .otherwise("multiclass")
             .alias("task"),
             F.when(F.col("classes") == 2, F.col("p.c")).alias("positive_class"),
@@ -296,52 +306,62 @@ def correlations(df: DataFrame, columns: list[str], target: str) -> DataFrame:
     )
 
 
+def _rank_cells(pairs: DataFrame, bins: int) -> DataFrame:
+    """(column, value, cell) for the distinct values of each column: ``bins`` groups of about
+    equal size by rank, equal values staying together."""
+    cum = running_totals(pairs, ["column"], "value", {"n": F.count(F.lit(1))})
+    cell = F.floor((F.col("cum_n") - F.col("n")) * bins / F.col("all_n")).cast("string")
+    return cum.select("column", "value", cell.alias("cell"))
+
+
 def mutual_information(
-    df: DataFrame, numeric: list[str], categorical: list[str], target: str, bins: int = 20
+    df: DataFrame, numeric: list[str], categorical: list[str], target: str, bins: int = 20, task: str | None = None
 ) -> DataFrame:
-    """Plug-in mutual information (nats) of each column with a discrete target.
+    """Plug-in mutual information (nats) of each column with the target.
 
-    Numeric columns are cut into ``bins`` groups of about equal size by rank, equal
-    values staying together. Pairs with a missing side are left out; columns with
-    fewer than 20 pairs give NULL.
+    Numeric columns, and the target where ``task`` begins with regress, are cut into ``bins``
+    groups by rank. Counts stay long, (column, cell, target cell), for any number of classes.
+    Pairs with a missing side are left out; columns with fewer than 20 pairs give NULL.
     """
-    y = F.col(target).cast("string")
-    classes = sorted(c for c in class_sizes(df, y, 1000) if c is not None)
-    known = df.filter(F.col(target).isNotNull()).withColumn("_y", y)
-    cells = []
+    known = df.filter(F.col(target).isNotNull())
+    if str(task or "").startswith("regress"):
+        known = known.withColumn("_t", F.col(target).cast("double")).filter(~F.isnan("_t"))
+        own = known.select(F.lit(target).alias("column"), F.col("_t").alias("value"))
+        cells = _rank_cells(own, bins).select(F.col("value").alias("_t"), F.col("cell").alias("_y"))
+        known = known.join(cells, "_t")
+    else:
+        known = known.withColumn("_y", F.col(target).cast("string"))
+    tables = []
     if categorical:
         pairs = [
             F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("cell"))
             for c in categorical
         ]
-        cells.append(
+        tables.append(
             known.select("_y", F.explode(F.array(*pairs)).alias("p"))
             .filter(F.col("p.cell").isNotNull())
             .groupBy("p.column", "p.cell", "_y")
             .agg(F.count(F.lit(1)).alias("n"))
         )
     if numeric:
+        values = unpivoted(known, numeric).filter("value is not null and not isnan(value)")
         pairs = [
             F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
             for c in numeric
         ]
-        values = known.select("_y", F.explode(F.array(*pairs)).alias("p")).select(
-            "_y", "p.column", "p.value"
+        counts = (
+            known.select("_y", F.explode(F.array(*pairs)).alias("p"))
+            .select("_y", "p.column", "p.value")
+            .filter("value is not null and not isnan(value)")
+            .groupBy("column", "value", "_y")
+            .agg(F.count(F.lit(1)).alias("n"))
         )
-        sums = {"n": F.count(F.lit(1))}
-        sums |= {f"k{i}": F.count_if(F.col("_y") == c) for i, c in enumerate(classes)}
-        cum = running_totals(values.filter(~F.isnan("value")), ["column"], "value", sums)
-        cell = F.floor((F.col("cum_n") - F.col("n")) * bins / F.col("all_n")).cast("string")
-        split = [
-            F.struct(F.lit(c).alias("_y"), F.col(f"k{i}").alias("n")) for i, c in enumerate(classes)
-        ]
-        cells.append(
-            cum.select("column", cell.alias("cell"), F.explode(F.array(*split)).alias("s"))
-            .groupBy("column", "cell", F.col("s._y").alias("_y"))
-            .agg(F.sum("s.n").alias("n"))
-            .filter("n > 0")
+        tables.append(
+            counts.join(_rank_cells(values, bins), ["column", "value"])
+            .groupBy("column", "cell", "_y")
+            .agg(F.sum("n").alias("n"))
         )
-    table = cells[0] if len(cells) == 1 else cells[0].unionByName(cells[1])
+    table = tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
     # I(x, y) = ln N + (sum_xy n ln n - sum_x n ln n - sum_y n ln n) / N: three grouped sums.
     weight = F.sum(F.col("n") * F.log(F.col("n").cast("double")))
     both = table.groupBy("column").agg(weight.alias("xy"), F.sum("n").alias("total"))
@@ -412,7 +432,7 @@ def data_card(df: DataFrame, opts: ProfileOptions) -> DataFrame:
         cats = [c for c in discrete if c != opts.target]
         if numbers or cats:
             card = card.join(
-                mutual_information(df, numbers, cats, opts.target), "column", "left"
+                mutual_information(df, numbers, cats, opts.target, task=opts.task), "column", "left"
             )
         card = card.join(leakage(df, opts.target).select("column", "leaks"), "column", "left")
     else:

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from tabml.functions.ordered import balanced_buckets, class_sizes, digest_levels, rank_cuts
 from tabml.functions.scalars import hash_fraction
+from tabml.session import staged
 
-PART_ROWS = 2_000_000  # rows of one repeated value that a task may sort
 
 
 @dataclass(frozen=True)
@@ -226,10 +226,11 @@ def synthetic_rows(
     """New rows of the rarest class, up to ``ratio`` of the largest, between neighbours.
 
     The neighbour of a row is the next one along a random projection of the standardised
-    columns, inside a bucket between quantiles of the projection; no pair of rows is
-    compared. Large classes are also divided by the key's digest, so that a bucket filled
-    by one repeated value is no single task. Rows with a missing column have no place on
-    the projection and are not copied. Returns the columns, the label and ``copy``.
+    columns (the last row's is the one before it); no pair of rows is compared. Rows are
+    ordered inside buckets of the projection, and a bucket's last row meets the first
+    of the next bucket, so the result is the same wherever the buckets are cut. Rows with a missing
+    column have no place on the projection and are not copied. Returns the columns, the
+    label and ``copy``.
     """
     sizes = class_sizes(df, F.col(label))
     if not sizes:
@@ -254,13 +255,20 @@ def synthetic_rows(
     place = order_text(key, seed)
     copies = F.lit(times) + (place <= F.lit(cut)).cast("int")
     rows = few.select(*columns, label, along.alias("_at"), place.alias("_place"), copies.alias("_copies"))
-    rows = balanced_buckets(rows, "_at").withColumn(
-        "_part", F.pmod(F.xxhash64("_place"), F.lit(1 + n // PART_ROWS))
+    rows = staged(balanced_buckets(rows, "_at").withColumn("_row", F.struct(*columns)), "projected")
+    order = Window.partitionBy("_bucket").orderBy("_at", "_place")
+    # The first and last row of each bucket, for its neighbours: a row per bucket.
+    spot, buckets = F.struct("_at", "_place"), Window.orderBy("_bucket")
+    ends = rows.groupBy("_bucket").agg(
+        F.min_by("_row", spot).alias("_first"), F.max_by("_row", spot).alias("_last")
     )
-    order = Window.partitionBy("_bucket", "_part").orderBy("_at", "_place")
-    row = F.struct(*columns)
-    near = F.coalesce(F.lead(row).over(order), F.lag(row).over(order), row)
-    copied = rows.withColumn("_near", near).filter("_copies > 0").withColumn(
+    ends = ends.select(
+        "_bucket", F.lead("_first").over(buckets).alias("_following"), F.lag("_last").over(buckets).alias("_previous")
+    )
+    near = F.coalesce(
+        F.lead("_row").over(order), "_following", F.lag("_row").over(order), "_previous", "_row"
+    )
+    copied = rows.join(ends, "_bucket").withColumn("_near", near).filter("_copies > 0").withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
     )
     share = hash_fraction(F.md5(F.concat_ws("-", "_place", F.col("copy").cast("string"))))

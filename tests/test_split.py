@@ -1,9 +1,12 @@
+import datetime
+import hashlib
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from tabml.operators import split
+from tabml.functions import ordered
+from tabml.operators import cohort, split
 
 
 def counts(df, *by):
@@ -90,11 +93,9 @@ def test_method_precedence():
     assert split.split_method(None, None, "regression") == "random"
 
 
-@pytest.mark.parametrize("part_rows", [20, 10**6])
-def test_synthetic_rows(spark, monkeypatch, part_rows):
-    """The exact number of new rows, each between two rows of the class; also when one
-    point holds most of the class."""
-    monkeypatch.setattr(split, "PART_ROWS", part_rows)
+def test_synthetic_rows(spark, monkeypatch):
+    """The exact number of new rows, each between two neighbours of the class, wherever the
+    buckets are cut; also when one point holds most of the class."""
     df = spark.range(1000).select(
         "id",
         F.when(F.col("id") % 10 == 0, 1).otherwise(0).alias("y"),
@@ -108,6 +109,32 @@ def test_synthetic_rows(spark, monkeypatch, part_rows):
     a, b = out.agg(F.min("a"), F.max("a")).first()
     assert lo <= a <= b <= hi
     assert out.exceptAll(split.synthetic_rows(df.repartition(5), "y", ("id",), ["a", "b"], 0.3)).count() == 0
+    monkeypatch.setattr(ordered, "_PARTS", 3000)
+    assert out.exceptAll(split.synthetic_rows(df, "y", ("id",), ["a", "b"], 0.3)).count() == 0
+
+
+def test_synthetic_rows_lie_between_neighbours(spark):
+    values = [float(v) for v in (3, 1, 4, 15, 9, 2, 6, 53, 58)]
+    rows = [(i, 1, v) for i, v in enumerate(values)] + [(100 + i, 0, 0.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, y int, a double")
+    new = sorted(r["a"] for r in split.synthetic_rows(df, "y", ("id",), ["a"], 0.3).collect())
+    assert len(new) == round(60 * 0.3) - 9
+    order = sorted(values)
+    gaps = list(zip(order, order[1:]))
+    assert all(any(lo <= v <= hi for lo, hi in gaps) for v in new)
+    assert all(any(lo <= v <= hi for v in new) for lo, hi in gaps)  # one copy of every row
+
+
+def test_balanced_sample_of_any_quota(spark):
+    rows = [(i, datetime.date(2024, 1 + i % 12, 1), int(i % 5 == 0)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "person_id long, index_month date, y_acute_90 int").repartition(7)
+    for quota, positives, negatives in ((600, 600, 600), (1000, 800, 1200), (0, 0, 0)):
+        got = cohort.balanced_sample(df, quota=quota).collect()
+        want = []
+        for y, n in ((1, positives), (0, negatives)):
+            order = sorted((r for r in rows if r[2] == y), key=lambda r: (hashlib.md5(f"{r[0]}-{r[1]}".encode()).hexdigest(), r[0]))
+            want += order[:n]
+        assert sorted(map(tuple, got)) == sorted(want)
 
 
 def test_enough_rows_already(rows):
