@@ -1,36 +1,22 @@
-"""Left join to a table with one row per key, when one key may hold most of the rows."""
+"""Left join to a table with one row per key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 32
-SMALL_TABLE = 100_000
+SMALL_ROWS, SMALL_BYTES = 100_000, 8_000_000
 
 
-def spread_columns(df: DataFrame) -> list[str]:
-    """Columns of plain types: together they tell most rows apart."""
-    plain = ("int", "string", "date", "double", "float", "boolean", "decimal", "timestamp")
-    return [c for c, t in df.dtypes if t.endswith(plain) or t.startswith("decimal")]
-
-
-def salted_lookup(
-    left: DataFrame, table: DataFrame, key: str, spread: list[str], rows: int | None = None
-) -> DataFrame:
+def lookup(left: DataFrame, table: DataFrame, key: str, rows: int | None = None) -> DataFrame:
     """``left`` with the table's columns; rows without a match keep NULLs.
 
-    A table known to have few rows is broadcast. Otherwise every key is divided into
-    ``SALTS`` parts by a hash of the ``spread`` columns and the table is repeated for each
-    part: a frequent key, or NULL, then meets its row in many tasks instead of one. The
-    hash depends on the row only, so a task that runs again sends rows the same way.
+    A table known to have few rows, and found to have few bytes, is broadcast. A larger one is
+    joined on its key: each key has one row there, and adaptive execution splits the partitions
+    in which a frequent key, or NULL, gathers too many rows of ``left``.
     """
-    if rows is not None and rows <= SMALL_TABLE:
-        return left.join(F.broadcast(table), key, "left")
-    part = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    return (
-        left.withColumn("_salt", part)
-        .join(table.withColumn("_salt", parts), [key, "_salt"], "left")
-        .drop("_salt")
-    )
+    if rows is not None and rows <= SMALL_ROWS:
+        size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+        if table.agg(size).first()[0] <= SMALL_BYTES:
+            table = F.broadcast(table)
+    return left.join(table, key, "left")

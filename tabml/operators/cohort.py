@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabml.functions import month_windows as mw
-from tabml.functions.lookup import salted_lookup
+from tabml.functions.lookup import lookup
 from tabml.functions.scalars import hash_order, padded, safe_date, safe_days, safe_money
+from tabml.session import staged
 
 KEY = "person_id"
 MONTH = mw.MONTH
@@ -114,13 +115,13 @@ def fills(pharmacy: DataFrame) -> DataFrame:
     )
 
 
-def dated_diagnoses(tables: ClaimTables) -> DataFrame:
+def dated_diagnoses(tables: ClaimTables, headers: DataFrame | None = None) -> DataFrame:
     """(person, day, dx3, rows): the day is the claim's, the person the diagnosis' own.
 
     Counted per claim and prefix before the join, so that a claim with very many
     diagnoses brings few rows to it.
     """
-    dates = header_projection(tables.header).select("claim_id", "svc_from")
+    dates = (header_projection(tables.header) if headers is None else headers).select("claim_id", "svc_from")
     counted = (
         tables.diagnosis.select(KEY, "claim_id", F.substring(F.upper("dx_code"), 1, 3).alias("dx3"))
         .groupBy(KEY, "claim_id", "dx3")
@@ -364,11 +365,9 @@ def claim_recency(tables: ClaimTables) -> DataFrame:
 
 def _specialty_days(headers: DataFrame, provider: DataFrame, opts: CohortOptions) -> DataFrame:
     """(person, day, specialty as identifier). Claims are first cut to distinct days of a
-    provider; a provider of very many claims, or none, is spread over many tasks."""
+    provider."""
     days = headers.select(KEY, F.col("svc_from").alias("day"), "provider_id").distinct()
-    found = salted_lookup(
-        days, provider.select("provider_id", "specialty"), "provider_id", [KEY, "day"]
-    )
+    found = lookup(days, provider.select("provider_id", "specialty"), "provider_id")
     return found.select(
         KEY,
         "day",
@@ -434,9 +433,13 @@ FEATURES = {
 
 
 def feature_table(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
-    """All features at the spine: one pass per event table, one union, one aggregation."""
-    headers = flagged_headers(tables, opts)
-    rx = fills(tables.pharmacy)
+    """All features at the spine: one union, one aggregation.
+
+    Each source table is read once: parsed claims and fills are written as narrow tables, which
+    the features then read as often as they need.
+    """
+    headers = staged(flagged_headers(tables, opts), "claims")
+    rx = staged(fills(tables.pharmacy), "fills")
 
     in_month = mw.Measure("in_spine", mw.OwnMonth(), "max", F.lit(1))
     claims = mw.window_totals(headers, KEY, "svc_from", [in_month, *claim_measures()])
@@ -453,7 +456,7 @@ def feature_table(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
     }
     header_spans = {k: HALF_YEAR for k in header_idents} | {"ed_visits_180d": HALF_YEAR_TO_INDEX}
     present = F.col("ident").isNotNull()
-    specialties = _specialty_days(header_projection(tables.header), tables.provider, opts)
+    specialties = _specialty_days(headers, tables.provider, opts)
     steps = distinct_parts(
         [
             (tagged(headers, "svc_from", header_idents).filter(present), header_spans),
@@ -463,7 +466,7 @@ def feature_table(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
             ),
             (
                 tagged(
-                    dated_diagnoses(tables), "svc_from", {"dx_unique3_12m": F.col("dx3")}, F.col("rows")
+                    dated_diagnoses(tables, headers), "svc_from", {"dx_unique3_12m": F.col("dx3")}, F.col("rows")
                 ),
                 {"dx_unique3_12m": TWELVE_MONTHS},
             ),
@@ -500,19 +503,25 @@ def feature_table(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
 # ---------------------------------------------------------------- balanced sample
 
 
+_SAMPLE_PARTS = 64
+
+
 def balanced_sample(
     features: DataFrame, label: str = "y_acute_90", quota: int = 100
 ) -> DataFrame:
     """Up to ``quota`` positives and as many negatives, or ``2 * quota - positives``
     negatives when positives are short, in md5 order of the key.
 
-    The window keeps at most ``2 * quota`` rows per label on the map side, so no
-    class is ever gathered.
+    A class is ranked in ``_SAMPLE_PARTS`` parts first; of each part the first ``2 * quota``
+    rows go on to the second ranking, so no class is ever gathered, whatever the quota.
     """
-    order = hash_order(F.col(KEY), F.col(MONTH))
-    ranked = features.withColumn(
-        "rn",
-        F.row_number().over(Window.partitionBy(label).orderBy(order, F.col(KEY), F.col(MONTH))),
+    order = [hash_order(F.col(KEY), F.col(MONTH)), F.col(KEY), F.col(MONTH)]
+    part = F.pmod(F.xxhash64(KEY, MONTH), F.lit(_SAMPLE_PARTS))
+    inner = Window.partitionBy(label, "_part").orderBy(*order)
+    few = features.withColumn("_part", part).withColumn("_place", F.row_number().over(inner))
+    few = few.filter(F.col("_place") <= 2 * quota).drop("_part", "_place")
+    ranked = few.withColumn(
+        "rn", F.row_number().over(Window.partitionBy(label).orderBy(*order))
     ).filter(F.col("rn") <= 2 * quota)
     head = ranked.withColumn(
         "positives", F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).over(Window.partitionBy())

@@ -13,7 +13,8 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable,
@@ -28,13 +29,11 @@ from pyspark.ml.util import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabml.functions.lookup import salted_lookup, spread_columns
+from tabml.functions.lookup import lookup
 from tabml.functions.ordered import exact_quantiles
 from tabml.functions.scalars import month_text
-from tabml.operators.profile import kinds, value_counts, without_nan
-from tabml.session import bounded_rows, staged
-
-MAX_LEVELS = 10_000  # over all one-hot columns together
+from tabml.operators.profile import kinds, target_summary, value_counts, without_nan
+from tabml.session import staged
 
 
 @dataclass(frozen=True)
@@ -47,7 +46,7 @@ class FeaturePlan:
     target_mean: list[str] = field(default_factory=list)
     dropped: list[str] = field(default_factory=list)
     scale: bool = True
-    positive: str | None = "1"
+    positive: str | None = None  # of a target with classes; None: found in the training rows
 
     @staticmethod
     def from_columns(plan: DataFrame, target: str, keep_out: list[str] = (), **options) -> "FeaturePlan":
@@ -56,9 +55,11 @@ class FeaturePlan:
         dropped = []
         for row in plan.collect():
             name = row["column"]
-            if row["dropped"] or name in keep_out:
+            if name == target and name not in keep_out and not row["dropped"]:
+                continue
+            if row["dropped"] or name in keep_out or row["encoder"] not in groups:
                 dropped.append(name)
-            elif name != target and row["encoder"] in groups:
+            else:
                 groups[row["encoder"]].append(name)
         return FeaturePlan(
             target=target,
@@ -120,6 +121,21 @@ def moments(train: DataFrame, columns: list[str], fills: dict[str, float]) -> Da
     return train.agg(F.array(*entries).alias("all")).select(F.inline("all"))
 
 
+def positive_class(train: DataFrame, target: str, wanted: str | None = None) -> str:
+    """The class that counts as positive: the wanted one, which has to occur, else 1, "1" or
+    true, else the rarest."""
+    counts = target_summary(train, target).filter(F.col("class").isNotNull())
+    if wanted is None:
+        likely = F.when(F.col("class") == "1", 0).when(F.lower("class") == "true", 1).otherwise(2)
+        found = counts.orderBy(likely, "n", "class").first()
+    else:
+        number = F.coalesce(F.col("class").try_cast("double") == F.lit(str(wanted)).try_cast("double"), F.lit(False))
+        found = counts.filter((F.col("class") == str(wanted)) | number).first()
+    if found is None:
+        raise ValueError(f"no training row of class {wanted!r} in {target!r}")
+    return found["class"]
+
+
 def label_value(train: DataFrame, plan: FeaturePlan) -> Column:
     """What target means average: the label itself for a fractional target with more than
     five values, else whether it is the positive class."""
@@ -128,7 +144,7 @@ def label_value(train: DataFrame, plan: FeaturePlan) -> Column:
         distinct = train.select(plan.target).filter(y.isNotNull()).distinct().limit(6).count()
         if distinct > 5:
             return y.cast("double")
-    positive = F.lit(str(plan.positive))
+    positive = F.lit(positive_class(train, plan.target, plan.positive))
     same = F.coalesce(
         y.cast("string").try_cast("double") == positive.try_cast("double"),
         y.cast("string") == positive,
@@ -157,16 +173,12 @@ def target_means(train: DataFrame, plan: FeaturePlan, fills: dict[str, str]) ->
 
 
 def levels(train: DataFrame, columns: list[str], fills: dict[str, str]) -> dict[str, list[str]]:
-    """Sorted one-hot levels. Each becomes a slot of the feature vector, so their number
-    has to stay small; columns with more belong to the target mean."""
+    """Sorted one-hot levels: one string per slot of the feature vector."""
     counts = value_counts(train, columns).select(
         "column", F.coalesce(F.col("value"), _per_column(fills)).alias("value")
     )
-    rows = bounded_rows(
-        counts.filter(F.col("value").isNotNull()).distinct(), MAX_LEVELS, "one-hot levels"
-    )
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
+    for r in counts.filter(F.col("value").isNotNull()).distinct().toLocalIterator():
         found[r["column"]].append(r["value"])
     return {c: sorted(v) for c, v in found.items()}
 
@@ -252,49 +264,76 @@ class PreprocessorModel(Model, MLWritable, MLReadable):
         onehot = [slot(c, v) for c in plan.onehot for v in state["levels"][c]]
         return [*plan.numeric, *onehot, *[f"{c}_tmean" for c in plan.target_mean]]
 
-    def encoded(self, df: DataFrame) -> DataFrame:
-        """The input with one column ``_f_<i>`` per slot."""
+    def _columns(self, df: DataFrame) -> DataFrame:
+        """The input with ``_n_<i>`` per number, ``_s_<i>`` and ``_i_<i>`` (level and its index) per
+        one-hot column, ``_t_<i>`` per target mean. The width doesn't grow with the levels."""
         plan, state = self.fitted()
         base = without_nan(months_as_text(df))
-        names = iter(range(len(self.slots())))
-        cols: list[Column] = []
-        for c in plan.numeric:
-            x = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(state["medians"].get(c)))
-            if plan.scale:
-                mean, std = state["moments"][c]
-                x = (x - F.lit(mean)) / F.lit(std or 1.0)
-            cols.append(F.coalesce(x, F.lit(0.0)).alias(f"_f_{next(names)}"))
 
         def filled(c: str) -> Column:
             return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(state["modes"].get(c)))
 
-        for c in plan.onehot:
-            for v in state["levels"][c]:
-                hit = F.coalesce((filled(c) == F.lit(v)).cast("double"), F.lit(0.0))
-                cols.append(hit.alias(f"_f_{next(names)}"))
-        out = base.select("*", *cols)
-        for c in plan.target_mean:
+        cols = []
+        for i, c in enumerate(plan.numeric):
+            x = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(state["medians"].get(c)))
+            if plan.scale:
+                mean, std = state["moments"][c]
+                x = (x - F.lit(mean)) / F.lit(std or 1.0)
+            cols.append(F.coalesce(x, F.lit(0.0)).alias(f"_n_{i}"))
+        out = base.select("*", *cols, *[filled(c).alias(f"_s_{i}") for i, c in self._leveled()])
+        for i, c in self._leveled():
+            # A value that was not seen, or none, has the last index, which is no slot.
+            index = StringIndexerModel.from_labels(
+                state["levels"][c], inputCol=f"_s_{i}", outputCol=f"_i_{i}", handleInvalid="keep"
+            )
+            out = index.transform(out)
+        for i, c in enumerate(plan.target_mean):
             rows, everyone = state["means"].get(c, (0, 0.0))
             table = self.means.filter((F.col("column") == c) & F.col("value").isNotNull()).select(
                 F.col("value").alias("_value"), F.col("mean").alias("_mean")
             )
-            spread = spread_columns(out)
             out = (
-                salted_lookup(out.withColumn("_value", filled(c)), table, "_value", spread, rows)
-                .withColumn(f"_f_{next(names)}", F.coalesce("_mean", F.lit(everyone), F.lit(0.0)))
+                lookup(out.withColumn("_value", filled(c)), table, "_value", rows)
+                .withColumn(f"_t_{i}", F.coalesce("_mean", F.lit(everyone), F.lit(0.0)))
                 .drop("_value", "_mean")
             )
         return out
 
+    def _leveled(self) -> list[tuple[int, str]]:
+        plan, state = self.fitted()
+        return [(i, c) for i, c in enumerate(plan.onehot) if state["levels"][c]]
+
     def named(self, df: DataFrame, *keep: str) -> DataFrame:
-        """The kept columns and one named column per slot."""
-        out = self.encoded(df)
-        return out.select(*keep, *[F.col(f"_f_{i}").alias(n) for i, n in enumerate(self.slots())])
+        """The kept columns and one named column per slot: for few slots."""
+        out = self.transform(df)
+        values = vector_to_array("features")
+        return out.select(*keep, *[F.get(values, F.lit(i)).alias(f"{n}") for i, n in enumerate(self.slots())])
+
+    def entries(self, df: DataFrame, *keep: str) -> DataFrame:
+        """(kept columns, slot, value) of the slots that are not zero, for any number of slots."""
+        plan, state = self.fitted()
+        parts = [(F.lit(c), F.col(f"_n_{i}")) for i, c in enumerate(plan.numeric)]
+        for i, c in self._leveled():
+            seen = (F.col(f"_i_{i}") < len(state["levels"][c])).cast("double")
+            parts.append((F.concat(F.lit(slot(c, "")), F.coalesce(f"_s_{i}", F.lit(""))), seen))
+        parts += [(F.lit(f"{c}_tmean"), F.col(f"_t_{i}")) for i, c in enumerate(plan.target_mean)]
+        rows = F.array(*[F.struct(n.alias("slot"), v.alias("value")) for n, v in parts])
+        out = self._columns(df).select(*keep, F.explode(rows).alias("e")).select(*keep, "e.slot", "e.value")
+        return out.filter("value <> 0")
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        out = self.encoded(dataset)
-        cols = [f"_f_{i}" for i in range(len(self.slots()))]
-        return VectorAssembler(inputCols=cols, outputCol="features").transform(out).drop(*cols)
+        plan, _ = self.fitted()
+        out = self._columns(dataset)
+        texts = [i for i, _ in self._leveled()]
+        made = [c for c in out.columns if c.startswith(("_n_", "_s_", "_i_", "_t_")) and c not in dataset.columns]
+        if texts:
+            vectors = [f"_v_{i}" for i in texts]
+            hot = OneHotEncoder(inputCols=[f"_i_{i}" for i in texts], outputCols=vectors, dropLast=True)
+            out = hot.fit(out).transform(out)  # the sizes are in the columns' metadata: no job
+            made += vectors
+        names = [f"_n_{i}" for i in range(len(plan.numeric))] + [f"_v_{i}" for i in texts]
+        names += [f"_t_{i}" for i in range(len(plan.target_mean))]
+        return VectorAssembler(inputCols=names, outputCol="features").transform(out).drop(*made)
 
     def write(self) -> MLWriter:
         return _Writer(self)
