@@ -13,14 +13,12 @@ class Policies:
     high_cardinality_ratio: float = 0.5
     # Used by the rule that looks at the number of levels.
     max_levels: int = 50
-    # One-hot columns get one slot of the feature vector per level. Beyond this many the
-    # mean of the target is used, whatever the ratio.
-    onehot_limit: int = 1_000
     imbalance_ratio: float = 3.0
     min_recall: float = 0.6
     time_split_days: int = 180
     allow_text: bool = False
-    small_rows: int = 200_000
+    # With a number, the family meant for small tables is left out beyond so many rows.
+    small_rows: int | None = None
 
     @staticmethod
     def merged(values: dict | None) -> "Policies":
@@ -44,6 +42,11 @@ def min_recall(plan: float | None = None, argument: float | None = None, config:
     return 0.6
 
 
+def primary_metric(plan: str | None = None, argument: str | None = None, config: str | None = None) -> str:
+    """Argument before plan before configuration before average precision."""
+    return argument or plan or config or "auprc"
+
+
 def column_plan(card: DataFrame, policies: Policies = Policies(), encoder_rule: str = "ratio") -> DataFrame:
     """Bucket, drop flag, imputer and encoder per column.
 
@@ -54,9 +57,7 @@ def column_plan(card: DataFrame, policies: Policies = Policies(), encoder_rule:
     if encoder_rule == "levels":
         high = F.col("n_unique") > policies.max_levels
     else:
-        high = (F.col("unique_ratio") > policies.high_cardinality_ratio) | (
-            F.col("n_unique") > policies.onehot_limit
-        )
+        high = F.col("unique_ratio") > policies.high_cardinality_ratio
     bucket = (
         F.when(F.col("role") == "target", "target")
         .when(kind == "categorical", F.when(high, "categorical_high").otherwise("categorical_low"))
@@ -136,28 +137,23 @@ MODEL_NAMES = {
     "catboost": "cat",
 }
 
-# The plan's search ranges (model, parameter, kind, low, high). The leaf
-# size of the second model depends on the number of rows and is added below.
+# The plan's search ranges (model, parameter, kind, low, high), of the
+# parameters that our estimators take. The leaf size of the second model depends on the
+# number of rows and is added below.
 SPACE = [
     ("lightgbm", "num_leaves", "int", 15.0, 255.0),
     ("lightgbm", "max_depth", "int", -1.0, 12.0),
-    ("lightgbm", "learning_rate", "loguniform", 0.001, 0.2),
     ("lightgbm", "feature_fraction", "float", 0.6, 1.0),
     ("lightgbm", "bagging_fraction", "float", 0.6, 1.0),
-    ("lightgbm", "lambda_l1", "float", 0.0, 5.0),
-    ("lightgbm", "lambda_l2", "float", 0.0, 10.0),
     ("xgboost", "max_depth", "int", 3.0, 12.0),
     ("xgboost", "min_child_weight", "int", 1.0, 20.0),
     ("xgboost", "subsample", "float", 0.5, 1.0),
     ("xgboost", "colsample_bytree", "float", 0.5, 1.0),
     ("xgboost", "eta", "loguniform", 0.001, 0.2),
     ("xgboost", "gamma", "float", 0.0, 10.0),
-    ("xgboost", "lambda", "float", 0.0, 10.0),
-    ("xgboost", "alpha", "float", 0.0, 5.0),
     ("xgboost", "n_estimators", "int", 200.0, 1200.0),
     ("catboost", "depth", "int", 4.0, 10.0),
     ("catboost", "learning_rate", "loguniform", 0.001, 0.2),
-    ("catboost", "l2_leaf_reg", "float", 1.0, 10.0),
     ("catboost", "iterations", "int", 300.0, 1500.0),
     ("logreg", "C", "loguniform", 0.001, 10.0),
     ("elasticnet", "alpha", "loguniform", 0.0001, 10.0),
@@ -172,7 +168,8 @@ LEAF_FLOOR = (10, 20)
 def search_space(df: DataFrame, task: str = "binary", policies: Policies = Policies()) -> DataFrame:
     """(model, param, kind, low, high, only_if) for the plan's models.
 
-    The leaf size is 0.1 % to 5 % of the rows; one family is meant for small tables only.
+    The leaf size is 0.1 % to 5 % of the rows; one family is meant for small tables, see
+    ``Policies.small_rows``.
     """
     spark: SparkSession = df.sparkSession
     models = REGRESSORS if task == "regression" else CLASSIFIERS
@@ -193,7 +190,48 @@ def search_space(df: DataFrame, task: str = "binary", policies: Policies = Polic
         leaf(0).alias("low"),
         leaf(1).alias("high"),
     )
-    small = rows.select(F.col("n") <= policies.small_rows).scalar()
+    limit = policies.small_rows
+    small = F.lit(True) if limit is None else rows.select(F.col("n") <= limit).scalar()
     return fixed.unionByName(leaves).withColumn(
         "only_if", F.when(F.col("model") == "catboost", small).otherwise(F.lit(True))
     )
+
+
+def model_blocks(df: DataFrame, target: str, task: str = "binary", policies: Policies = Policies()) -> DataFrame:
+    """One row per model of the plan: name, only_if, fit_params and ranges as JSON.
+
+    The class weights of the training rows become fit parameters: a positive weight for one
+    family, a balance flag for the others where the classes are uneven enough. Regression
+    models have none.
+    """
+    space = search_space(df, task, policies).groupBy("model").agg(
+        F.bool_and("only_if").alias("only_if"),
+        F.to_json(
+            F.array_sort(F.collect_list(F.struct("param", "kind", "low", "high")))
+        ).alias("ranges"),  # a few parameters per model
+    )
+    if task == "regression":
+        return space.select("model", "only_if", F.lit("{}").alias("fit_params"), "ranges")
+    facts = class_weights(df, target, policies).agg(
+        F.struct(F.max("pos_weight").alias("weight"), F.bool_or("imbalanced").alias("uneven")).alias("f")
+    ).scalar()
+    flagged = space.withColumn("f", facts)
+    uneven = F.coalesce("f.uneven", F.lit(False))
+    params = F.when(F.col("model") == "lightgbm", F.to_json(F.struct(uneven.alias("is_unbalance"))))
+    if task == "binary":
+        params = params.when(F.col("model") == "xgboost", F.to_json(F.struct(F.col("f.weight").alias("scale_pos_weight"))))
+        balanced = F.when(uneven, F.lit("Balanced"))
+        params = params.when(F.col("model") == "catboost", F.to_json(F.struct(balanced.alias("auto_class_weights"))))
+    return flagged.select("model", "only_if", F.coalesce(params, F.lit("{}")).alias("fit_params"), "ranges")
+
+
+def evaluation_settings(
+    task: str, metric: str | None = None, floor: float | None = None, secondary: list[str] = ()
+) -> dict:
+    """What a run is judged by; the metric's default follows the task."""
+    return {
+        "primary_metric": metric or ("rmse" if task == "regression" else "auprc"),
+        "secondary_metrics": list(secondary),
+        "tune_threshold": task == "binary",
+        "min_recall": min_recall(floor),
+    }

@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabml.functions.scalars import safe_timestamp
+
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """CSV with a header row. Naming the schema saves the pass that infers it."""
@@ -45,19 +47,22 @@ def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
     )
 
 
+def with_timestamps(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Named text columns parsed as timestamps; what doesn't parse is NULL, unknown names are ignored."""
+    return df.withColumns({c: safe_timestamp(F.col(f"`{c}`")) for c in columns if c in df.columns})
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
     query: str,
-    split_column: str | None = None,
-    bounds: tuple[int, int] | None = None,
+    split_column: str,
+    bounds: tuple[int, int],
     partitions: int = 32,
     **options: str,
 ) -> DataFrame:
-    """A warehouse query. With a split column the rows are fetched by many connections."""
+    """A warehouse query, fetched by many connections, each a range of the split column."""
     reader = spark.read.format("jdbc").option("url", url).options(**options)
-    if split_column is None:
-        return reader.option("query", query).load()
     low, high = bounds
     return (
         reader.option("dbtable", f"({query}) q")

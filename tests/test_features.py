@@ -1,8 +1,10 @@
+import math
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from tabml.operators import extras, labels, profile
+from tabml.operators import extras, features, labels, profile
 from tabml.operators.features import FeaturePlan, Preprocessor, modes, months_as_text
 from tabml.plans import rules
 from tabml.session import new_path
@@ -36,14 +38,14 @@ def test_values_come_from_training_rows(spark, model):
     assert got[12]["h_tmean"] == pytest.approx(1 / 3)
 
 
-def test_salted_lookup_gives_the_same(spark, model, monkeypatch):
+def test_lookup_without_broadcast_gives_the_same(spark, model, monkeypatch):
     """The path for tables too large to broadcast, with one value on most rows."""
     from tabml.functions import lookup
 
     many = [(i, 1.0, "a", "p" if i % 3 else None, 0) for i in range(300)] + [(i, None, "b", "q", 1) for i in range(300, 330)]
     new = spark.createDataFrame(many, SCHEMA)
     want = sorted(map(tuple, model.named(new, "id").collect()))
-    monkeypatch.setattr(lookup, "SMALL_TABLE", -1)
+    monkeypatch.setattr(lookup, "SMALL_ROWS", -1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         plan = model.named(new, "id")
@@ -139,11 +141,72 @@ def test_policies_file_values():
     assert rules.min_recall(None, 0.5, 0.4) == 0.5 and rules.min_recall() == 0.6
 
 
-def test_many_levels_go_to_the_target_mean(spark):
-    df = spark.range(3000).select((F.col("id") % 1200).cast("string").alias("c"), (F.col("id") % 2).alias("y"))
+def test_encoder_follows_the_ratio_alone(spark):
+    df = spark.range(3000).select(
+        (F.col("id") % 1200).cast("string").alias("c"), (F.col("id") % 1600).cast("string").alias("d"), (F.col("id") % 2).alias("y")
+    )
     card = profile.column_profile(df, profile.ProfileOptions(target="y"))
     plan = {r["column"]: r["encoder"] for r in rules.column_plan(card).collect()}
-    assert plan["c"] == "target_mean"
+    assert (plan["c"], plan["d"]) == ("onehot", "target_mean")
+
+
+def test_twenty_thousand_levels(spark):
+    df = spark.range(40_000).select(
+        "id", (F.col("id") % 20_000).cast("string").alias("c"), F.lit("x").alias("d"), F.lit(2.0).alias("n"), (F.col("id") % 2).alias("y")
+    )
+    model = Preprocessor.of(FeaturePlan("y", ["n"], ["c", "d"], scale=False)).fit(df.filter("id % 20000 > 0"))
+    assert len(model.slots()) == 1 + 19_999 + 1
+    new = spark.createDataFrame([(1, "7"), (2, "0"), (3, None)], "id int, c string").select("*", F.lit("x").alias("d"), F.lit(2.0).alias("n"))
+    rows = {r["id"]: r["features"] for r in model.transform(new).select("id", "features").collect()}
+    at = model.slots().index("c=7")
+    assert all(v.size == 20_001 for v in rows.values())
+    assert dict(zip(rows[1].indices, rows[1].values)) == {0: 2.0, at: 1.0, 20_000: 1.0}
+    assert rows[2].numNonzeros() == 2  # not seen: no slot
+    assert rows[3].numNonzeros() == 3  # missing: the mode
+    entries = {(r["id"], r["slot"], r["value"]) for r in model.entries(new, "id").collect()}
+    assert {e for e in entries if e[0] < 3} == {(1, "n", 2.0), (1, "c=7", 1.0), (1, "d=x", 1.0), (2, "n", 2.0), (2, "d=x", 1.0)}
+    assert set(model.transform(new).columns) == {"id", "c", "d", "n", "features"}
+
+
+def test_positive_class_is_found_or_refused(spark):
+    rows = [("a", "yes"), ("a", "no"), ("b", "no"), ("b", "no"), ("a", None)]
+    df = spark.createDataFrame(rows, "c string, y string")
+    model = Preprocessor.of(FeaturePlan("y", target_mean=["c"])).fit(df)
+    assert {r["c"]: r["c_tmean"] for r in model.named(df, "c").collect()} == {"a": 0.5, "b": 0.0}
+    assert features.positive_class(df, "y", "no") == "no"
+    with pytest.raises(ValueError):
+        Preprocessor.of(FeaturePlan("y", target_mean=["c"], positive="1")).fit(df)
+
+
+def test_unused_columns_are_listed(spark):
+    rows = [("y", "target", None, False), ("t", "text", "tfidf", False), ("u", "text", "ignore", False), ("n", "numeric", "standardise", False), ("i", "ids", None, True)]
+    plan = FeaturePlan.from_columns(spark.createDataFrame(rows, "column string, bucket string, encoder string, dropped boolean"), "y")
+    assert (plan.numeric, plan.dropped) == (["n"], ["i", "t", "u"])
+
+
+def test_text_weights(spark):
+    df = spark.createDataFrame([(1, "A a b"), (2, "b  c"), (3, ""), (4, None)], "id int, t string")
+    got = {(r["id"], r["term"]): (r["tf"], r["docs"], r["weight"]) for r in extras.text_weights(df, "id", "t").collect()}
+    assert {k: v[:2] for k, v in got.items()} == {(1, "a"): (2, 1), (1, "b"): (1, 2), (2, "b"): (1, 2), (2, "c"): (1, 1)}
+    assert got[1, "a"][2] == pytest.approx(2 * math.log(5 / 2)) and got[2, "b"][2] == pytest.approx(math.log(5 / 3))
+
+
+def test_pairs_use_the_rows_where_both_are_known(spark):
+    rows = [(float(i), None if i % 10 else 2.0 * i, float((i * 7) % 11)) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    assert extras.correlated_columns(df, ["a", "b", "c"]) == ["b"]
+
+
+def test_association_with_many_classes_and_with_numbers(spark):
+    df = spark.range(6000).select(
+        F.col("id").alias("x"), (F.col("id") % 7).alias("noise"), (F.col("id") % 3000).cast("string").alias("many"), F.col("id").cast("double").alias("y")
+    )
+    by_class = {r["column"]: r["mutual_information"] for r in profile.mutual_information(df, ["x", "noise"], [], "many").collect()}
+    assert by_class["x"] > 0.5 and by_class["x"] > by_class["noise"] > 0
+    by_rank = {r["column"]: r["mutual_information"] for r in profile.mutual_information(df, ["x", "noise"], [], "y", task="regression").collect()}
+    assert by_rank["x"] == pytest.approx(math.log(20)) and by_rank["noise"] < 0.01
+    summary = profile.target_summary(df, "y", "regression").collect()
+    assert [(r["class"], r["n"], r["task"]) for r in summary] == [(None, 6000, "regression")]
 
 
 def test_correlated_wide(spark):

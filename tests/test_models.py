@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabml.operators import models, registry, score, tune
 from tabml.operators.features import FeaturePlan
+from tabml.plans import rules
 from tabml.session import new_path
 
 
@@ -84,6 +86,8 @@ def test_evaluate_select_register_score(spark, data):
     assert points["auprc"] == pytest.approx(selected.first()["auprc"])
     unnamed = score.batch_score(fitted["logreg"], test, 0.5)
     assert unnamed.select("row_id").distinct().count() == test.count()
+    again = score.batch_score(fitted["logreg"], test.repartition(7), 0.5)
+    assert set(map(tuple, again.collect())) == set(map(tuple, unnamed.collect()))
 
 
 def test_tuning(spark, data):
@@ -97,7 +101,67 @@ def test_tuning(spark, data):
     assert tune.as_candidate(best[0]).params["C"] > 0
 
 
+def test_a_failing_trial_gives_a_row(data):
+    train, val, _ = data
+    prepared = models.prepare(train, val, PLAN)
+    space = tune.space_table(train.sparkSession, {"logreg": {"max_iter": {"categorical": ["10.0", "-3"]}}})
+    done = tune.tune(prepared, ["logreg"], space, trials=6, parallelism=2).collect()
+    bad = [r for r in done if r["params"]["max_iter"] == "-3"]
+    good = [r for r in done if r["params"]["max_iter"] == "10.0"]
+    assert len(done) == 6 and bad and good
+    assert all(r["value"] is None and r["fit_error"] for r in bad)
+    assert all(r["value"] > 0.5 and r["fit_error"] is None for r in good)
+
+
+def _settings(name, params):
+    made = models.estimator(models.Candidate(name, params), 2, 1000)
+    return {p.name: v for p, v in made.extractParamMap().items()}
+
+
+def test_every_sampled_parameter_reaches_the_estimator():
+    spaces = [(rules.MODEL_NAMES[m], p, lo, hi) for m, p, _, lo, hi in rules.SPACE if m in rules.CLASSIFIERS]
+    spaces += [("lgbm", "min_data_in_leaf", 10.0, 20.0)]
+    for name, params in tune.DEFAULT_SPACE.items():
+        for p, spec in params.items():
+            kind, lo, hi, choices = tune.parse_spec(spec)
+            if kind != "choice":
+                spaces.append((name, p, lo, hi))
+    for name, p, lo, hi in spaces:
+        lo = max(lo, 2.0) if p == "max_depth" else lo
+        assert _settings(name, {p: lo}) != _settings(name, {p: (lo + hi) / 2}), (name, p)
+
+
+def test_unknown_parameters_are_refused():
+    for name, p in (("xgb", "lambda"), ("lgbm", "learning_rate"), ("cat", "l2_leaf_reg"), ("logreg", "penalty")):
+        with pytest.raises(ValueError, match=p):
+            models.Candidate(name, {p: 1.0}).merged()
+
+
+def test_evaluation_settings():
+    assert rules.evaluation_settings("regression")["primary_metric"] == "rmse"
+    binary = rules.evaluation_settings("binary", floor=0.7, secondary=["f1"])
+    assert binary == {"primary_metric": "auprc", "secondary_metrics": ["f1"], "tune_threshold": True, "min_recall": 0.7}
+    assert rules.primary_metric("a", None, "c") == "a" and rules.primary_metric("a", "b") == "b" and rules.primary_metric() == "auprc"
+
+
+def test_plan_blocks_become_candidates(spark):
+    df = spark.range(100).select((F.col("id") % 10 == 0).cast("int").alias("y"), "id")
+    blocks = {r["model"]: r for r in rules.model_blocks(df, "y").collect()}
+    chosen = models.candidates([
+        {"name": m, "only_if": b["only_if"], "fit_params": json.loads(b["fit_params"])} for m, b in blocks.items()
+    ])
+    rules_of = {c.name: models.weight_rule(c.merged()) for c in chosen}
+    assert rules_of == {"lgbm": ("balanced", 0.0), "xgb": ("positive", 9.0), "cat": ("balanced", 0.0), "logreg": ("balanced", 0.0)}
+    small = rules.Policies(small_rows=50)
+    assert not {r["model"]: r["only_if"] for r in rules.model_blocks(df, "y", policies=small).collect()}["catboost"]
+    assert {r["fit_params"] for r in rules.model_blocks(df, "y", "regression").collect()} == {"{}"}
+
+
 def test_space_specs(spark):
+    with pytest.raises(ValueError):
+        tune.parse_spec({"low": True, "high": False})
+    with pytest.raises(ValueError):
+        tune.parse_spec({"log": True})
     assert tune.parse_spec([3, 10]) == ("int", 3.0, 10.0, None)
     assert tune.parse_spec([0.5, 1]) == ("float", 0.5, 1.0, None)
     assert tune.parse_spec([True, False])[0] == "choice"
