@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
+import random
+
 from pyspark.sql import functions as F
 
 from catalog.profile import NUMBERS, TYPED, PLAN_RULE, ENCODER, _card, over_visits, visits
@@ -101,20 +101,45 @@ def _selected(spark, sf):
 
 
 def _text_weights(spark, sf):
-    """Per language: documents, distinct hashed terms with weight, and total weight."""
+    """Per language: documents with words, distinct terms, occurrences, and total weight."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    weights = extras.text_weights(docs, "text").transform(docs)
-    # The summary adds sparse vectors; only its one vector per language is made dense.
-    stats = Summarizer.metrics("count", "numNonZeros", "sum").summary(F.col("tfidf"))
-    per_lang = weights.groupBy("lang").agg(stats.alias("s"))
+    weights = extras.text_weights(docs, "doc_id", "text").join(docs.select("doc_id", "lang"), "doc_id")
+    per_term = weights.groupBy("lang", "term").agg(
+        F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("pairs"), F.sum("weight").alias("weight")
+    )
+    return per_term.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.sum("tf").alias("n_words"), F.sum("pairs").alias("n_pairs"),
+        F.round(F.sum("weight"), 3).alias("weight"),
+    )
+
 
-    def added(name):
-        return F.aggregate(vector_to_array(f"s.{name}"), F.lit(0.0), lambda a, x: a + x)
+# Wide and gappy: the last two columns follow the first two, and are mostly missing.
+WIDE = [f"(l_partkey * {7 * i + 3} + l_suppkey * {5 * i + 1}) % {89 + 2 * i}" for i in range(40)]
+WIDE += [f"case when l_orderkey % 10 = 0 then 2 * ({WIDE[i]}) + 1 end" for i in range(2)]
 
-    return per_lang.select(
-        "lang", F.col("s.count").alias("n_docs"), added("numNonZeros").alias("n_terms"),
-        F.round(added("sum"), 3).alias("weight"),
+
+def _correlated_wide(spark, sf):
+    lines = table(spark, sf, "lineitem").selectExpr(*[f"cast({e} as double) as c{i}" for i, e in enumerate(WIDE)])
+    dropped = extras.correlated_columns(lines, lines.columns)
+    return spark.createDataFrame([(c,) for c in dropped], "column string")
+
+
+def _many_levels(spark, sf):
+    """One-hot of every part, thousands of levels; rows as (line, slot) of the slots that are set."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", F.col("l_partkey").cast("string").alias("part"),
+        F.expr("cast(l_returnflag = 'R' as int)").alias("y"),
     )
+    plan = FeaturePlan(target="y", onehot=["part"])
+    fitted = Preprocessor.of(plan).fit(lines.filter("l_partkey % 10 <> 0"))
+    return cast_all(fitted.entries(lines, "l_orderkey", "l_linenumber", "l_suppkey"))
+
+
+def _worded_label(spark, sf):
+    """Target means of a yes/no label: the positive class is the rarer one."""
+    v = visits(spark, sf).withColumn("y", F.when(F.col("y") == 1, "yes").otherwise("no"))
+    fitted = Preprocessor.of(FeaturePlan(target="y", target_mean=["segment"])).fit(v)
+    return cast_all(fitted.named(v, "claim_id"))
 
 
 QUERIES = {
@@ -143,6 +168,8 @@ QUERIES = {
     "f06_target_mean": _visit_query(
         lambda v: _fitted(v, target_mean=["segment", "provider_id", "person_id"]).named(v, "claim_id")
     ),
+    "f05_many_levels": _many_levels,
+    "f06_worded_label": _worded_label,
     "f07_month_text": lambda spark, sf: features.months_as_text(
         table(spark, sf, "events").select("event_id", "ts")
     ),
@@ -173,6 +200,7 @@ QUERIES = {
     "x05_clip": _visit_query(
         lambda v: extras.clip_outliers(v, _train(v), NUMBERS).select("claim_id", *NUMBERS)
     ),
+    "x07_correlated_wide": _correlated_wide,
     "x07_correlated": lambda spark, sf: cast_all(_correlated(spark, sf)),
     "x08_undersample": lambda spark, sf: split.undersample(
         _orders(spark, sf), "o_orderstatus", ("o_orderkey",), 1.0
@@ -196,6 +224,32 @@ QUERIES = {
 }
 
 
+def _synthetic_sql() -> str:
+    """Copies of the rarer class: how often each row is due, its neighbour, and the share between."""
+    draw = random.Random(42)
+    names = ["l_quantity", "l_extendedprice", "l_discount"]
+    along = " + ".join(f"({c} - avg_{c}) / dev_{c} * {draw.gauss(0, 1)!r}::double" for c in names)
+    key = ", ".join(LINE_KEY)
+    place = f"md5(concat_ws('-', '42', {key})) || '-' || concat_ws('-', {key})"
+    facts = ", ".join(f"avg({c}) as avg_{c}, stddev_pop({c}) as dev_{c}" for c in names)
+    return f"""with flagged as (select *, cast(l_returnflag = 'R' as int) as y from lineitem),
+ sizes as (select y, count(*) as n from flagged group by 1),
+ rare as (select y, n from sizes order by n, y limit 1),
+ few as (select flagged.* from flagged join rare using (y)),
+ facts as (select {facts}, count(*) as n from few),
+ want as (select cast(round_even((select max(n) from sizes) * 0.8::double, 0) as bigint) - n as missing from rare),
+ placed as (
+  select few.*, {along} as spot, {place} as place, n, greatest(missing, 0) as missing from few, facts, want),
+ ordered as (
+  select *, row_number() over (order by place) as nth,
+    {", ".join(f"coalesce(lead({c}) over w, lag({c}) over w, {c}) as near_{c}" for c in names)}
+  from placed window w as (order by spot, place)),
+ copied as (
+  select *, unnest(range(1, missing // n + cast(nth <= missing % n as int) + 1)) as copy from ordered)
+select {", ".join(f"round({c} + (near_{c} - {c}) * share, 6) as {c}" for c in names)}, cast(y as bigint) as y, copy
+from (select *, ('0x' || substr(md5(place || '-' || copy), 1, 8))::bigint / 4294967296.0::double as share from copied)"""
+
+
 def _visit_labels(spark, sf):
     return visits(spark, sf).select("claim_id", "y")
 
@@ -278,6 +332,16 @@ where o_orderstatus <> 'P'""",
         + " from i "
         + " ".join(f"left join t_{c} on t_{c}.k = i.{c}" for c in ("segment", "provider_id", "person_id"))
     ),
+    "f05_many_levels": """with seen as (select distinct l_partkey from lineitem where l_partkey % 10 <> 0)
+select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, l_suppkey, 'part=' || l_partkey as slot, 1.0::double as value
+from lineitem semi join seen using (l_partkey)""",
+    "f06_worded_label": over_visits(
+        """with r as (select case when 2 * sum(y) <= count(*) then 1 else 0 end as rare from x_visits),
+ i as (select claim_id, y, coalesce(segment, (select segment from x_visits where segment is not null
+    group by 1 order by count(*) desc, 1 limit 1)) as segment from x_visits),
+ t as (select segment, avg((y = rare)::int::double) as m from i, r group by 1)
+select claim_id, round(m, 6) as segment_tmean from i left join t using (segment)"""
+    ),
     "f07_month_text": "select event_id, strftime(ts, '%Y-%m') as ts from events",
     "f08_stratified_split": _rank_split()
     + """,
@@ -345,6 +409,22 @@ from lineitem join orders on l_orderkey = o_orderkey""",
         )
         + " from x_visits, q"
     ),
+    "x09_synthetic_rows": _synthetic_sql(),
+    "x07_correlated_wide": "with t as (select "
+    + ", ".join(f"cast({e} as double) as c{i}" for i, e in enumerate(WIDE))
+    + " from lineitem)\n"
+    + "\n union all ".join(
+        f"""select 'c{j}' as "column" from t having greatest({", ".join(f"abs(corr(c{i}, c{j}))" for i in range(j))}) > 0.95"""
+        for j in range(1, len(WIDE))
+    ),
+    "x15_text_weights": r"""with w as (
+  select doc_id, lang, unnest(regexp_extract_all(lower(text), '[^\s]+')) as term from documents),
+ p as (select doc_id, lang, term, count(*) as tf from w group by all),
+ d as (select term, count(*) as docs from p group by 1),
+ n as (select count(*) as n from documents)
+select lang, count(distinct term) as n_terms, cast(sum(tf) as bigint) as n_words, count(*) as n_pairs,
+  round(sum(tf * ln((n + 1) / (docs + 1))), 3) as weight
+from p join d using (term), n group by lang""",
     "x07_correlated": """select round(sum(l_quantity), 6) as l_quantity, round(sum(l_discount), 6) as l_discount,
   round(sum(l_tax), 6) as l_tax, count(*) as n_rows from lineitem""",
     "x08_undersample": f"""with r as (

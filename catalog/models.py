@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.cohort import feature_table
+from catalog.features import SQL as FEATURE_SQL
 from catalog.features import visits
 from catalog.metrics import CLASSES, X_CLASS, class_scores
+from catalog.profile import SQL as PROFILE_SQL
 from catalog.views import cast_all, header, scored, table, with_views
 from tabml.operators import metrics, models, registry, score, split, tune
 from tabml.operators.features import FeaturePlan
@@ -19,19 +21,6 @@ TARGET = "y_acute_90"
 
 # ---------------------------------------------------------------- fitted models
 
-# Smaller than the presets so that the registered queries end in reasonable time.
-BUDGET = {
-    "logreg": {"max_iter": 50},
-    "xgb": {"n_estimators": 5, "max_depth": 4},
-    "lgbm": {"n_estimators": 10, "num_leaves": 32},
-    "cat": {"n_estimators": 5, "max_depth": 4},
-}
-
-
-def _candidates(*names: str):
-    return [models.Candidate(n, BUDGET[n]) for n in names]
-
-
 def _splits(spark, sf):
     """Feature rows with their split, written once; the label is 0/1 already."""
     opts = split.SplitOptions(key=("person_id", "index_month"), label=TARGET)
@@ -51,7 +40,7 @@ def _search(spark, sf):
     plan = _plan(s["train"])
     board = models.search(
         s["train"].drop(models.ID), s["val"].drop(models.ID), plan,
-        _candidates("logreg", "xgb", "lgbm", "cat"), parallelism=4,
+        models.candidates(), parallelism=4,
     )
     return cast_all(board)
 
@@ -66,14 +55,17 @@ def _multiclass_search(spark, sf):
     rows = split.random_split(lines, opts)
     part = {s: rows.filter(F.col("split") == s).drop("split") for s in ("train", "val")}
     plan = FeaturePlan.default(lines, "l_returnflag", drop=["row_key", "l_partkey", "l_suppkey"])
-    board = models.search(part["train"], part["val"], plan, _candidates("logreg", "lgbm"))
+    # One against the rest fits a booster per class: fewer rounds than the presets.
+    fewer = {"xgb": {"n_estimators": 20}, "cat": {"n_estimators": 20}}
+    chosen = [models.Candidate(c.name, fewer.get(c.name, {})) for c in models.candidates()]
+    board = models.search(part["train"], part["val"], plan, chosen, parallelism=4)
     return cast_all(board)
 
 
 def _final(spark, sf):
     s = _splits(spark, sf)
     board, _ = models.evaluate(
-        s["train"], s["val"], s["test"], _plan(s["train"]), _candidates("logreg", "xgb"), parallelism=2
+        s["train"], s["val"], s["test"], _plan(s["train"]), models.candidates(), parallelism=4
     )
     return cast_all(board)
 
@@ -81,14 +73,10 @@ def _final(spark, sf):
 def _tuned(spark, sf):
     s = _splits(spark, sf)
     data = models.prepare(s["train"].drop(models.ID), s["val"].drop(models.ID), _plan(s["train"]))
-    space = tune.space_table(
-        spark,
-        {
-            "logreg": tune.DEFAULT_SPACE["logreg"],
-            "lgbm": {**tune.DEFAULT_SPACE["lgbm"], "n_estimators": [5, 10], "num_leaves": [8, 32]},
-        },
-    )
-    finished = tune.tune(data, ["logreg", "lgbm"], space, trials=3, parallelism=3)
+    # All tuned models over their ranges, but for the number of trees.
+    space = {m: {**s, "n_estimators": [10, 40]} if m != "logreg" else s for m, s in tune.DEFAULT_SPACE.items()}
+    space = tune.space_table(spark, space)
+    finished = tune.tune(data, list(tune.TUNED), space, trials=3, parallelism=3)
     best = tune.best_trials(finished)
     return best.select("model", "trial", F.to_json("params").alias("params"), "best_value")
 
@@ -97,7 +85,7 @@ def _scored_batch(spark, sf):
     """Fit, evaluate, select, register, then load the registered version and score with it."""
     s = _splits(spark, sf)
     plan = _plan(s["train"])
-    board, fitted = models.evaluate(s["train"], s["val"], s["test"], plan, _candidates("logreg"))
+    board, fitted = models.evaluate(s["train"], s["val"], s["test"], plan, models.candidates(), parallelism=4)
     reg = registry.Registry(spark, new_path(spark, "registry"))
     paths = {}
     for name, model in fitted.items():
@@ -108,7 +96,9 @@ def _scored_batch(spark, sf):
     reg.register(registry.select_model(board), "acute-model")
     serving = reg.serving("acute-model")
     model = models.PipelineModel.load(serving["model_path"])
-    return score.batch_score(model, s["test"], serving["threshold"], "person_id", TARGET)
+    # The whole input is scored, without an id: a person has many months.
+    rows = s["train"].unionByName(s["val"]).unionByName(s["test"]).drop(models.ID)
+    return score.batch_score(model, rows, serving["threshold"], None, TARGET)
 
 
 # ---------------------------------------------------------------- made scorers
@@ -220,21 +210,74 @@ def _parquet_trip(spark, sf):
 
 def _csv_trip(spark, sf):
     path = new_path(spark, "trip")  # no extension: the reader has to find out
-    orders = table(spark, sf, "orders").drop("o_orderdate")
-    writers.write_csv(orders, path)
+    writers.write_csv(table(spark, sf, "orders"), path)
     return readers.read_file(spark, path).select(
         F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
         F.col("o_custkey").cast("bigint").alias("o_custkey"),
-        "o_orderstatus", "o_totalprice", "o_orderpriority",
+        "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), "o_orderpriority",
     )
 
 
 def _all_text(spark, sf):
     path = new_path(spark, "text")
-    raw = header(spark, sf).select("claim_id", "service_from", "allowed_amount", "claim_type")
-    writers.write_csv(raw, path)
-    types = {"claim_id": "bigint", "service_from": "date", "allowed_amount": "double"}
-    return readers.typed(readers.load_source(spark, "text", path=path), types)
+    writers.write_csv(header(spark, sf), path)
+    types = {c: "bigint" for c in ("claim_id", "person_id", "provider_id")}
+    types |= {c: "date" for c in ("service_from", "service_thru")}
+    types |= {f"{c}_amount": "double" for c in ("allowed", "copay", "coinsurance", "deductible")}
+    return cast_all(readers.typed(readers.load_source(spark, "text", path=path), types))
+
+
+def _timestamps(spark, sf):
+    """Named columns of an all-text table parsed as it is read."""
+    path = new_path(spark, "text")
+    writers.write_csv(header(spark, sf).select("claim_id", "service_from", "claim_type"), path)
+    rows = readers.with_timestamps(readers.read_text_table(spark, path), ["service_from", "no_such_column"])
+    return rows.select(F.col("claim_id").cast("bigint").alias("claim_id"), "service_from", "claim_type")
+
+
+def _preview_trip(spark, sf):
+    path = new_path(spark, "preview")
+    v = visits(spark, sf)
+    writers.write_preview(v, ["claim_id"], path, 100)
+    return cast_all(readers.read_csv(spark, path, v.schema.simpleString()[7:-1].replace(":", " ")))
+
+
+def _json_trip(spark, sf):
+    path = new_path(spark, "json")
+    summary = score.post_score_metrics(scored(spark, sf).withColumn("target", F.col("y").cast("string")), "target", 1, 0.4)
+    writers.write_json(summary, path)
+    return cast_all(spark.read.schema(summary.schema).json(path))
+
+
+def _prediction_trip(spark, sf):
+    path = writers.write_predictions(_argmax(spark, sf), new_path(spark, "sink"), "fixed")
+    return cast_all(spark.read.parquet(path))
+
+
+def _split_trip(spark, sf):
+    path = new_path(spark, "splits")
+    opts = split.SplitOptions(key=("o_orderkey",), label="o_orderstatus")
+    writers.write_splits(split.random_split(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), opts), path)
+    return writers.read_split(spark, path, "train", "val")
+
+
+def _made_trials(spark, sf):
+    """Trials with known values, some without, many tied: the best of each model."""
+    trials = table(spark, sf, "orders").select(
+        F.col("o_orderstatus").alias("model"), F.col("o_orderkey").alias("trial"),
+        F.create_map(F.lit("k"), F.col("o_custkey").cast("string")).alias("params"),
+        F.expr("case when o_orderkey % 7 <> 0 then o_custkey % 50 / 64.0D end").alias("value"),
+    )
+    best = tune.best_trials(trials)
+    return best.select("model", "trial", F.col("params")["k"].alias("k"), "best_value")
+
+
+def _new_version(spark, sf):
+    """The row that registering the selected scorer appends, after versions 1 to 10."""
+    versions = _versions(spark, sf)
+    chosen = _selected(spark, sf, 0.6)
+    number = registry.next_version(versions, "alpha")
+    return registry.version_row(chosen, registry.closest_run(_runs(spark, sf), chosen), "alpha", number)
 
 
 def _q(build):
@@ -263,6 +306,13 @@ QUERIES = {
     "i02_csv_round_trip": _csv_trip,
     "i03_manifest": _q(lambda spark, sf: writers.manifest(table(spark, sf, "lineitem"))),
     "i04_all_text": _all_text,
+    "i05_preview_csv": _preview_trip,
+    "i06_json_summary": _json_trip,
+    "i07_predictions": _prediction_trip,
+    "i08_split_tables": _split_trip,
+    "i09_named_timestamps": _timestamps,
+    "h02_best_of_made_trials": _made_trials,
+    "s05_new_version": _q(_new_version),
 }
 
 # ---------------------------------------------------------------- comparison SQL
@@ -352,6 +402,21 @@ select model, trial, param, round(case kind when 'int' then floor(low + u * (hig
   when 'loguniform' then exp(ln(low) + u * (ln(high) - ln(low))) end, 6) as value from v"""
 
 
+D03 = f"""with {X_CLASS}
+select actual, cast(case when s_a = greatest(s_a, s_n, s_r) then 0 when s_n = greatest(s_a, s_n, s_r) then 1
+  else 2 end as bigint) as prediction, round(greatest(s_a, s_n, s_r), 6) as score from x_class"""
+
+
+D02 = with_views(
+        "x_scored",
+        f"""with c as (select {COUNTS.format(t='0.4::double')} from x_scored),
+ one as (select 1 as k, y, score from x_scored),
+ {_ranking('r', 'one', 'k')}
+select tn, fp, fn, tp, {', '.join(f'round({m}, 6) as {m}' for m in ('precision', 'recall', 'f1'))},
+  0.4::double as threshold, round(auprc, 6) as auprc, round(auroc, 6) as auroc
+from (select c.*, {RATES} from c), r""",
+    )
+
 SQL = {
     "m03_leaderboard_of_scores": f"""with {BOARD}
 select name, threshold, violated, tn, fp, fn, tp, {ROUNDED} from board""",
@@ -380,26 +445,38 @@ select board.name, threshold, tn, fp, fn, tp, {ROUNDED},
   cast(board.name = (select name from chosen) as bigint) as selected,
   cast(recall >= 0.6 as bigint) as meets_recall, violated as threshold_violated, 'auprc' as primary_metric
 from board""",
-    "d02_post_score_metrics": with_views(
-        "x_scored",
-        f"""with c as (select {COUNTS.format(t='0.4::double')} from x_scored),
- one as (select 1 as k, y, score from x_scored),
- {_ranking('r', 'one', 'k')}
-select tn, fp, fn, tp, {', '.join(f'round({m}, 6) as {m}' for m in ('precision', 'recall', 'f1'))},
-  0.4::double as threshold, round(auprc, 6) as auprc, round(auroc, 6) as auroc
-from (select c.*, {RATES} from c), r""",
-    ),
-    "d03_argmax": f"""with {X_CLASS}
-select actual, cast(case when s_a = greatest(s_a, s_n, s_r) then 0 when s_n = greatest(s_a, s_n, s_r) then 1
-  else 2 end as bigint) as prediction, round(greatest(s_a, s_n, s_r), 6) as score from x_class""",
+    "d02_post_score_metrics": D02,
+    "i06_json_summary": D02,
+    "d03_argmax": D03,
     "i01_parquet_round_trip": "select * replace (cast(c_nationkey as bigint) as c_nationkey) from customer",
-    "i02_csv_round_trip": "select * exclude (o_orderdate) from orders",
+    "i02_csv_round_trip": "select * from orders",
+    "h02_best_of_made_trials": """select o_orderstatus as model, o_orderkey as trial, cast(o_custkey as varchar) as k,
+  o_custkey % 50 / 64.0::double as best_value from orders where o_orderkey % 7 <> 0
+qualify row_number() over (partition by o_orderstatus order by o_custkey % 50 desc, o_orderkey) = 1""",
+    "s05_new_version": f"""with {BOARD}, {CHOSEN.format(floor=0.6)}, {RUNS},
+ near as (
+  select run_id from runs join chosen c on run_name = 'final_' || c.name
+  order by (runs.auprc - c.auprc) ** 2 + (runs.auroc - c.auroc) ** 2 + (runs.precision - c.precision) ** 2
+    + (runs.recall - c.recall) ** 2 + (runs.f1 - c.f1) ** 2, runs.start_time desc, run_id limit 1),
+ top as (select max(year - 1990) + 1 as version from x_scores where name = 'alpha')
+select 'alpha' as model, cast(version as varchar) as version, run_id, name as alias,
+  printf('%.6f', threshold) as decision_threshold, primary_metric, round(min_recall, 6) as min_recall,
+  {", ".join(f"round({m}, 6) as test_{m}" for m in registry.METRICS)}
+from chosen, near, top""",
+    "i05_preview_csv": PROFILE_SQL["e12_preview"],
+    "i07_predictions": D03,
+    "i08_split_tables": f"select o_orderkey, o_orderstatus from ({FEATURE_SQL['f09_random_split']}) where split <> 'test'",
+    "i09_named_timestamps": with_views(
+        "x_header", "select claim_id, try_cast(service_from as timestamp) as service_from, claim_type from x_header"
+    ),
     "i03_manifest": """select count(*) as n_rows, 11::bigint as n_cols,
   'l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate'
     as "columns" from lineitem""",
     "i04_all_text": with_views(
         "x_header",
-        """select claim_id, try_cast(service_from as date) as service_from,
-  try_cast(allowed_amount as double) as allowed_amount, claim_type from x_header""",
+        """select claim_id, person_id, try_cast(service_from as date) as service_from,
+  try_cast(service_thru as date) as service_thru, claim_type, drg, bill_type, provider_id, """
+        + ", ".join(f"round(try_cast({c}_amount as double), 6) as {c}_amount" for c in ("allowed", "copay", "coinsurance", "deductible"))
+        + " from x_header",
     ),
 }

@@ -32,10 +32,9 @@ def visits(spark, sf):
 
 
 VISITS = """x_visits as (
-  select h.claim_id, h.person_id, m.segment, m.region_code, h.claim_type, h.drg,
-    cast(h.svc_from as timestamp) as svc_at, h.allowed, h.copay, h.coinsurance, h.deductible,
-    h.provider_id, hf.is_acute as y
-  from h join hf on hf.claim_id = h.claim_id left join x_member m on m.person_id = h.person_id)"""
+  select claim_id, visit.person_id, segment, region_code, kind as claim_type, drg,
+    cast(day as timestamp) as svc_at, allowed, copay, coinsurance, deductible, provider_id, acute as y
+  from visit left join x_member on visit.person_id = x_member.person_id)"""
 VISIT_KINDS = {
     "claim_id": "number", "person_id": "number", "segment": "string", "region_code": "number",
     "claim_type": "string", "drg": "string", "svc_at": "time", "allowed": "number", "copay": "number",
@@ -50,13 +49,25 @@ VISIT_TYPES = {
 DOC_KINDS = {
     "doc_id": "number", "text": "string", "lang": "string", "source": "string", "n_chars": "number",
 }
-DUP_COLUMNS = ["l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+LINE_KINDS = {
+    "l_orderkey": "number", "l_partkey": "number", "l_suppkey": "number", "l_linenumber": "number",
+    "l_quantity": "number", "l_extendedprice": "number", "l_discount": "number", "l_tax": "number",
+    "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "time",
+}
+CARDS = {
+    "binary": ("x_visits", VISIT_KINDS, VISIT_OPTIONS),
+    "classes": ("lineitem", LINE_KINDS, profile.ProfileOptions(target="l_returnflag", id_column="l_orderkey")),
+    "numeric": (
+        "lineitem", LINE_KINDS,
+        profile.ProfileOptions(target="l_extendedprice", id_column="l_orderkey", task="regression"),
+    ),
+}
 
 
 def over_visits(body: str) -> str:
     body = body.strip()
     rest = ",\n" + body[5:] if body.startswith("with ") else "\n" + body
-    return with_views("h hf x_member", f"with {VISITS}{rest}")
+    return with_views("visit x_member", f"with {VISITS}{rest}")
 
 
 def _type_rows(source: str, name: str, kinds: dict[str, str], target: str, id_column: str) -> str:
@@ -144,10 +155,90 @@ def _by_table(spark, sf, build):
 
 
 def _card(spark, sf):
-    v = visits(spark, sf)
-    return profile.column_profile(v, VISIT_OPTIONS).join(
-        profile.leakage(v, "y").select("column", "leaks"), "column", "left"
-    ).withColumn("leaks", F.coalesce("leaks", F.lit(False)))
+    return profile.data_card(visits(spark, sf), VISIT_OPTIONS)
+
+
+def _card_rows(name):
+    def rows(spark, sf):
+        source, _, opts = CARDS[name]
+        df = visits(spark, sf) if source == "x_visits" else table(spark, sf, source)
+        card = profile.data_card(df, opts)
+        shown = ["column", "inferred_type", "role", "suspected_id", "leaks", "missing_pct", "coverage_days"]
+        figures = [c for c in ("q1", "median", "q3", "pearson", "mutual_information") if c in card.columns]
+        return cast_all(card.select(*shown, *figures, F.size("topk").alias("n_top")))
+
+    return rows
+
+
+def _card_sql(name):
+    """Every figure of the card by a plain aggregate of its own."""
+    source, kinds, opts = CARDS[name]
+    target, regress = opts.target, opts.task is not None
+    number = [c for c, k in kinds.items() if k == "number" and c != target]
+    other = [c for c in kinds if c != target]
+    goal = f"cast(floor(20 * (rank() over (order by {target}) - 1) / count(*) over ()) as varchar)" if regress else f"cast({target} as varchar)"
+    figures = " union all ".join(
+        f"""select '{c}' as "column", quantile_cont({c}, 0.25) as q1, quantile_cont({c}, 0.5) as median,
+  quantile_cont({c}, 0.75) as q3 from {source}"""
+        for c in number
+    )
+    pairs = " union all ".join(
+        f"""select '{c}' as "column", case when count({c}) >= 3 then corr({c}::double, {target}::double) end as pearson
+  from {source} where {c} is not null and {target} is not null"""
+        for c in number
+    )
+    by_rank = " union all ".join(
+        f"""select '{c}' as "column", 'rank' as how, cast(cell as varchar) as cell, y, count(*) as n from (
+  select y, floor(20 * (rank() over (order by {c}) - 1) / count(*) over ()) as cell from goals where {c} is not null)
+  group by cell, y"""
+        for c in number
+    )
+    by_value = " union all ".join(
+        f"""select '{c}' as "column", 'value' as how, cast({c} as varchar) as cell, y, count(*) as n
+  from goals where {c} is not null group by cell, y"""
+        for c in other
+    )
+    alike = [c for c in other if kinds[c] == kinds[target]]
+    leaks = " union all ".join(
+        f"""select '{c}' as "column", count(*) filter ({c} = {target}) >= count(*) - 1 as leaks from {source}"""
+        for c in alike
+    )
+    facts = " union all ".join(
+        f"""select '{c}' as "column", round(100.0::double * (count(*) - count({c})) / count(*), 4) as missing_pct,
+  {f"floor(date_diff('second', min({c}), max({c})) / 86400)" if k == "time" else "null"} as coverage_days,
+  least(10, count(distinct {c}) + max(({c} is null)::int)) as n_top from {source}"""
+        for c, k in kinds.items()
+    )
+    body = f"""with typed as ({_type_rows(source, source, kinds, target, opts.id_column)}),
+ goals as (select *, {goal} as y from {source} where {target} is not null),
+ figures as ({figures}), pairs as ({pairs}), leaks as ({leaks}), facts as ({facts}),
+ cells as ({by_rank} union all {by_value}),
+ j as (
+  select *, sum(n) over (partition by "column", how, cell) as nx, sum(n) over (partition by "column", how, y) as ny,
+    sum(n) over (partition by "column", how) as total from cells),
+ mi as (
+  select "column", how, case when max(total) >= 20 then
+    greatest(sum(n::double / total * ln(total::double * n / (nx::double * ny))), 0) end as mutual_information
+  from j group by all),
+ t as (select *, inferred_type = 'numeric' and "column" <> '{target}' as counted,
+    inferred_type in ('categorical', 'boolean') as listed from typed)
+select t."column", inferred_type, role, cast(inferred_type = 'id' or unique_text = 1 as bigint) as suspected_id,
+  cast(coalesce(leaks, false) as bigint) as leaks, missing_pct, cast(coverage_days as bigint) as coverage_days,
+  {", ".join(f"round(case when counted then {q} end, 6) as {q}" for q in ("q1", "median", "q3"))},
+  {"round(case when counted then pearson end, 6) as pearson," if kinds[target] == "number" else ""}
+  round(mutual_information, 6) as mutual_information, cast(case when listed then n_top else null end as bigint) as n_top
+from t left join figures using ("column") left join pairs using ("column") left join leaks using ("column")
+  left join facts using ("column")
+  left join mi on mi."column" = t."column" and t."column" <> '{target}'
+    and how = case when counted then 'rank' when listed then 'value' end"""
+    if kinds[target] != "number":
+        body = body.replace(f"pairs as ({pairs}), ", "").replace('left join pairs using ("column") ', "")
+    return over_visits(body) if source == "x_visits" else body
+
+
+def _blocks(spark, sf):
+    blocks = rules.model_blocks(visits(spark, sf), "y").withColumn("ranges", F.size(F.from_json("ranges", "array<string>")))
+    return cast_all(blocks)
 
 
 def _on_visits(build):
@@ -156,7 +247,7 @@ def _on_visits(build):
 
 QUERIES = {
     "e01_dataset_summary": lambda spark, sf: cast_all(
-        profile.dataset_summary(table(spark, sf, "lineitem").select(*DUP_COLUMNS))
+        profile.dataset_summary(table(spark, sf, "lineitem"))
     ),
     "e02_column_profile": _on_visits(
         lambda v: profile.column_profile(v, VISIT_OPTIONS).select(
@@ -185,6 +276,7 @@ QUERIES = {
     .filter("suspected_id")
     .select("source", "column"),
     "e12_preview": _on_visits(lambda v: profile.preview(v, ["claim_id"], 100)),
+    **{f"e13_card_{name}": _card_rows(name) for name in CARDS},
     "p01_column_plan": lambda spark, sf: cast_all(rules.column_plan(_card(spark, sf))),
     "p02_class_weights": _on_visits(lambda v: rules.class_weights(v, "y")),
     "p03_time_split_rule": lambda spark, sf: cast_all(
@@ -193,6 +285,7 @@ QUERIES = {
         )
     ),
     "p04_search_space": lambda spark, sf: cast_all(rules.search_space(visits(spark, sf))),
+    "p05_model_blocks": lambda spark, sf: _blocks(spark, sf),
     "x03_encoder_by_levels": lambda spark, sf: rules.column_plan(
         _card(spark, sf), encoder_rule="levels"
     ).select("column", "bucket", "encoder"),
@@ -261,8 +354,20 @@ from j group by 1"""
 
 
 SQL = {
-    "e01_dataset_summary": f"""with d as (select distinct {', '.join(DUP_COLUMNS)} from lineitem)
-select (select count(*) from lineitem) as n_rows, {len(DUP_COLUMNS)}::bigint as n_cols,
+    **{f"e13_card_{name}": _card_sql(name) for name in CARDS},
+    "p05_model_blocks": over_visits(
+        f"""with c as (select count(*) filter (y = 1) as p, count(*) filter (y = 0) as q from x_visits),
+ f as (select round(greatest(1, q::double / p), 4) as weight, greatest(p, q)::double / least(p, q) >= 3 as uneven from c)
+select model, only_if, fit_params, cast(ranges as bigint) as ranges from (values ('lightgbm', {sum(r[0] == 'lightgbm' for r in rules.SPACE) + 1}), ('xgboost', {sum(r[0] == 'xgboost' for r in rules.SPACE)}),
+  ('catboost', {sum(r[0] == 'catboost' for r in rules.SPACE)}), ('logreg', {sum(r[0] == 'logreg' for r in rules.SPACE)})) m(model, ranges),
+ (select 1::bigint as only_if), lateral (select case model
+    when 'lightgbm' then '{{"is_unbalance":' || uneven || '}}'
+    when 'xgboost' then '{{"scale_pos_weight":' || weight || '}}'
+    when 'catboost' then case when uneven then '{{"auto_class_weights":"Balanced"}}' else '{{}}' end
+    else '{{}}' end as fit_params from f)"""
+    ),
+    "e01_dataset_summary": f"""with d as (select distinct * from lineitem)
+select (select count(*) from lineitem) as n_rows, {len(LINE_KINDS)}::bigint as n_cols,
   round(100.0::double * (1.0::double - (select count(*) from d)::double / (select count(*) from lineitem)), 4)
     as dup_row_pct""",
     "e02_column_profile": _profile_sql(),
@@ -343,7 +448,7 @@ select class, n, round(sum(n) over ()::double / (count(*) over () * n), 6) as ba
             if m in rules.CLASSIFIERS
         )
         + """)
-select s.*, cast(case when model = 'catboost' then n <= 200000 else true end as bigint) as only_if from s, n
+select s.*, 1::bigint as only_if from s, n
 union all
 select 'lightgbm', 'min_data_in_leaf', 'int', greatest(10, floor(n * 0.001::double))::double,
   greatest(20, floor(n * 0.05::double))::double, 1 from n"""
