@@ -35,6 +35,7 @@ _WORDS = 32
 CELLS = 12  # of the fingerprint
 _TABLES = 3
 _CHECK = 77
+_PART_CELLS = 500_000  # cells that one task peels
 _PEELS = 9  # peels in one job: three of each table
 
 
@@ -183,7 +184,11 @@ def differences(rows: DataFrame, sides: dict[str, tuple[str, str]]) -> DataFrame
         if todo.isEmpty():
             break
         wide = todo.groupBy("pair").agg(*[F.max(F.when(F.col("kind") == k, F.col("cells"))).alias(f"size_{k}") for k in sides])
-        both = rows.select("pair", *sorted({c for s in sides.values() for c in s})).join(wide, "pair")
+        # Cells are many times the shuffled digests: partitions by their number.
+        total = todo.agg(F.sum("cells")).first()[0]
+        count = max(partitions(rows.sparkSession), total // _PART_CELLS)
+        digests = rows.select("pair", *sorted({c for s in sides.values() for c in s}))
+        both = digests.repartition(count, "pair").join(wide.repartition(count, "pair"), "pair")
         each = [
             F.struct(F.lit(k).alias("kind"), F.col(f"size_{k}").alias("cells"), F.col(a).alias("one"), F.col(b).alias("other"))
             for k, (a, b) in sides.items()
