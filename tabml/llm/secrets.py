@@ -114,6 +114,15 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("blob").agg(flat("rules").alias("rules"), flat("found").alias("found"))
 
 
+_SMALL = 200_000  # spans that may be broadcast: about 60 bytes each
+
+
+def _small(hits: DataFrame) -> DataFrame:
+    """``hits`` marked for broadcast if they hold few spans, else as they are."""
+    total = hits.agg(F.coalesce(F.sum(F.size("found")), F.lit(0))).first()[0]
+    return F.broadcast(hits) if total <= _SMALL else hits
+
+
 def scan(
     versions: DataFrame,
     ledger: str | None = None,
@@ -151,7 +160,7 @@ def scan(
     current = F.array_sort(F.filter("found", lambda f: F.array_contains(wanted, f["rule"])))
     # Most blobs hold nothing: only the others have to meet their paths.
     hits = known.select("blob", current.alias("found")).filter(F.size("found") > 0)
-    joined = keys.join(hits, "blob", "left")
+    joined = keys.join(_small(staged(hits, "blobs-with-secrets")), "blob", "left")
     return joined.select(F.col("key").alias(key), "blob", F.coalesce("found", empty).alias("found"))
 
 
@@ -174,18 +183,14 @@ def redacted(text: Column, found: Column) -> Column:
     return F.when(F.size(found) > 0, F.aggregate(found, start, step, rest)).otherwise(text)
 
 
-_SMALL = 200_000  # spans that may be broadcast: about 60 bytes each
-
-
 def redact(docs: DataFrame, ledger: str | None = None, rules: list[Rule] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the spans found in their texts replaced by the rule's kind; NULL texts stay NULL."""
     blob, found = free_name("_blob", docs.columns), free_name("_found", docs.columns)
     hits = scan(docs, ledger, rules, key, text).filter(F.size("found") > 0)
     # Copies have the same findings: one row per blob.
-    hits = staged(hits.groupBy("blob").agg(F.min("found").alias("found")), "blobs-with-secrets")
-    total = hits.agg(F.coalesce(F.sum(F.size("found")), F.lit(0))).first()[0]
+    hits = _small(staged(hits.groupBy("blob").agg(F.min("found").alias("found")), "redactions"))
     hits = hits.select(F.col("blob").alias(blob), F.col("found").alias(found))
     rows = docs.withColumn(blob, F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    rows = rows.join(F.broadcast(hits) if total <= _SMALL else hits, blob, "left")
+    rows = rows.join(hits, blob, "left")
     clean = F.when(F.col(found).isNull(), F.col(text)).otherwise(redacted(F.col(text), F.col(found)))
     return rows.withColumn(text, clean).select(*quoted(docs.columns))
