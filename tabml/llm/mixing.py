@@ -35,7 +35,7 @@ SCHEDULES = {
     2: [(0.0, 1.0), (1.0, 1.0)],
     3: [(0.0, 0.5), (0.5, 1.0), (1.0, 1.5)],
 }
-_BUCKET_ROWS = 20_000
+_BUCKET_ROWS = 4_000
 
 
 def n_words(text: Column) -> Column:
