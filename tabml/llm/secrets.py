@@ -69,9 +69,22 @@ BASE = [
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]{24,}"),  # the same as runs of any length, short ones dropped
 ]
+# A private key: its first line and what follows up to its last one; where that is missing, the
+# base64 block, which may be indented, quoted, escaped or on one line, and a word or two after
+# it, as a block's last line may be short. The comparison SQL runs the same patterns, so they
+# have no possessive parts; repeated groups are bounded instead, beyond any key: 64 runs of
+# dashes before the last line, 250 indented lines (or as many on one line) without one.
+_KEY_BEGIN = r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
+_KEY_TO_END = r"[^-]*(?:-{1,4}[^-]+){0,64}-{5,}END (?:[A-Z]+ )*PRIVATE KEY-----"
+_GAP = r"""[\x20\t\r\n\\"',>|#*+]"""
+_LINES = rf"(?:{'[A-Za-z0-9+/]' * 4}){{4}}" + r"""[A-Za-z0-9+/=\r\n\\"',]*"""  # 16 characters at least
+_KEY_BLOCK = (
+    rf"""{_GAP}*(?:[A-Za-z][A-Za-z-]*:\x20?[^\x20\t\r\n\\"']+{_GAP}+){{0,8}}"""
+    rf"{_LINES}(?:{_GAP}+{_LINES}){{0,249}}(?:{_GAP}+[A-Za-z0-9+/]+={{0,2}})?"
+)
 # Public formats of common credentials.
 FORMATS = [
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", _KEY_BEGIN + f"(?:{_KEY_TO_END}|{_KEY_BLOCK})?"),
     Rule("json_web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("code_host_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),

@@ -1,7 +1,11 @@
 import hashlib
+import random
 import re
+import string
 from collections import Counter
 
+import duckdb
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tabml.llm import queries, secrets
@@ -108,3 +112,35 @@ def test_redaction(spark):
     for r in rows:
         assert r["text"] == redacted(TEXTS[r["doc_id"]])
         assert all(s not in (r["text"] or "") for s in ("abc123", "deadbeef"))
+
+
+def pem(lines, gap="\n", head="", end=True, kind="RSA "):
+    """A private key with lines of random base64, and these lines."""
+    rng = random.Random(len(gap) + lines)
+    body = ["".join(rng.choices(string.ascii_letters + string.digits + "+/", k=64)) for _ in range(lines)] + ["Zq9+x0/w=="]
+    last = [f"-----END {kind}PRIVATE KEY-----"] if end else []
+    return gap.join([f"-----BEGIN {kind}PRIVATE KEY-----{head}", *body, *last]), body
+
+
+def test_whole_private_keys_are_found(spark):
+    info = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C3D4E5F60718293A4B5C6D7E8F9\n"
+    gaps = ["\n", "\r\n", " ", "\n    ", "\\n", "\n> ", '" +\n  "']
+    keys = [pem(n, gap, head, end) for gap in gaps for end in (True, False) for n in (1, 25) for head in ("", info)]
+    keys += [pem(2000), pem(2000, " "), pem(200, " ", end=False), pem(2000, end=False), pem(3, kind=""), pem(3, kind="OPENSSH ")]
+    texts = [f"words before {key}\n--- some words after it" for key, _ in keys]
+    # A key without its last line before a whole one, and lines that only name keys.
+    texts += [pem(5, end=False)[0] + "\n\none two words between " + pem(5)[0], "the line -----BEGIN PRIVATE KEY----- begins a key"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    for i, (_, body) in enumerate(keys):
+        assert not any(line in clean[i] for line in body), (i, clean[i][:200])
+        assert re.fullmatch(r"words before \[private_key\]\n?--- some words after it", clean[i]), (i, clean[i][:200])
+    assert clean[len(keys)] == "[private_key] words between [private_key]"
+    assert clean[len(keys) + 1] == "the line [private_key] begins a key"
+    # The comparison SQL finds the same.
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    con = duckdb.connect()
+    con.register("documents", documents)
+    expected = {r[0]: r[-1] for r in con.execute(queries.SQL["op10_blob_ledger"]).fetchall()}
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(docs).select("doc_id", secrets.listed(F.col("found")).alias("spans")).collect()}
+    assert got == expected
