@@ -55,10 +55,7 @@ def _multiclass_search(spark, sf):
     rows = split.random_split(lines, opts)
     part = {s: rows.filter(F.col("split") == s).drop("split") for s in ("train", "val")}
     plan = FeaturePlan.default(lines, "l_returnflag", drop=["row_key", "l_partkey", "l_suppkey"])
-    # One against the rest fits a booster per class: fewer rounds than the presets.
-    fewer = {"xgb": {"n_estimators": 20}, "cat": {"n_estimators": 20}}
-    chosen = [models.Candidate(c.name, fewer.get(c.name, {})) for c in models.candidates()]
-    board = models.search(part["train"], part["val"], plan, chosen, parallelism=4)
+    board = models.search(part["train"], part["val"], plan, models.candidates(), parallelism=4)
     return cast_all(board)
 
 
@@ -73,10 +70,8 @@ def _final(spark, sf):
 def _tuned(spark, sf):
     s = _splits(spark, sf)
     data = models.prepare(s["train"].drop(models.ID), s["val"].drop(models.ID), _plan(s["train"]))
-    # All tuned models over their ranges, but for the number of trees.
-    space = {m: {**s, "n_estimators": [10, 40]} if m != "logreg" else s for m, s in tune.DEFAULT_SPACE.items()}
-    space = tune.space_table(spark, space)
-    finished = tune.tune(data, list(tune.TUNED), space, trials=3, parallelism=3)
+    space = tune.space_table(spark, tune.DEFAULT_SPACE)
+    finished = tune.tune(data, list(tune.TUNED), space, trials=tune.TRIALS, parallelism=3)
     best = tune.best_trials(finished)
     return best.select("model", "trial", F.to_json("params").alias("params"), "best_value")
 

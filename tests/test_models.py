@@ -240,3 +240,31 @@ def test_nearest_run_ignores_missing_metrics(spark):
     chosen = spark.createDataFrame([("a", 0.5, 0.9, 0.5, 0.5, 0.5, 0.5)], BOARD)
     assert registry.closest_run(runs, chosen).first()["run_id"] == "r2"
     assert registry.newest_run(runs, "final_a", "e1").first()["run_id"] == "r1"
+
+
+def test_queries_search_the_whole_budget(spark, sf, data, monkeypatch):
+    from catalog import models as queries
+
+    seen = {}
+
+    def search(train, val, plan, chosen, **_):
+        seen["candidates"] = chosen
+        return spark.createDataFrame([("a", 1)], "name string, rank int")
+
+    def tuned(_, names, space, trials, **options):
+        seen["tuned"] = names, {(r["model"], r["param"], r["low"], r["high"]) for r in space.collect()}, trials, options
+        return spark.createDataFrame([("a", 0, {}, 0.5, None)], "model string, trial int, params map<string,string>, value double, fit_error string")
+
+    monkeypatch.setattr(queries.models, "search", search)
+    queries.QUERIES["m01_search_multiclass"](spark, sf)
+    assert [(c.name, c.merged()) for c in seen["candidates"]] == list(models.PRESETS.items())
+    # No rows are fitted here: only what the query asks for counts.
+    monkeypatch.setattr(queries, "_splits", lambda *_: {"train": data[0].withColumn(models.ID, F.col("y")), "val": data[1]})
+    monkeypatch.setattr(queries, "_plan", lambda _: PLAN)
+    monkeypatch.setattr(queries.models, "prepare", lambda *_: None)
+    monkeypatch.setattr(queries.tune, "tune", tuned)
+    queries.QUERIES["h02_tuned_best"](spark, sf)
+    names, space, trials, options = seen["tuned"]
+    whole = {(r["model"], r["param"], r["low"], r["high"]) for r in tune.space_table(spark, tune.DEFAULT_SPACE).collect()}
+    assert names == ["xgb", "lgbm", "logreg"] and space == whole and trials == 100
+    assert not {"minutes", "patience"} & set(options)
