@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import boosting, jaccard, language, mixing, packing, quality, secrets, sketch, tokens, warc
+from tabml.llm import (
+    boosting,
+    jaccard,
+    language,
+    manifest,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    sketch,
+    tokens,
+    toxicity,
+    warc,
+    whitening,
+)
 from tabml.llm.frames import remainder, table
 
 
@@ -82,6 +96,35 @@ def op10_blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    spoilt = F.when(remainder(F.col("doc_id"), 2) == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    load = {"doc_id": F.col("doc_id"), "claim": manifest.leaf_of([*fields[:4], spoilt])}
+    found = manifest.build(docs, F.col("source"), F.col("doc_id"), fields, load)
+    proofs = found.prove(found.leaves).select(
+        "load.doc_id",
+        "leaf",
+        "subroot",
+        F.lit(found.root).alias("root"),
+        manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        manifest.folded(F.col("load.claim"), F.col("path")).alias("folded_root"),
+    )
+    return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_fair_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    labels = table(spark, folder, "labels").filter(~held).select("doc_id", F.col("toxic").alias("label"))
+    found = toxicity.score(docs, toxicity.fit(docs, labels))
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op13_rank_one_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,6 +142,9 @@ QUERIES = {
     "op8_paragraph_sketch": op8_paragraph_sketch,
     "op9_quality_rules": op9_quality_rules,
     "op10_blob_ledger": op10_blob_ledger,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_fair_toxicity": op12_fair_toxicity,
+    "op13_rank_one_whitening": op13_rank_one_whitening,
     "pipeline": pipeline,
 }
 
@@ -210,9 +256,77 @@ FROM documents LEFT JOIN found USING (doc_id)
 """
 
 
+def _entry(column: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({column} AS VARCHAR)) AS VARCHAR) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_entry(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+# CRC-32 of the decimal id, bit by bit.
+_CRC32 = """xor(list_reduce(
+  [4294967295::BIGINT] || list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: ascii(CAST(doc_id AS VARCHAR)[i])::BIGINT),
+  lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384::BIGINT))),
+  4294967295::BIGINT)"""
+
+
+def _op11() -> str:
+    """Nodes level by level, the siblings of each leaf by its place, and a fold one sibling run at a time."""
+    grown = """
+    SELECT tree, level + 1, spot // 3, sha256(string_agg(digest, '' ORDER BY spot)), (size + 2) // 3
+    FROM {nodes} WHERE size > 1 GROUP BY tree, level, spot // 3, size"""
+    return f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS tree, {_leaf("text")} AS leaf,
+         {_leaf("CASE WHEN crc32_of % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS claim
+  FROM (SELECT *, {_CRC32} AS crc32_of FROM documents)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS spot,
+         count(*) OVER (PARTITION BY tree) AS size
+  FROM leaves),
+nodes(tree, level, spot, digest, size) AS (
+  SELECT tree, 0, spot, leaf, size FROM placed
+  UNION ALL {grown.format(nodes="nodes")}),
+subroots AS (
+  SELECT tree, level AS height, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS spot, count(*) OVER () AS size
+  FROM nodes WHERE size = 1),
+upper_nodes(tree, level, spot, digest, size) AS (
+  SELECT '', 0, spot, subroot, size FROM subroots
+  UNION ALL {grown.format(nodes="upper_nodes")}),
+ways AS (
+  SELECT doc_id, leaf, claim, subroot, placed.tree, placed.spot, height, subroots.spot AS place,
+         (SELECT max(level) FROM upper_nodes) AS top
+  FROM placed JOIN subroots USING (tree)),
+steps AS (
+  SELECT ways.doc_id, ways.leaf, step, CAST(CASE WHEN step < height THEN spot // CAST(pow(3, step) AS BIGINT)
+           ELSE place // CAST(pow(3, step - height) AS BIGINT) END AS BIGINT) AS spot, step < height AS low, tree, height
+  FROM ways, unnest(range(0, height + top)) AS r(step)),
+siblings AS (
+  SELECT doc_id, leaf, step, coalesce(string_agg(n.digest, '' ORDER BY n.spot) FILTER (n.spot < s.spot), '') AS l,
+         coalesce(string_agg(n.digest, '' ORDER BY n.spot) FILTER (n.spot > s.spot), '') AS r
+  FROM steps s JOIN (SELECT *, true AS low FROM nodes UNION ALL SELECT *, false FROM upper_nodes) n
+    ON n.low = s.low AND n.tree = CASE WHEN s.low THEN s.tree ELSE '' END
+       AND n.level = CASE WHEN s.low THEN step ELSE step - height END AND n.spot // 3 = s.spot // 3
+  GROUP BY doc_id, leaf, step),
+folds(doc_id, leaf, step, digest) AS (
+  SELECT doc_id, leaf, 0, claim FROM ways
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.step + 1, sha256(l || digest || r)
+  FROM folds f JOIN siblings s ON s.doc_id = f.doc_id AND s.step = f.step),
+proofs AS (SELECT doc_id, string_agg(l || r, '' ORDER BY step) AS proof FROM siblings GROUP BY doc_id),
+root AS (SELECT digest AS root FROM upper_nodes WHERE size = 1)
+SELECT ways.doc_id, ways.leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
+       folds.digest AS folded_root, folds.digest = root AS verified
+FROM ways JOIN root ON true LEFT JOIN proofs USING (doc_id)
+JOIN folds ON folds.doc_id = ways.doc_id AND folds.step = height + top
+"""
+
+
 SQL: dict[str, str] = {
     "op4_curriculum_mix": _OP4,
     "op5_jaccard_product": _OP5,
     "op7_warc_index": _OP7,
     "op10_blob_ledger": _op10(),
+    "op11_merkle_manifest": _op11(),
 }
