@@ -223,8 +223,8 @@ class Manifest:
 
     def prove(self, requests: DataFrame) -> DataFrame:
         """(leaf, subroot, path, load) for each request (tree, rank, load); the path leads from the leaf up."""
-        asks = requests.select("tree").distinct().join(self.groups.select("tree", "rank"), "tree")
-        asks = asks.select(F.lit("").alias("tree"), "rank", F.struct("tree").alias("load"))
+        asks = requests.select("tree").distinct().join(self.groups, "tree")
+        asks = asks.select(F.col("whole").alias("tree"), "rank", F.struct("tree").alias("load"))
         begin = self.group_tops.select("tree", "digest", "layers", F.array().cast(_SEGMENTS).alias("path"), F.col("digest").alias("top"))
         reached = _descended(asks, begin, self.group_layers).select(F.col("load.tree").alias("tree"), "digest", "path")
         tops = reached.join(self.tops.select("tree", "layers"), "tree")
@@ -260,7 +260,7 @@ def build(docs: DataFrame, group: Column, key: Column, fields: list[Column], loa
         leaves.select("tree", "rank", "digest", "load"),
         layers,
         tops,
-        groups.select(F.col("group").alias("tree"), "rank"),
+        groups.select(F.col("group").alias("tree"), F.col("tree").alias("whole"), "rank"),
         group_layers,
         group_tops,
         None if top is None else bytes(top["digest"]).hex(),

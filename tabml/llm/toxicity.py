@@ -147,7 +147,7 @@ def _chosen(slots: list[np.ndarray], y: np.ndarray, most: int, least_z: float) -
 
 def _dense(rows: list[tuple[np.ndarray, np.ndarray]], chosen: np.ndarray) -> np.ndarray:
     out = np.zeros((len(rows), len(chosen)))
-    for i, (slots, values) in enumerate(rows):
+    for i, (slots, values) in enumerate(rows if len(chosen) else ()):
         at = np.searchsorted(chosen, slots)
         hit = (at < len(chosen)) & (chosen[np.minimum(at, len(chosen) - 1)] == slots)
         out[i, at[hit]] = values[hit]
