@@ -29,6 +29,12 @@ def _fitted(v, **groups):
     return Preprocessor.of(plan).fit(_train(v))
 
 
+def _out_of_fold(v):
+    """Five folds by claim; the mean label of a value over the other four."""
+    plan = FeaturePlan(target="y", positive="1", target_mean=["segment", "provider_id"])
+    return features.out_of_fold_means(v.withColumn("fold", F.col("claim_id") % 5), plan, {"segment": "none"})
+
+
 def _visit_query(build):
     return lambda spark, sf: cast_all(build(visits(spark, sf)))
 
@@ -168,6 +174,7 @@ QUERIES = {
     "f06_target_mean": _visit_query(
         lambda v: _fitted(v, target_mean=["segment", "provider_id", "person_id"]).named(v, "claim_id")
     ),
+    "f06_out_of_fold_means": lambda spark, sf: cast_all(_out_of_fold(visits(spark, sf))),
     "f05_many_levels": _many_levels,
     "f06_worded_label": _worded_label,
     "f07_month_text": lambda spark, sf: features.months_as_text(
@@ -316,6 +323,15 @@ where o_orderstatus <> 'P'""",
         )
         + " from x_visits"
     ),
+    "f06_out_of_fold_means": over_visits("""with p as (
+  select claim_id % 5 as fold, 'segment' as col, coalesce(cast(segment as varchar), 'none') as v, y from x_visits
+  union all select claim_id % 5, 'provider_id', cast(provider_id as varchar), y from x_visits),
+ k as (select * from p where y is not null and v is not null),
+ f as (select distinct fold, col from k)
+select f.fold, f.col as "column", k.v as value, round(avg(k.y::double), 6) as mean
+from f join k on k.col = f.col and k.fold <> f.fold group by all
+union all
+select f.fold, f.col, null, round(avg(k.y::double), 6) from f join k on k.col = f.col and k.fold <> f.fold group by all"""),
     "f06_target_mean": over_visits(
         f"with {TRAIN},\n i as (select claim_id, "
         + ", ".join(

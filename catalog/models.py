@@ -10,7 +10,7 @@ from catalog.features import visits
 from catalog.metrics import CLASSES, X_CLASS, class_scores
 from catalog.profile import SQL as PROFILE_SQL
 from catalog.views import cast_all, header, scored, table, with_views
-from tabml.operators import metrics, models, registry, score, split, tune
+from tabml.operators import boosting, metrics, models, registry, score, split, tune
 from tabml.operators.features import FeaturePlan
 from tabml.operators.labels import is_positive
 from tabml.plans import rules
@@ -71,11 +71,55 @@ def _tuned(spark, sf):
     s = _splits(spark, sf)
     data = models.prepare(s["train"].drop(models.ID), s["val"].drop(models.ID), _plan(s["train"]))
     space = tune.space_table(spark, tune.DEFAULT_SPACE)
-    finished = tune.tune(data, list(tune.TUNED), space, trials=tune.TRIALS, parallelism=3)
+    finished = tune.tune(data, list(tune.TUNED), space, trials=tune.TRIALS, parallelism=8, prune=True)
     best = tune.best_trials(finished)
     return best.select("model", "trial", F.to_json("params").alias("params"), "best_value")
 
 
+def _cross_validated(spark, sf):
+    """A row per preset and fold of the feature rows."""
+    rows = staged(feature_table(spark, sf), "features")
+    plan = FeaturePlan.default(rows, TARGET, drop=["person_id", "index_month"], scale=True)
+    board = models.cross_validate(rows, plan, models.candidates(), ("person_id", "index_month"), parallelism=4)
+    return cast_all(board)
+
+
+def _regression_search(spark, sf):
+    """The price of a line from its other numbers and its flags."""
+    lines = table(spark, sf, "lineitem").drop("l_shipdate")
+    opts = split.SplitOptions(key=tuple(lines.columns), method="random")
+    rows = staged(split.random_split(lines, opts), "lines")
+    part = {s: rows.filter(F.col("split") == s).drop("split") for s in ("train", "val")}
+    plan = FeaturePlan.default(lines, "l_extendedprice", drop=["l_orderkey", "l_partkey", "l_suppkey"], scale=True)
+    chosen = {"elasticnet": {}, "xgboost": {}, "lightgbm": {"lambda_l1": 1.0, "lambda_l2": 1.0}}
+    return cast_all(models.regression_search(part["train"], part["val"], plan, chosen, parallelism=3))
+
+
+def _residuals(spark, sf):
+    made = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("flag"), F.col("l_extendedprice").alias("y"),
+        F.expr("case when l_orderkey % 11 <> 0 then l_quantity * 1000 + l_linenumber end").alias("score"),
+    )
+    return metrics.residuals(made, ["flag"])
+
+
+def _median_rule(spark, sf):
+    """Made trials: a supplier's mean discount and tax stand for its values after 50 and 100 rounds."""
+    values = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.sum(F.round(F.col("l_discount") * 100).cast("long")).cast("double").alias("early"),
+        F.sum(F.round(F.col("l_tax") * 100).cast("long")).cast("double").alias("late"),
+    )
+    at = F.when(F.col("l_suppkey") % 4 == 0, 50).otherwise(100)
+    fits = values.select(
+        F.col("l_suppkey").alias("key"), (F.col("l_suppkey") % 3).cast("string").alias("group_of"), at.alias("rounds"),
+        F.when(at == 50, F.col("early")).otherwise(F.col("late")).alias("value"),
+        (F.col("l_suppkey") % 5 == 0).alias("done"), F.lit(False).alias("stopped"),
+        F.when(at == 50, F.create_map(F.lit("50"), F.col("early")))
+        .otherwise(F.create_map(F.lit("50"), F.col("early"), F.lit("100"), F.col("late"))).alias("history"),
+    )
+    return boosting.behind_median(fits, 3, 1, 50).drop("history")
+
+
 def _scored_batch(spark, sf):
     """Fit, evaluate, select, register, then load the registered version and score with it."""
     s = _splits(spark, sf)
@@ -294,6 +338,10 @@ QUERIES = {
         lambda spark, sf: registry.serving_threshold(_versions(spark, sf), _runs(spark, sf))
     ),
     "s04_report": _q(_report),
+    "h03_cross_validated": _cross_validated,
+    "h04_median_rule": _q(_median_rule),
+    "m04_regression_search": _regression_search,
+    "m04_regression_metrics": _q(_residuals),
     "d01_batch_score": _scored_batch,
     "d02_post_score_metrics": _q(_post_score),
     "d03_argmax": _q(_argmax),
@@ -413,6 +461,26 @@ from (select c.*, {RATES} from c), r""",
     )
 
 SQL = {
+    "m04_regression_metrics": """
+with m as (
+  select l_returnflag as flag, l_extendedprice as y, l_quantity * 1000 + l_linenumber as score
+  from lineitem where l_orderkey % 11 <> 0)
+select flag, count(*) as n, round(sqrt(avg((y - score) * (y - score))), 6) as rmse, round(avg(abs(y - score)), 6) as mae,
+  round(1 - sum((y - score) * (y - score)) / sum((y - mean) * (y - mean)), 6) as r2
+from m join (select flag, avg(y) as mean from m group by flag) using (flag) group by flag""",
+    "h04_median_rule": """
+with v as (
+  select l_suppkey as key, l_suppkey % 3 as g, sum(round(l_discount * 100)::bigint)::double as early,
+    sum(round(l_tax * 100)::bigint)::double as late, case when l_suppkey % 4 = 0 then 50 else 100 end as rounds
+  from lineitem group by l_suppkey),
+ m as (
+  select g, 50 as rounds, median(early) as middle, count(*) as n from v group by g
+  union all select g, 100, median(late), count(*) from v where rounds = 100 group by g),
+ j as (select v.*, case when rounds = 50 then early else late end as value, middle, n from v join m using (g, rounds))
+select key, g::varchar as group_of, rounds::bigint as rounds, value,
+  (key % 5 = 0 or (n >= 3 and value < middle))::bigint as done,
+  (key % 5 <> 0 and n >= 3 and value < middle)::bigint as stopped
+from j""",
     "m03_leaderboard_of_scores": f"""with {BOARD}
 select name, threshold, violated, tn, fp, fn, tp, {ROUNDED} from board""",
     "h01_sampled_trials": _trial_sql(),

@@ -172,6 +172,40 @@ def target_means(train: DataFrame, plan: FeaturePlan, fills: dict[str, str]) ->
     return both.select("column", "value", (F.col("s") / F.col("n")).alias("mean"))
 
 
+def out_of_fold_means(rows: DataFrame, plan: FeaturePlan, fills: dict[str, str], fold: str = "fold") -> DataFrame:
+    """(fold, column, value, mean): the label's mean over the rows of the *other* folds with that value.
+
+    For encoding training rows without their own labels. A row with NULL value is the fold's mean
+    over all values; a value that no other fold has gets no row, and takes that one. One count per
+    (fold, column, value) is made; what the other folds hold is the total less the own count.
+    """
+    pairs = [
+        F.struct(
+            F.lit(c).alias("column"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(fills.get(c))).alias("value")
+        )
+        for c in plan.target_mean
+    ]
+    rows = rows.select(F.col(fold).alias("fold"), label_value(rows, plan).alias("y"), F.explode(F.array(*pairs)).alias("p"))
+    own = (
+        rows.filter(F.col("y").isNotNull() & F.col("p.value").isNotNull())
+        .groupBy("fold", "p.column", "p.value")
+        .agg(F.sum("y").alias("s"), F.count("y").alias("n"))
+    )
+    own = staged(own, "fold-counts")
+    # One row a fold and column: few.
+    folds = own.groupBy("fold", "column").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+
+    def others(mine: DataFrame, by: list[str]) -> DataFrame:
+        whole = mine.groupBy(*by).agg(F.sum("s").alias("all_s"), F.sum("n").alias("all_n"))
+        every = whole.join(folds.select("fold", "column"), "column").join(mine, ["fold", *by], "left")
+        n = F.col("all_n") - F.coalesce("n", F.lit(0))
+        return every.withColumn("mean", (F.col("all_s") - F.coalesce("s", F.lit(0.0))) / n).filter(n > 0)
+
+    by_value = others(own, ["column", "value"]).select("fold", "column", "value", "mean")
+    overall = others(folds, ["column"]).select("fold", "column", F.lit(None).cast("string").alias("value"), "mean")
+    return by_value.unionByName(overall)
+
+
 def levels(train: DataFrame, columns: list[str], fills: dict[str, str]) -> dict[str, list[str]]:
     """Sorted one-hot levels: one string per slot of the feature vector."""
     counts = value_counts(train, columns).select(

@@ -116,6 +116,20 @@ def balanced_accuracy(scored: DataFrame, threshold: float, by: list[str] = ()) -
     return c.select(*by, ((hit + miss) / 2).alias("balanced_accuracy"))
 
 
+def residuals(scored: DataFrame, by: list[str] = ()) -> DataFrame:
+    """n, RMSE, MAE and R² of ``score`` against the number ``y``; R² is NULL where y doesn't vary.
+
+    One pass: the spread of y comes from its variance, which is summed around a running mean.
+    """
+    gap = F.col("y") - F.col("score")
+    sums = scored.filter(F.col("y").isNotNull() & F.col("score").isNotNull()).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(gap * gap).alias("square"), F.avg(F.abs(gap)).alias("mae"), F.var_pop("y").alias("spread")
+    )
+    return sums.select(
+        *by, "n", F.sqrt("square").alias("rmse"), "mae", F.when(F.col("spread") > 0, 1 - F.col("square") / F.col("spread")).alias("r2")
+    )
+
+
 def best_threshold(scored: DataFrame, min_recall: float = 0.6, by: list[str] = ()) -> DataFrame:
     """The threshold with the highest F1 among those with enough recall.
 

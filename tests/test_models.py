@@ -132,7 +132,7 @@ def test_every_sampled_parameter_reaches_the_estimator():
 
 
 def test_unknown_parameters_are_refused():
-    for name, p in (("xgb", "lambda"), ("lgbm", "learning_rate"), ("cat", "l2_leaf_reg"), ("logreg", "penalty")):
+    for name, p in (("xgb", "booster"), ("lgbm", "max_bin"), ("cat", "border_count"), ("logreg", "penalty")):
         with pytest.raises(ValueError, match=p):
             models.Candidate(name, {p: 1.0}).merged()
 
@@ -190,10 +190,10 @@ def test_weight_rule():
     assert models.weight_rule({"is_unbalance": False}) is None
 
 
-def test_leaf_limit_becomes_depth():
-    assert models._depth({"num_leaves": 64, "max_depth": -1}) == 6
-    assert models._depth({"num_leaves": 255, "max_depth": 5}) == 5
-    assert models._depth({}) == 6
+def test_limits_of_trees():
+    assert models._limits({"num_leaves": 64, "max_depth": -1}) == (0, 64)
+    assert models._limits({"num_leaves": 255, "max_depth": 5}) == (5, 255)
+    assert models._limits({}) == (6, 0)
 
 
 BOARD = "name string, auprc double, auroc double, precision double, recall double, f1 double, threshold double"
