@@ -221,6 +221,9 @@ QUERIES = {
             "y", LINE_KEY, ["l_quantity", "l_extendedprice", "l_discount"], 0.8,
         )
     ),
+    "x09_cleaned_rows": lambda spark, sf: split.cleaned(
+        table(spark, sf, "orders"), "o_orderstatus", ("o_orderkey",), ["o_totalprice", "o_custkey"]
+    ).select("o_orderkey", "o_orderstatus"),
     "x10_folds": lambda spark, sf: cast_all(
         split.stratified_folds(_orders(spark, sf), "o_orderstatus", ("o_orderkey",), 5)
     ),
@@ -232,29 +235,46 @@ QUERIES = {
 
 
 def _synthetic_sql() -> str:
-    """Copies of the rarer class: how often each row is due, its neighbour, and the share between."""
-    draw = random.Random(42)
+    """Copies of the rarer class: how often each row is due, its five nearest of all rows of the class, and the share between."""
     names = ["l_quantity", "l_extendedprice", "l_discount"]
-    along = " + ".join(f"({c} - avg_{c}) / dev_{c} * {draw.gauss(0, 1)!r}::double" for c in names)
     key = ", ".join(LINE_KEY)
     place = f"md5(concat_ws('-', '42', {key})) || '-' || concat_ws('-', {key})"
-    facts = ", ".join(f"avg({c}) as avg_{c}, stddev_pop({c}) as dev_{c}" for c in names)
+    facts = ", ".join(f"stddev_pop({c}) as dev_{c}" for c in names)
+    d2 = " + ".join(f"pow((a.{c} - b.{c}) / dev_{c}, 2)" for c in names)
+    part = "('0x' || substr(md5({}), 1, 8))::bigint / 4294967296.0::double"
     return f"""with flagged as (select *, cast(l_returnflag = 'R' as int) as y from lineitem),
  sizes as (select y, count(*) as n from flagged group by 1),
  rare as (select y, n from sizes order by n, y limit 1),
- few as (select flagged.* from flagged join rare using (y)),
+ few as (select flagged.*, {place} as place from flagged join rare using (y)),
  facts as (select {facts}, count(*) as n from few),
  want as (select cast(round_even((select max(n) from sizes) * 0.8::double, 0) as bigint) - n as missing from rare),
- placed as (
-  select few.*, {along} as spot, {place} as place, n, greatest(missing, 0) as missing from few, facts, want),
  ordered as (
-  select *, row_number() over (order by place) as nth,
-    {", ".join(f"coalesce(lead({c}) over w, lag({c}) over w, {c}) as near_{c}" for c in names)}
-  from placed window w as (order by spot, place)),
+  select few.*, n, greatest(missing, 0) as missing, row_number() over (order by place) as nth from few, facts, want),
+ ranked as (select *, row_number() over (order by place) as nth from few),
+ nearest as (
+  select a.nth, min(round(({d2}) * 1e10)::bigint * 10000000 + b.nth, 5) as near
+  from ranked a, ranked b, facts where a.nth <> b.nth group by a.nth),
  copied as (
-  select *, unnest(range(1, missing // n + cast(nth <= missing % n as int) + 1)) as copy from ordered)
-select {", ".join(f"round({c} + (near_{c} - {c}) * share, 6) as {c}" for c in names)}, cast(y as bigint) as y, copy
-from (select *, ('0x' || substr(md5(place || '-' || copy), 1, 8))::bigint / 4294967296.0::double as share from copied)"""
+  select *, unnest(range(1, missing // n + cast(nth <= missing % n as int) + 1)) as copy from ordered),
+ drawn as (
+  select copied.*, {part.format("concat_ws('-', place, copy)")} as share,
+    near[1 + cast(floor({part.format("concat_ws('-', 'near', place, copy)")} * len(near)) as int)] % 10000000 as other
+  from copied join nearest using (nth))
+select {", ".join(f"round(d.{c} + (o.{c} - d.{c}) * share, 6) as {c}" for c in names)}, cast(d.y as bigint) as y, copy
+from drawn d join ranked o on o.nth = d.other"""
+
+
+def _cleaned_sql() -> str:
+    names = ["o_totalprice", "o_custkey"]
+    d2 = " + ".join(f"pow((a.{c} - b.{c}) / dev_{c}, 2)" for c in names)
+    return f"""with p as (
+  select *, row_number() over (order by md5(concat_ws('-', '42', o_orderkey)) || '-' || o_orderkey) as nth from orders),
+ facts as (select {", ".join(f"stddev_pop({c}) as dev_{c}" for c in names)} from orders),
+ nearest as (
+  select a.nth, unnest(min(round(({d2}) * 1e10)::bigint * 10000000 + b.nth, 3)) % 10000000 as other
+  from p a, p b, facts where a.nth <> b.nth group by a.nth)
+select a.o_orderkey, a.o_orderstatus from nearest n join p a on a.nth = n.nth join p b on b.nth = n.other
+group by all having 2 * count(*) filter (a.o_orderstatus <> b.o_orderstatus) <= count(*)"""
 
 
 def _visit_labels(spark, sf):
@@ -426,6 +446,7 @@ from lineitem join orders on l_orderkey = o_orderkey""",
         + " from x_visits, q"
     ),
     "x09_synthetic_rows": _synthetic_sql(),
+    "x09_cleaned_rows": _cleaned_sql(),
     "x07_correlated_wide": "with t as (select "
     + ", ".join(f"cast({e} as double) as c{i}" for i, e in enumerate(WIDE))
     + " from lineitem)\n"

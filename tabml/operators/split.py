@@ -7,14 +7,14 @@ after that a split is one comparison per row.
 
 from __future__ import annotations
 
-import random
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabml.functions.ordered import balanced_buckets, class_sizes, digest_levels, rank_cuts
+from tabml.functions.ordered import class_sizes, digest_levels, rank_cuts
 from tabml.functions.scalars import hash_fraction
+from tabml.operators.neighbours import nearest, spreads
 from tabml.session import staged
 
 
@@ -222,56 +222,49 @@ def synthetic_rows(
     columns: list[str],
     ratio: float = 0.3,
     seed: int = 42,
+    neighbours: int = 5,
 ) -> DataFrame:
     """New rows of the rarest class, up to ``ratio`` of the largest, between neighbours.
 
-    The neighbour of a row is the next one along a random projection of the standardised
-    columns (the last row's is the one before it); no pair of rows is compared. Rows are
-    ordered inside buckets of the projection, and a bucket's last row meets the first
-    of the next bucket, so the result is the same wherever the buckets are cut. Rows with a missing
-    column have no place on the projection and are not copied. Returns the columns, the
-    label and ``copy``.
+    A new row lies between a row and one of its nearest ``neighbours`` in the class, by distance over
+    the columns divided by their deviations; which one, and where between, is drawn from the row's place and
+    the copy's number. Rows with a missing column have no neighbours and are not copied; a class of one
+    row gives copies of it. Returns the columns, the label and ``copy``.
     """
     sizes = class_sizes(df, F.col(label))
     if not sizes:
         return df.select(*columns, label, F.lit(1).alias("copy"))
     rare = min(sizes, key=lambda v: (sizes[v], str(v)))
-    few = df.filter(F.col(label).eqNullSafe(F.lit(rare))).dropna(subset=columns)
-    stats = few.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg(c).alias(f"mean_{c}") for c in columns],
-        *[F.stddev_pop(c).alias(f"std_{c}") for c in columns],
-    ).first()
-    n = stats["n"]
+    few = staged(df.filter(F.col(label).eqNullSafe(F.lit(rare))).dropna(subset=columns), "rare-class")
+    n = few.count()
     missing = max(round(max(sizes.values()) * ratio) - sizes[rare], 0)
     times, extra = divmod(missing, max(n, 1))
     cut = _cuts(few, F.lit(1), key, seed, [(1, extra)]).get((1, extra), "")
+    copies = F.lit(times) + (F.col("_place") <= F.lit(cut)).cast("int")
+    found = nearest(few, order_text(key, seed), columns, F.lit(None), neighbours, spreads(few, columns))
+    found = found.withColumn("_copies", copies).filter("_copies > 0")
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    number = F.col("copy").cast("string")
+    pick = F.floor(hash_fraction(F.md5(F.concat_ws("-", F.lit("near"), "_place", number))) * F.size("near")).cast("int")
+    share = hash_fraction(F.md5(F.concat_ws("-", "_place", number)))
+    found = found.withColumn("_near", F.get("near", pick)["at"])
 
-    rng = random.Random(seed)
-    along = F.lit(0.0)
-    for c in columns:
-        z = (F.col(c) - F.lit(stats[f"mean_{c}"])) / F.lit(stats[f"std_{c}"] or 1.0)
-        along = along + z * F.lit(rng.gauss(0, 1))
-    place = order_text(key, seed)
-    copies = F.lit(times) + (place <= F.lit(cut)).cast("int")
-    rows = few.select(*columns, label, along.alias("_at"), place.alias("_place"), copies.alias("_copies"))
-    rows = staged(balanced_buckets(rows, "_at").withColumn("_row", F.struct(*columns)), "projected")
-    order = Window.partitionBy("_bucket").orderBy("_at", "_place")
-    # The first and last row of each bucket, for its neighbours: a row per bucket.
-    spot, buckets = F.struct("_at", "_place"), Window.orderBy("_bucket")
-    ends = rows.groupBy("_bucket").agg(
-        F.min_by("_row", spot).alias("_first"), F.max_by("_row", spot).alias("_last")
-    )
-    ends = ends.select(
-        "_bucket", F.lead("_first").over(buckets).alias("_following"), F.lag("_last").over(buckets).alias("_previous")
-    )
-    near = F.coalesce(
-        F.lead("_row").over(order), "_following", F.lag("_row").over(order), "_previous", "_row"
-    )
-    copied = rows.join(ends, "_bucket").withColumn("_near", near).filter("_copies > 0").withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    )
-    share = hash_fraction(F.md5(F.concat_ws("-", "_place", F.col("copy").cast("string"))))
-    return copied.select(
-        *[(F.col(c) + (F.col(f"_near.{c}") - F.col(c)) * share).alias(c) for c in columns], label, "copy"
-    )
+    def between(i: int, c: str) -> Column:
+        here = F.col(f"`{c}`").cast("double")
+        return (here + (F.coalesce(F.get("_near", F.lit(i)), here) - here) * share).alias(c)
+
+    return found.select(*[between(i, c) for i, c in enumerate(columns)], label, "copy")
+
+
+def cleaned(
+    df: DataFrame, label: str, key: tuple[str, ...], columns: list[str], neighbours: int = 3, seed: int = 42
+) -> DataFrame:
+    """The rows that at least half of their nearest ``neighbours``, of any class, agree with.
+
+    Neighbours as in ``synthetic_rows``; rows with a missing column have none and stay. A NULL label
+    is a class.
+    """
+    own = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("null"))
+    found = nearest(df, order_text(key, seed), columns, own, neighbours, spreads(df.dropna(subset=columns), columns))
+    against = F.size(F.filter("near", lambda x: x["load"] != own))
+    return found.filter(2 * against <= F.size("near")).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -1,12 +1,12 @@
 import datetime
 import hashlib
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from tabml.functions import ordered
-from tabml.operators import cohort, split
+from tabml.operators import cohort, neighbours, split
 
 
 def counts(df, *by):
@@ -109,7 +109,7 @@ def test_synthetic_rows(spark, monkeypatch):
     a, b = out.agg(F.min("a"), F.max("a")).first()
     assert lo <= a <= b <= hi
     assert out.exceptAll(split.synthetic_rows(df.repartition(5), "y", ("id",), ["a", "b"], 0.3)).count() == 0
-    monkeypatch.setattr(ordered, "_PARTS", 3000)
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 5)
     assert out.exceptAll(split.synthetic_rows(df, "y", ("id",), ["a", "b"], 0.3)).count() == 0
 
 
@@ -117,12 +117,60 @@ def test_synthetic_rows_lie_between_neighbours(spark):
     values = [float(v) for v in (3, 1, 4, 15, 9, 2, 6, 53, 58)]
     rows = [(i, 1, v) for i, v in enumerate(values)] + [(100 + i, 0, 0.0) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, y int, a double")
-    new = sorted(r["a"] for r in split.synthetic_rows(df, "y", ("id",), ["a"], 0.3).collect())
+    new = [r["a"] for r in split.synthetic_rows(df, "y", ("id",), ["a"], 0.3, neighbours=2).collect()]
     assert len(new) == round(60 * 0.3) - 9
-    order = sorted(values)
-    gaps = list(zip(order, order[1:]))
-    assert all(any(lo <= v <= hi for lo, hi in gaps) for v in new)
-    assert all(any(lo <= v <= hi for v in new) for lo, hi in gaps)  # one copy of every row
+    near = {v: sorted((o for o in values if o != v), key=lambda o: abs(o - v))[:2] for v in values}
+    ways = [tuple(sorted((v, o))) for v, others in near.items() for o in others]
+    assert all(any(lo <= v <= hi for lo, hi in ways) for v in new)
+
+
+def _by_hand(points, k, scale):
+    """The k nearest others of each point by trying all pairs."""
+    out = {}
+    for place, at, _ in points:
+        if any(c is None or c != c for c in at):
+            out[place] = []
+            continue
+        others = [
+            (round(sum(((a - b) / s) ** 2 for a, b, s in zip(at, o, scale)), 10), p, load)
+            for p, o, load in points
+            if p != place and not any(c is None or c != c for c in o)
+        ]
+        out[place] = [(p, load) for _, p, load in sorted(others)[:k]]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["lattice", "plane", "wide", "hot", "tiny"])
+def test_nearest_are_the_nearest_of_all_pairs(spark, monkeypatch, kind):
+    """Many small cells, ties, one point that holds a third of the rows, missing values."""
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 20)
+    monkeypatch.setattr(neighbours, "VISITS", 50)
+    rng = random.Random(kind)
+    width = 6 if kind == "wide" else 2
+    draw = (lambda: float(rng.randint(0, 9))) if kind in ("lattice", "hot") else (lambda: rng.gauss(0, 1))
+    points = []
+    for i in range(2 if kind == "tiny" else 400):
+        at = [draw() for _ in range(width)]
+        if kind == "hot" and i % 3 == 0:
+            at = [4.0, 4.0]
+        if i % 50 == 17:
+            at[0] = None if i % 100 == 17 else float("nan")
+        points.append((f"p{i:03d}", at, rng.choice("ab")))
+    rows = spark.createDataFrame([(p, *at, load) for p, at, load in points], f"place string, {', '.join(f'c{i} double' for i in range(width))}, load string")
+    names = [f"c{i}" for i in range(width)]
+    scale = {c: 1.0 + i for i, c in enumerate(names)}
+    found = neighbours.nearest(rows.repartition(4), F.col("place"), names, F.col("load"), 4, scale).collect()
+    got = {r["place"]: [(n["place"], n["load"]) for n in r["near"]] for r in found}
+    assert got == _by_hand(points, 4, list(scale.values()))
+
+
+def test_cleaning_drops_rows_that_their_neighbours_contradict(spark):
+    rows = [(i, "a", float(i % 10), float(i // 10)) for i in range(100)] + [(200, "b", 4.5, 4.5), (201, None, 50.0, 50.0)]
+    rows += [(300 + i, "b", 100.0 + i, 0.0) for i in range(5)] + [(400, "b", None, 1.0)]
+    df = spark.createDataFrame(rows, "id long, y string, a double, b double")
+    kept = {r["id"] for r in split.cleaned(df, "y", ("id",), ["a", "b"]).collect()}
+    assert {r[0] for r in rows} - kept == {200, 201}
+    assert split.cleaned(df.limit(0), "y", ("id",), ["a", "b"]).count() == 0
 
 
 def test_balanced_sample_of_any_quota(spark):
