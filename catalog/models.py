@@ -10,6 +10,7 @@ from catalog.features import visits
 from catalog.metrics import CLASSES, X_CLASS, class_scores
 from catalog.profile import SQL as PROFILE_SQL
 from catalog.views import cast_all, header, scored, table, with_views
+from tabml.functions.ordered import numbered
 from tabml.operators import boosting, metrics, models, registry, score, split, tune
 from tabml.operators.features import FeaturePlan
 from tabml.operators.labels import is_positive
@@ -120,6 +121,13 @@ def _median_rule(spark, sf):
     return boosting.behind_median(fits, 3, 1, 50).drop("history")
 
 
+def _dense_ids(spark, sf):
+    """The numbers that rows without an id get, here in an order that SQL has as well."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    whole = numbered(orders, ["o_custkey", "o_orderkey"], name="row_id")
+    return numbered(whole, ["o_totalprice", "o_orderkey"], ["o_orderstatus"], "in_status")
+
+
 def _scored_batch(spark, sf):
     """Fit, evaluate, select, register, then load the registered version and score with it."""
     s = _splits(spark, sf)
@@ -343,6 +351,7 @@ QUERIES = {
     "m04_regression_search": _regression_search,
     "m04_regression_metrics": _q(_residuals),
     "d01_batch_score": _scored_batch,
+    "d01_dense_ids": _dense_ids,
     "d02_post_score_metrics": _q(_post_score),
     "d03_argmax": _q(_argmax),
     "i01_parquet_round_trip": _parquet_trip,
@@ -461,6 +470,10 @@ from (select c.*, {RATES} from c), r""",
     )
 
 SQL = {
+    "d01_dense_ids": """
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, row_number() over (order by o_custkey, o_orderkey) - 1 as row_id,
+  row_number() over (partition by o_orderstatus order by o_totalprice, o_orderkey) - 1 as in_status
+from orders""",
     "m04_regression_metrics": """
 with m as (
   select l_returnflag as flag, l_extendedprice as y, l_quantity * 1000 + l_linenumber as score

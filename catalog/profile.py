@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.views import OPTIONS, cast_all, claims, table, with_views
-from tabml.operators import cohort, profile
+from tabml.operators import cohort, information, profile
 from tabml.plans import rules
 
 VISIT_OPTIONS = profile.ProfileOptions(target="y", id_column="claim_id")
@@ -245,6 +245,40 @@ def _on_visits(build):
     return lambda spark, sf: cast_all(build(visits(spark, sf)))
 
 
+NEAR_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _neighbour_sql() -> str:
+    """Windows over the whole column: the third nearest of the class, then a range count around each value."""
+
+    def psi(x: str) -> str:
+        t = f"({x} + 6.0::double)"
+        back = " ".join(f"- 1 / ({x} + {i}.0::double)" for i in range(6))
+        return f"(ln({t}) - 1 / (2 * {t}) - 1 / (12 * {t} * {t}) + 1 / (120 * pow({t}, 4)) - 1 / (252 * pow({t}, 6)) {back})"
+
+    away = ", ".join([f"v - lag(v, {i}) over w" for i in (1, 2, 3)] + [f"lead(v, {i}) over w - v" for i in (1, 2, 3)])
+    values = " union all ".join(
+        f"""select '{c}' as col, l_returnflag as y, cast(round(({c} - (select avg({c}) from lineitem)) /
+  (select stddev_pop({c}) from lineitem) * 1000000) as bigint) * 1000000 + jitter as v from j"""
+        for c in NEAR_COLUMNS
+    )
+    return f"""with j as (
+  select *, cast(floor(('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8))::bigint
+    / 4294967296.0::double * 1000000) as bigint) as jitter from lineitem),
+ p as ({values}),
+ d as (
+  select *, count(*) over (partition by col, y) as size, [{away}] as near from p window w as (partition by col, y order by v)),
+ r as (
+  select *, least(3, size - 1) as k, list_sort(list_filter(near, lambda x: x is not null))[least(3, size - 1)] as r
+  from d where size > 1),
+ m as (
+  select *, count(*) over (partition by col order by v range between greatest(r - 1, 0) preceding and greatest(r - 1, 0) following) as within
+  from r)
+select col as "column", round(greatest({psi("count(*)")} + avg({psi("k")}) - avg({psi("size")}) - avg({psi("within")}), 0), 6)
+  as mutual_information
+from m group by col"""
+
+
 QUERIES = {
     "e01_dataset_summary": lambda spark, sf: cast_all(
         profile.dataset_summary(table(spark, sf, "lineitem"))
@@ -270,6 +304,11 @@ QUERIES = {
     "e08_mutual_information": _on_visits(
         lambda v: profile.mutual_information(v, NUMBERS, CATEGORIES, "y")
     ),
+    "e08_neighbour_information": lambda spark, sf: cast_all(
+        information.neighbour_information(
+            table(spark, sf, "lineitem"), NEAR_COLUMNS, "l_returnflag", key=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        )
+    ),
     "e09_target_summary": _on_visits(lambda v: profile.target_summary(v, "y")),
     "e10_leakage": lambda spark, sf: cast_all(profile.leakage(_leaky(spark, sf), "o_orderstatus")),
     "e11_suspected_ids": lambda spark, sf: _typed(spark, sf)
@@ -391,6 +430,7 @@ select (select count(*) from lineitem) as n_rows, {len(LINE_KINDS)}::bigint as n
         )
     ),
     "e08_mutual_information": _mi_sql(),
+    "e08_neighbour_information": _neighbour_sql(),
     "e09_target_summary": over_visits(
         """with c as (select cast(y as varchar) as class, count(*) as n from x_visits group by 1)
 select class, n, 'binary' as task, '1' as positive_class,

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabml.session import bounded_rows
+from tabml.session import bounded_rows, staged
 
 _CUTS = 256  # buckets between approximate quantiles, found by two 16-way searches
 _PARTS = 16  # equal-width parts inside each bucket, at least
@@ -143,6 +143,33 @@ def exact_quantiles(df: DataFrame, columns: list[str], shares: dict[str, float])
 
 # ---------------------------------------------------------------- ranks
 
+RANGE_ROWS = 500_000
+
+
+def numbered(df: DataFrame, order: list[str], by: list[str] = (), name: str = "number") -> DataFrame:
+    """``df`` with gapless numbers from 0 in that order (per group of ``by``), NULLs first.
+
+    Rows are range-sorted and numbered range by range; what lies before a range is a sum over ranges. Rows
+    that agree in the order have different numbers, by their place in the written table, so a key that many
+    rows share is many ranges. ``by`` holds few groups, none NULL.
+    """
+    rows = staged(df.withColumn("_tie", F.monotonically_increasing_id()), "unnumbered")
+    keys = [*by, *order, "_tie"]
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // RANGE_ROWS))
+    # The id that Spark gives is the partition, shifted, and the row's place in it.
+    placed = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    placed = staged(placed, "numbered").withColumn("_part", F.shiftright("_at", 33))
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a range: bounded by the number of partitions.
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    out = placed.join(F.broadcast(offsets), "_part").withColumn(name, place).drop("_part", "_at", "_tie", "_before")
+    if by:
+        first = out.groupBy(*by).agg(F.min(name).alias("_first"))
+        out = out.join(F.broadcast(first), list(by)).withColumn(name, F.col(name) - F.col("_first")).drop("_first")
+    return out
+
 
 def digest_levels(digest: Column) -> list[Column]:
     """Two levels of 65,536 buckets for a hex digest, coarse to fine."""

@@ -3,8 +3,10 @@ correlated-column removal, cyclic months, text weights."""
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,18 +57,43 @@ def clip_outliers(
     return df.withColumns({c: clip(c) for c in columns if c in edges})
 
 
-PAIRS = 200  # pairs of columns in one aggregation: more make a plan too wide to compile
-
-
 def _pairwise(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], float]:
-    """Correlation of every pair over the rows where both are known, a pass per ``PAIRS`` pairs."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    out: dict[tuple[str, str], float] = {}
-    for at in range(0, len(pairs), PAIRS):
-        part = pairs[at : at + PAIRS]
-        both = [F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(part)]
-        out.update(zip(part, df.agg(*both).first()))
-    return out
+    """Correlation of every pair over the rows where both are known, in one pass for any number of columns.
+
+    Each task multiplies its rows' matrix [value, known, square], values standardised and 0 where missing, with
+    itself: the blocks of that product hold the counts, sums, squares and products of all pairs. Entries are
+    added up by place, so the driver holds one matrix of columns squared.
+    """
+    d = len(columns)
+    typed = [F.col(f"`{c}`").cast("double") for c in columns]
+    known = [F.when(~F.isnan(c), c) for c in typed]
+    facts = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(known) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    mean = np.array([facts[f"m{i}"] or 0.0 for i in range(d)])
+    scale = np.array([facts[f"s{i}"] or 1.0 for i in range(d)])
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((3 * d, 3 * d))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], 1)
+            there = ~np.isnan(x)
+            x = np.where(there, (x - mean) / scale, 0.0)
+            rows = np.hstack([x, there.astype(float), x * x])
+            total += rows.T @ rows
+        places = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(total.ravel()[places])], names=["place", "value"])
+
+    parts = df.select(*[c.alias(f"c{i}") for i, c in enumerate(known)]).mapInArrow(products, "place long, value double")
+    total = np.zeros(9 * d * d)
+    for r in parts.groupBy("place").agg(F.sum("value").alias("value")).collect():
+        total[r["place"]] = r["value"]
+    total = total.reshape(3 * d, 3 * d)
+    n, sums, squares = total[d : 2 * d, d : 2 * d], total[:d, d : 2 * d], total[2 * d :, d : 2 * d]
+    with np.errstate(all="ignore"):
+        spread = squares - sums * sums / n  # of the row's column over the rows that the other knows
+        r = (total[:d, :d] - sums * sums.T / n) / np.sqrt(spread * spread.T)
+    # A column that doesn't vary over the pair's rows has no correlation, whatever rounding says.
+    r[(spread <= 1e-12 * np.maximum(squares, 1)) | (spread.T <= 1e-12 * np.maximum(squares.T, 1))] = np.nan
+    return {(a, b): float(r[i, j]) for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j}
 
 
 def correlated_columns(df: DataFrame, columns: list[str], limit: float = 0.95) -> list[str]:
@@ -75,9 +102,7 @@ def correlated_columns(df: DataFrame, columns: list[str], limit: float = 0.95) -
     kept: list[str] = []
     dropped = []
     for c in columns:
-        strong = any(
-            r[(k, c)] is not None and not math.isnan(r[(k, c)]) and abs(r[(k, c)]) > limit for k in kept
-        )
+        strong = any(abs(r[(k, c)]) > limit for k in kept)
         (dropped if strong else kept).append(c)
     return dropped
 

@@ -1,9 +1,9 @@
 """Preprocessing: impute, scale, one-hot and target-mean encode, fitted on training rows only.
 
 ``Preprocessor`` and ``PreprocessorModel`` are pipeline stages. What is learned per
-column (medians, means, modes, one-hot levels) is a few values per column and lives in
-the model; target means may have one row per distinct value, so they stay a table and
-are joined.
+column (medians, means, modes) is a few values per column and lives in the model; target
+means and one-hot levels may have one row per distinct value, so they stay tables and are
+joined.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
@@ -30,10 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabml.functions.lookup import lookup
-from tabml.functions.ordered import exact_quantiles
+from tabml.functions.ordered import exact_quantiles, numbered
 from tabml.functions.scalars import month_text
 from tabml.operators.profile import kinds, target_summary, value_counts, without_nan
-from tabml.session import staged
+from tabml.session import bounded_rows, staged
+
+MOST_NAMES = 100_000  # slots that ``named`` makes columns of
 
 
 @dataclass(frozen=True)
@@ -206,15 +208,16 @@ def out_of_fold_means(rows: DataFrame, plan: FeaturePlan, fills: dict[str, str],
     return by_value.unionByName(overall)
 
 
-def levels(train: DataFrame, columns: list[str], fills: dict[str, str]) -> dict[str, list[str]]:
-    """Sorted one-hot levels: one string per slot of the feature vector."""
+def levels(train: DataFrame, columns: list[str], fills: dict[str, str]) -> DataFrame:
+    """(column, value, index) of the one-hot levels: one slot of the feature vector each, in the values' order.
+
+    The dictionary is a written table, numbered range by range; the driver sees a count per column.
+    """
     counts = value_counts(train, columns).select(
         "column", F.coalesce(F.col("value"), _per_column(fills)).alias("value")
     )
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in counts.filter(F.col("value").isNotNull()).distinct().toLocalIterator():
-        found[r["column"]].append(r["value"])
-    return {c: sorted(v) for c, v in found.items()}
+    found = numbered(counts.filter(F.col("value").isNotNull()).distinct(), ["value"], ["column"], "index")
+    return staged(found.select("column", "value", "index"), "levels")
 
 
 def _per_column(values: dict[str, str]) -> Column:
@@ -249,6 +252,7 @@ class Preprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         plan = FeaturePlan(**json.loads(self.getOrDefault(self.plan)))
         train = without_nan(months_as_text(dataset))
         state: dict = {"medians": {}, "moments": {}, "modes": {}, "levels": {}}
+        dictionary = None
         if plan.numeric:
             state["medians"] = {r["column"]: r["median"] for r in medians(train, plan.numeric).collect()}
             if plan.scale:
@@ -260,7 +264,9 @@ class Preprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         if texts:
             state["modes"] = {r["column"]: r["mode"] for r in modes(train, texts).collect()}
         if plan.onehot:
-            state["levels"] = levels(train, plan.onehot, state["modes"])
+            dictionary = levels(train, plan.onehot, state["modes"])
+            found = {r["column"]: r["count"] for r in dictionary.groupBy("column").count().collect()}
+            state["levels"] = {c: found.get(c, 0) for c in plan.onehot}
         means = None
         if plan.target_mean:
             means = staged(target_means(train, plan, state["modes"]), "target-means")
@@ -270,7 +276,7 @@ class Preprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             )
             state["means"] = {r["column"]: (r["rows"], r["all"]) for r in facts.collect()}
         model = PreprocessorModel(plan=json.dumps(asdict(plan)), state=json.dumps(state))
-        model.means = means
+        model.means, model.dictionary = means, dictionary
         return model
 
 
@@ -285,6 +291,7 @@ class PreprocessorModel(Model, MLWritable, MLReadable):
         super().__init__()
         self._set(plan=plan, state=state)
         self.means: DataFrame | None = None
+        self.dictionary: DataFrame | None = None
 
     def fitted(self) -> tuple[FeaturePlan, dict]:
         return (
@@ -293,9 +300,13 @@ class PreprocessorModel(Model, MLWritable, MLReadable):
         )
 
     def slots(self) -> list[str]:
-        """Names of the feature vector's slots, in order."""
+        """Names of the feature vector's slots, in order: for few slots."""
         plan, state = self.fitted()
-        onehot = [slot(c, v) for c in plan.onehot for v in state["levels"][c]]
+        by_column: dict[str, list] = {c: [] for c in plan.onehot}
+        if self.dictionary is not None:
+            for r in bounded_rows(self.dictionary, MOST_NAMES, "slots with names"):
+                by_column[r["column"]].append((r["index"], r["value"]))
+        onehot = [slot(c, v) for c in plan.onehot for _, v in sorted(by_column[c])]
         return [*plan.numeric, *onehot, *[f"{c}_tmean" for c in plan.target_mean]]
 
     def _columns(self, df: DataFrame) -> DataFrame:
@@ -316,11 +327,12 @@ class PreprocessorModel(Model, MLWritable, MLReadable):
             cols.append(F.coalesce(x, F.lit(0.0)).alias(f"_n_{i}"))
         out = base.select("*", *cols, *[filled(c).alias(f"_s_{i}") for i, c in self._leveled()])
         for i, c in self._leveled():
+            n = state["levels"][c]
+            table = self.dictionary.filter(F.col("column") == c).select(F.col("value").alias("_value"), F.col("index").alias("_index"))
             # A value that was not seen, or none, has the last index, which is no slot.
-            index = StringIndexerModel.from_labels(
-                state["levels"][c], inputCol=f"_s_{i}", outputCol=f"_i_{i}", handleInvalid="keep"
-            )
-            out = index.transform(out)
+            index = F.coalesce("_index", F.lit(n)).cast("double")
+            out = lookup(out.withColumn("_value", F.col(f"_s_{i}")), table, "_value", n).withColumn(f"_i_{i}", index)
+            out = out.withMetadata(f"_i_{i}", {"ml_attr": {"type": "nominal", "num_vals": n + 1}}).drop("_value", "_index")
         for i, c in enumerate(plan.target_mean):
             rows, everyone = state["means"].get(c, (0, 0.0))
             table = self.means.filter((F.col("column") == c) & F.col("value").isNotNull()).select(
@@ -348,7 +360,7 @@ class PreprocessorModel(Model, MLWritable, MLReadable):
         plan, state = self.fitted()
         parts = [(F.lit(c), F.col(f"_n_{i}")) for i, c in enumerate(plan.numeric)]
         for i, c in self._leveled():
-            seen = (F.col(f"_i_{i}") < len(state["levels"][c])).cast("double")
+            seen = (F.col(f"_i_{i}") < state["levels"][c]).cast("double")
             parts.append((F.concat(F.lit(slot(c, "")), F.coalesce(f"_s_{i}", F.lit(""))), seen))
         parts += [(F.lit(f"{c}_tmean"), F.col(f"_t_{i}")) for i, c in enumerate(plan.target_mean)]
         rows = F.array(*[F.struct(n.alias("slot"), v.alias("value")) for n, v in parts])
@@ -378,7 +390,7 @@ class PreprocessorModel(Model, MLWritable, MLReadable):
 
 
 class _Writer(MLWriter):
-    """Parameters as usual, the target means as a table beside them."""
+    """Parameters as usual, the target means and the levels as tables beside them."""
 
     def __init__(self, model: PreprocessorModel):
         super().__init__()
@@ -388,6 +400,8 @@ class _Writer(MLWriter):
         DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
         if self.model.means is not None:
             self.model.means.write.parquet(f"{path}/means")
+        if self.model.dictionary is not None:
+            self.model.dictionary.write.parquet(f"{path}/levels")
 
 
 class _Reader(MLReader):
@@ -399,4 +413,6 @@ class _Reader(MLReader):
         plan, _ = model.fitted()
         if plan.target_mean:
             model.means = self.sparkSession.read.parquet(f"{path}/means")
+        if plan.onehot:
+            model.dictionary = self.sparkSession.read.parquet(f"{path}/levels")
         return model
