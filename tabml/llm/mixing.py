@@ -16,8 +16,9 @@ added. A source that holds most rows is as many buckets as its rows need. Everyt
 depends on keys and sizes only, so reruns agree.
 
 Results for odd input: NULL text has size 0; documents of size 0 are passed on but take no
-words; NULL sources are one source, the last; NULL keys order by their size; repeated rows are
-documents of their own; an empty table gives no rows; other columns are ignored.
+words; NULL sources are one source, the last; NULL and repeated keys order by their text's digest; repeated
+rows are documents of their own; texts of any length are counted whole; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ SCHEDULES = {
     2: [(0.0, 1.0), (1.0, 1.0)],
     3: [(0.0, 0.5), (0.5, 1.0), (1.0, 1.5)],
 }
-_BUCKET_ROWS = 4_000
+_BUCKET_ROWS = 1_000
 
 
 def n_words(text: Column) -> Column:
@@ -102,8 +103,10 @@ def mix(
     computed from ``docs``.
     """
     extra = extra or {}
-    # The digest, and so the order, hangs on the key; ties are broken by size.
-    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    # The digest, and so the order, hangs on the key and the text: rows without a key, or with the same one,
+    # spread over the buckets like others. Ties are broken by size.
+    content = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(":"), content))
     sized = docs.select(
         F.col(key).alias("key"),
         F.col(source).alias("source"),

@@ -153,7 +153,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _OP4 = f"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{_WORD}')), 0) AS BIGINT) AS size,
-         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS draw
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS draw
   FROM documents),
 totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS whole FROM sized GROUP BY source),
 weighed AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS weight FROM totals),
@@ -223,23 +223,41 @@ FROM hosts
 """
 
 
+# kind, pattern, and the group and least length that a match needs; written out apart from the operator's rules.
+_SECRETS = [
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    (
+        "private_key",
+        "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+)*-{5,}END (?:[A-Z]+ )*PRIVATE KEY-----|"
+        r"""[\x20\t\r\n\\"',>|#*+]*(?:[A-Za-z][A-Za-z-]*:\x20?[^\x20\t\r\n\\"']+[\x20\t\r\n\\"',>|#*+]+){0,8}"""
+        r"""[A-Za-z0-9+/]{16}[A-Za-z0-9+/=\r\n\\"',]*(?:[\x20\t\r\n\\"',>|#*+]+[A-Za-z0-9+/]{16}[A-Za-z0-9+/=\r\n\\"',]*)*"""
+        r"""(?:[\x20\t\r\n\\"',>|#*+]+[A-Za-z0-9+/]+={0,2})?)?""",
+        0,
+        0,
+    ),
+    ("json_web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+    ("code_host_token", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
+    ("chat_token", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+]
+
+
 def _op10() -> str:
     """Matches of each rule: the text with marks around them is split, lengths before a part are its place."""
     parts = []
-    for place, rule in enumerate(secrets.RULES):
-        pattern = rule.pattern.replace("'", "''")
-        keeps = f"length(regexp_extract(part, '{pattern}', {rule.group})) >= {rule.least}"
+    for place, (kind, pattern, group, least) in enumerate(_SECRETS):
+        pattern = pattern.replace("'", "''")
+        keeps = f"length(regexp_extract(part, '{pattern}', {group})) >= {least}"
         parts.append(f"""
-  SELECT doc_id, '{rule.kind}' AS kind, {place} AS place, start, start + length(part) AS stop
+  SELECT doc_id, '{kind}' AS kind, {place} AS place, start, start + length(part) AS stop
   FROM (SELECT doc_id, split[i] AS part, coalesce(list_sum([length(x) for x in split[1 : i - 1]]), 0) AS start
         FROM (SELECT doc_id, split, unnest(range(2, len(split) + 1, 2)) AS i
               FROM (SELECT doc_id, string_split(replace(regexp_replace(plain, '{pattern}', chr(1) || '\\0' || chr(2), 'g'),
                                                         chr(2), chr(1)), chr(1)) AS split FROM texts)))
-  WHERE {keeps if rule.least else "true"}""")
-    base = ", ".join(f"'{r.kind}'" for r in secrets.BASE)
-    counts = ", ".join(
-        f"CAST(count(*) FILTER (kind = '{r.kind}') AS BIGINT) AS n_{r.kind}" for r in secrets.BASE
-    )
+  WHERE {keeps if least else "true"}""")
+    base = "'assign', 'access', 'hex'"
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = '{k}') AS BIGINT) AS n_{k}" for k in ("assign", "access", "hex"))
     order = "ORDER BY start, place, stop"
     span = "kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT)"
     return f"""
@@ -250,7 +268,7 @@ found AS (
   SELECT doc_id, {counts}, string_agg({span}, ',' {order}) FILTER (kind IN ({base})) AS base,
          string_agg({span}, ',' {order}) AS spans
   FROM spans GROUP BY doc_id)
-SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.BASE)},
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in ("assign", "access", "hex"))},
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN found USING (doc_id)
 """

@@ -13,7 +13,7 @@ nothing behind, and a blob scanned twice gives the same findings once.
 Positions are code points, the end is exclusive. Matches of one rule are the leftmost that
 don't overlap; matches that fail the rule's length test are dropped afterwards.
 
-Results for odd input: a NULL text is the empty blob, without findings; rows with NULL or
+Results for odd input: texts of any length are scanned whole; a NULL text is the empty blob, without findings; rows with NULL or
 repeated keys give one row each; an empty table gives no rows; other columns are ignored.
 """
 
@@ -69,18 +69,16 @@ BASE = [
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]{24,}"),  # the same as runs of any length, short ones dropped
 ]
-# A private key: its first line and what follows up to its last one; where that is missing, the
-# base64 block, which may be indented, quoted, escaped or on one line, and a word or two after
-# it, as a block's last line may be short. The comparison SQL runs the same patterns, so they
-# have no possessive parts; repeated groups are bounded instead, beyond any key: 64 runs of
-# dashes before the last line, 250 indented lines (or as many on one line) without one.
+# A private key: its first line and what follows up to its last one, whatever dashes lie between; where that is
+# missing, the base64 block, which may be indented, quoted, escaped or on one line, and a word or two after it, as
+# a block's last line may be short. Repeats are possessive: no bound on the lines, and no stack that grows with them.
 _KEY_BEGIN = r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
-_KEY_TO_END = r"[^-]*(?:-{1,4}[^-]+){0,64}-{5,}END (?:[A-Z]+ )*PRIVATE KEY-----"
+_KEY_TO_END = r"(?:[^-]++|-(?!-{4}))*+-{5,}+END (?:[A-Z]+ )*PRIVATE KEY-----"
 _GAP = r"""[\x20\t\r\n\\"',>|#*+]"""
-_LINES = rf"(?:{'[A-Za-z0-9+/]' * 4}){{4}}" + r"""[A-Za-z0-9+/=\r\n\\"',]*"""  # 16 characters at least
+_LINES = r"[A-Za-z0-9+/]{16}" + r"""[A-Za-z0-9+/=\r\n\\"',]*"""  # 16 characters at least
 _KEY_BLOCK = (
     rf"""{_GAP}*(?:[A-Za-z][A-Za-z-]*:\x20?[^\x20\t\r\n\\"']+{_GAP}+){{0,8}}"""
-    rf"{_LINES}(?:{_GAP}+{_LINES}){{0,249}}(?:{_GAP}+[A-Za-z0-9+/]+={{0,2}})?"
+    rf"{_LINES}(?:{_GAP}+{_LINES})*+(?:{_GAP}+[A-Za-z0-9+/]+={{0,2}})?"
 )
 # Public formats of common credentials.
 FORMATS = [

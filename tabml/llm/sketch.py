@@ -1,6 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame expressions only.
 
-A text is the set of its paragraphs' digests: lines, cut every ``_WORDS`` words. Its sketch
+A text is the set of its paragraphs' digests: its lines, cut after each word whose hash says so, ``_WORDS``
+words long on average. So the cuts of two texts agree again after a difference, wherever it is. Its sketch
 has ``cells`` cells in three equal tables; each digest goes to one cell of each table, and
 a cell holds how many it got, the XOR of them, and the XOR of their check hashes. The
 fingerprint is the number of paragraphs and the cells as text.
@@ -18,7 +19,8 @@ twice. Pairs never meet other pairs: nothing grows with groups of copies.
 
 Results for odd input: NULL and empty texts have no paragraphs; two texts without
 any have likeness 1, one with and one without likeness 0; white space at the end of a
-paragraph and blank lines don't count.
+paragraph and blank lines don't count; texts of any length are sketched whole; repeated rows are rows of their
+own; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,11 +29,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabml.llm.frames import partitions
 from tabml.session import staged
 
-_WORDS = 32
+_WORDS = 10
 CELLS = 12  # of the fingerprint
 _TABLES = 3
 _CHECK = 77
@@ -40,9 +43,15 @@ _PEELS = 9  # peels in one job: three of each table
 
 
 def paragraphs(text: Column) -> Column:
-    """Digests of the distinct paragraphs."""
-    found = F.regexp_extract_all(text, F.lit(rf"(?:\S++[^\S\n]*+){{1,{_WORDS}}}+"), F.lit(0))
-    return F.array_distinct(F.transform(found, lambda p: F.xxhash64(F.rtrim(p))))
+    """Digests of the distinct paragraphs; a paragraph is a stretch of words, whatever stands between them."""
+    words = F.regexp_extract_all(text, F.lit(r"\S++|\n"), F.lit(0))
+
+    def marked(word: Column) -> Column:
+        last = F.pmod(F.xxhash64(word), F.lit(_WORDS)) == 0
+        return F.when(word == "\n", F.lit("\n")).when(last, F.concat(word, F.lit("\n"))).otherwise(F.concat(word, F.lit(" ")))
+
+    found = F.split(F.array_join(F.transform(words, marked), ""), r"\n++")
+    return F.array_distinct(F.transform(F.filter(F.transform(found, F.rtrim), lambda p: p != ""), lambda p: F.xxhash64(p)))
 
 
 def _place(digest: Column, table: int, cells: Column) -> Column:
@@ -57,20 +66,22 @@ def _check(digest: Column) -> Column:
 
 def sketch(digests: Column, cells: int = CELLS) -> Column:
     """array<struct<n, x, h>>: count, XOR of digests and XOR of their checks, by cell."""
-    size, width = F.lit(cells), cells // _TABLES
+    width = cells // _TABLES
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("h"))
 
-    def cell(number: int) -> Column:
-        own = F.filter(digests, lambda d: _place(d, number // width, size) == number)
-
-        def add(s: Column, d: Column) -> Column:
-            return F.struct(
-                (s["n"] + 1).alias("n"), s["x"].bitwiseXOR(d).alias("x"), s["h"].bitwiseXOR(_check(d)).alias("h")
-            )
+    def placed(d: Column) -> Column:
+        places = [_place(d, t, F.lit(cells)).alias(f"p{t}") for t in range(_TABLES)]
+        return F.struct(d.alias("x"), _check(d).alias("h"), *places)
 
-        return F.aggregate(own, zero, add)
+    def cell(every: Column, number: int) -> Column:
+        own = F.filter(every, lambda d: d[f"p{number // width}"] == number)
+        return F.aggregate(
+            own, zero, lambda s, d: F.struct((s["n"] + 1).alias("n"), s["x"].bitwiseXOR(d["x"]).alias("x"), s["h"].bitwiseXOR(d["h"]).alias("h"))
+        )
 
-    return F.array(*[cell(i) for i in range(cells)])
+    # Every digest is placed once, in a list of one element that all cells look at.
+    once = F.array(F.transform(digests, placed))
+    return F.get(F.transform(once, lambda every: F.array(*[cell(every, i) for i in range(cells)])), F.lit(0))
 
 
 def fingerprint(digests: Column) -> Column:
@@ -210,24 +221,38 @@ def likeness(one: Column, other: Column, different: Column) -> Column:
 # ---------------------------------------------------------------- following documents
 
 
+def _coarse(rows: DataFrame, key: str) -> Column:
+    """A number that never falls as the key rises: the key itself as a double, or, of text, the six bytes
+    after what all keys begin with."""
+    kind = rows.schema[key].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(key).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.col(key).cast("timestamp").cast("double")
+    code = F.hex(F.col(key).cast("string").cast("binary"))
+    low, high = rows.agg(F.min(code), F.max(code)).first()
+    same = 0
+    while low and same < min(len(low), len(high)) and low[same] == high[same]:
+        same += 1
+    after = F.rpad(F.substring(code, same // 2 * 2 + 1, 12), 12, "0")
+    return F.when(F.col(key).isNotNull(), F.conv(after, 16, 10).cast("double"))
+
+
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, text, next_text): each row with the text of the row after it by descending key.
 
-    The last is followed by the first. NULL keys come last, rows with equal keys in order of a
-    hash of their text. Rows are cut into buckets of neighbouring keys at approximate
-    quantiles; the first row of each bucket is also copied to the bucket before it,
-    so every row meets its follower in one shuffle of the texts. Keys have to tell rows
-    apart for buckets to be even.
+    Keys may be numbers of any size, texts (by their bytes) or times. The last row is followed by the first. NULL
+    keys come last, rows with equal keys in order of a hash of their text; other columns are ignored. Rows are
+    cut into buckets of neighbouring keys at approximate quantiles of a number that follows the key; the order
+    within is that of the key itself. The first row of each bucket is also copied to the bucket before it, so
+    every row meets its follower in one shuffle of the texts. Keys have to tell rows apart for buckets to
+    be even.
     """
     spark = docs.sparkSession
     buckets = 4 * partitions(spark)
-    number = F.coalesce(F.col(key).cast("double"), F.lit(float("-inf")))
-    rows = docs.select(
-        F.col(key).alias("key"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-        number.alias("place"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"),
-    )
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.withColumn("place", F.coalesce(_coarse(rows, "key"), F.lit(float("-inf"))))
+    rows = rows.withColumn("tie", F.xxhash64("text"))
     shares = F.lit([i / buckets for i in range(1, buckets)])
     finite = rows.filter("place > double('-infinity')")
     cuts = finite.agg(F.percentile_approx("place", shares, 20 * buckets)).first()[0] or []
@@ -241,19 +266,19 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     rows = rows.withColumn("bucket", (above + within).cast("int"))
 
     # One row per bucket: its first by descending key. The order is the same as in the window below.
-    heads = staged(
-        rows.groupBy("bucket").agg(F.min(F.struct((-F.col("place")).alias("down"), F.col("tie"))).alias("h")), "bucket-heads"
-    )
+    highest = F.max(F.struct("key", F.bitwise_not("tie").alias("down")))
+    heads = staged(rows.groupBy("bucket").agg(highest.alias("h")), "bucket-heads")
     order = Window.orderBy("bucket")  # at most ``buckets`` rows
     before = F.coalesce(F.lag("bucket").over(order), F.max("bucket").over(Window.partitionBy()))
-    heads = heads.select((-F.col("h.down")).alias("place"), F.col("h.tie").alias("tie"), before.alias("bucket"))
-    texts = rows.select("place", "tie", "text").join(F.broadcast(heads), ["place", "tie"])
-    copies = texts.dropDuplicates(["place", "tie"]).select(
-        F.lit(None).cast(rows.schema["key"].dataType).alias("key"), "text", "place", "tie", "bucket", F.lit(1).alias("copy")
+    heads = heads.select(F.col("h.key").alias("head"), F.bitwise_not("h.down").alias("head_tie"), before.alias("to"))
+    texts = rows.select("key", "tie", "text").join(
+        F.broadcast(heads), F.col("key").eqNullSafe(F.col("head")) & (F.col("tie") == F.col("head_tie"))
     )
+    copies = texts.select("key", "text", "tie", F.col("to").alias("bucket")).dropDuplicates(["key", "tie"])
     # A copy comes after all rows of the bucket before its own.
-    both = rows.withColumn("copy", F.lit(0)).select("key", "text", "place", "tie", "bucket", "copy").unionByName(copies)
-    follow = Window.partitionBy("bucket").orderBy("copy", F.desc("place"), "tie")
+    both = rows.select("key", "text", "tie", "bucket", F.lit(0).alias("copy"))
+    both = both.unionByName(copies.withColumn("copy", F.lit(1)))
+    follow = Window.partitionBy("bucket").orderBy("copy", F.col("key").desc_nulls_last(), "tie")
     return both.withColumn("next_text", F.lead("text").over(follow)).filter("copy = 0").select("key", "text", "next_text")
 
 

@@ -280,7 +280,9 @@ def merged_index(runs: DataFrame) -> DataFrame:
         if out:
             yield _batch(out)
 
-    dealt = runs.repartitionByRange(ranges, F.col("url_key"), F.col("captured"), F.col("page_id"))
+    # Down to the place in the run, so that captures which agree in all else are several ranges as well.
+    keys = [F.col(c) for c in ("url_key", "captured", "page_id", "payload_digest", "place", "run")]
+    dealt = runs.repartitionByRange(ranges, *keys)
     return dealt.sortWithinPartitions("run", "place").mapInArrow(merge, _DDL)
 
 

@@ -119,6 +119,7 @@ def test_curriculum_moves_sources_over_time(spark):
 
 
 def test_order_is_by_digest(spark):
-    docs = spark.createDataFrame([(i, "w", "a") for i in range(50)] + [(100, "w " * 500, "b")], "doc_id long, text string, source string")
+    text = {**{i: "w" for i in range(50)}, 100: "w " * 500}
+    docs = spark.createDataFrame([(k, t, "a" if k < 100 else "b") for k, t in text.items()], "doc_id long, text string, source string")
     rows = sorted((r for r in mixing.mix(docs).collect() if r["source"] == "a"), key=lambda r: r["positions"][0])
-    assert [r["doc_id"] for r in rows] == sorted((r["doc_id"] for r in rows), key=lambda k: hashlib.md5(f"mix:{k}".encode()).hexdigest())
+    assert [r["doc_id"] for r in rows] == sorted((r["doc_id"] for r in rows), key=lambda k: hashlib.md5(f"mix:{k}:{hashlib.md5(text[k].encode()).hexdigest()}".encode()).hexdigest())

@@ -34,7 +34,7 @@ def test_stages_against_brute_force(spark):
             verdict = {r["doc_id"]: r["kept"] for r in quality.judge(got, quality.fit(got, labels)).collect()}
             assert {r["doc_id"] for r in after} == {k for k, kept in verdict.items() if kept}
         elif name == "near_duplicates":
-            groups = components([(r["doc_id"], r["text"]) for r in before])
+            groups = components([(r["doc_id"], r["text"]) for r in before], percent=80, width=5)
             assert sorted(r["doc_id"] for r in after) == sorted({root for root in groups.values()})
         elif name == "secret_scans":
             assert sorted(r["doc_id"] for r in after) == sorted(r["doc_id"] for r in before)

@@ -3,15 +3,28 @@ import random
 import re
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tabml.llm import queries, sketch
 
-PARAGRAPH = re.compile(r"(?:[^ \t\n\x0b\f\r]+[ \t\x0b\f\r]*){1,32}")
+WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
 
 
 def paragraph_set(text):
-    return {p.rstrip(" ") for p in PARAGRAPH.findall(text or "")}
+    """Stretches of a line's words, each up to a word whose hash is a multiple of 10."""
+    out = set()
+    for line in (text or "").split("\n"):
+        part = []
+        for word in WORD.findall(line):
+            part.append(word)
+            h = xxhash.xxh64_intdigest(word.encode(), 42)
+            if (h - (1 << 64 if h >> 63 else 0)) % 10 == 0:
+                out.add(" ".join(part))
+                part = []
+        if part:
+            out.add(" ".join(part))
+    return out
 
 
 def likeness(a, b):
@@ -104,3 +117,31 @@ def test_likeness_bounds(spark):
     df = spark.createDataFrame([(0, 0, 0), (3, 0, 3), (4, 4, 0), (3, 3, 2)], "a int, b int, d int")
     got = [r[0] for r in df.select(sketch.likeness(F.col("a"), F.col("b"), F.col("d"))).collect()]
     assert got == [1.0, 0.0, 1.0, 0.5]
+
+
+@pytest.mark.parametrize("kind", ["large", "text", "shared"])
+def test_order_is_that_of_the_key(spark, kind):
+    """Numbers that doubles can't tell apart, and text keys."""
+    rng = random.Random(8)
+    keys = [2**53 + i for i in range(60)] + [2**62 + i for i in range(40)]
+    if kind != "large":
+        keys = [f"{'prefix/' if kind == 'shared' else ''}{''.join(rng.choice('abzé-') for _ in range(rng.randint(0, 9)))}{i % 40}" for i in range(100)]
+    rows = [(k, f"text of {k}\nand more {i}") for i, k in enumerate(sorted(set(keys)))]
+    order = sorted(rows, key=lambda r: r[0].encode() if kind != "large" else r[0], reverse=True)
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, f"doc_id {'long' if kind == 'large' else 'string'}, text string").repartition(5)
+    check(sketch.versions(docs).collect(), order)
+
+
+def test_short_lines_and_moved_words_keep_a_likeness(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = [(i, " ".join(word() for _ in range(40))) for i in range(60)]
+    near = [r["near_edited"] for r in sketch.versions(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sum(near) / len(near) > 0.3
+    body = " ".join(word() for _ in range(400))
+    both = spark.createDataFrame([(0, body, "first " + body)], "pair long, a string, b string")
+    one = both.select("pair", sketch.paragraphs(F.col("a")).alias("one"), sketch.paragraphs(F.col("b")).alias("other"))
+    sizes = one.select(F.size("one"), F.size("other")).first()
+    different = sketch.differences(one, {"x": ("one", "other")}).first()["x"]
+    assert different <= 2 and min(sizes) > 25

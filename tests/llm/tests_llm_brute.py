@@ -3,8 +3,8 @@
 from test_jaccard import shingles
 
 
-def components(rows, percent=85):
-    sets = {k: shingles(t) for k, t in rows}
+def components(rows, percent=85, width=4):
+    sets = {k: shingles(t, width) for k, t in rows}
     parent = {k: k for k in sets}
 
     def root(k):
