@@ -5,8 +5,8 @@ and returns a DataFrame that is written as Parquet and read again for the next o
 the last return the columns of ``documents``:
 
 * quality rules drop the documents they reject;
-* the n-gram Jaccard join leaves one document of each group of near duplicates: four words and
-  85 %, as in op5, which is stricter than the usual five words and 80 %;
+* the n-gram Jaccard join leaves one document of each group of near duplicates, by five words and
+  80 %;
 * secret scans replace what they find by the kind in brackets (``n_chars`` follows);
 * mixing leaves each document once for every pass that takes it, in training order;
 * packing returns the pieces of the training sequences with their token ids.
@@ -29,12 +29,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, width=5, percent=80)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = secrets.redact(docs)
-    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    if "n_chars" not in docs.columns:
+        return clean
+    # A document without a text keeps the number it came with.
+    length = F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), "n_chars")
+    return clean.withColumn("n_chars", length)
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
