@@ -1,7 +1,8 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame expressions only.
 
 A text is the set of its paragraphs' digests: its lines, cut after each word whose hash says so, ``_WORDS``
-words long on average. So the cuts of two texts agree again after a difference, wherever it is. Its sketch
+words long on average (``_FEW`` in texts of up to ``_SHORT`` words). So the cuts of two texts agree again after a
+difference, wherever it is. Its sketch
 has ``cells`` cells in three equal tables; each digest goes to one cell of each table, and
 a cell holds how many it got, the XOR of them, and the XOR of their check hashes. The
 fingerprint is the number of paragraphs and the cells as text.
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 from tabml.llm.frames import partitions
 from tabml.session import staged
 
-_WORDS = 10
+_WORDS, _FEW, _SHORT = 32, 10, 96
 CELLS = 12  # of the fingerprint
 _TABLES = 3
 _CHECK = 77
@@ -45,9 +46,10 @@ _PEELS = 9  # peels in one job: three of each table
 def paragraphs(text: Column) -> Column:
     """Digests of the distinct paragraphs; a paragraph is a stretch of words, whatever stands between them."""
     words = F.regexp_extract_all(text, F.lit(r"\S++|\n"), F.lit(0))
+    mean = F.when(F.size(words) <= _SHORT, _FEW).otherwise(_WORDS)
 
     def marked(word: Column) -> Column:
-        last = F.pmod(F.xxhash64(word), F.lit(_WORDS)) == 0
+        last = F.pmod(F.xxhash64(word), mean) == 0
         return F.when(word == "\n", F.lit("\n")).when(last, F.concat(word, F.lit("\n"))).otherwise(F.concat(word, F.lit(" ")))
 
     found = F.split(F.array_join(F.transform(words, marked), ""), r"\n++")
