@@ -1,8 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame expressions only.
 
-A text is the set of its paragraphs' digests: its lines, cut after each word whose hash says so, ``_WORDS``
-words long on average (``_FEW`` in texts of up to ``_SHORT`` words). So the cuts of two texts agree again after a
-difference, wherever it is. Its sketch
+A text is the set of its paragraphs' digests: lines, cut every ``_WORDS`` words, and in texts of up to ``_SHORT``
+characters after every word that ends in one of ``_LAST`` as well, so that short texts have several. Its sketch
 has ``cells`` cells in three equal tables; each digest goes to one cell of each table, and
 a cell holds how many it got, the XOR of them, and the XOR of their check hashes. The
 fingerprint is the number of paragraphs and the cells as text.
@@ -35,7 +34,8 @@ from pyspark.sql import types as T
 from tabml.llm.frames import partitions
 from tabml.session import staged
 
-_WORDS, _FEW, _SHORT = 32, 10, 96
+_WORDS, _SHORT = 32, 600
+_LAST = "[.,;:!?dgi07]"  # in a short text a word that ends so ends its paragraph
 CELLS = 12  # of the fingerprint
 _TABLES = 3
 _CHECK = 77
@@ -44,16 +44,14 @@ _PEELS = 9  # peels in one job: three of each table
 
 
 def paragraphs(text: Column) -> Column:
-    """Digests of the distinct paragraphs; a paragraph is a stretch of words, whatever stands between them."""
-    words = F.regexp_extract_all(text, F.lit(r"\S++|\n"), F.lit(0))
-    mean = F.when(F.size(words) <= _SHORT, _FEW).otherwise(_WORDS)
-
-    def marked(word: Column) -> Column:
-        last = F.pmod(F.xxhash64(word), mean) == 0
-        return F.when(word == "\n", F.lit("\n")).when(last, F.concat(word, F.lit("\n"))).otherwise(F.concat(word, F.lit(" ")))
-
-    found = F.split(F.array_join(F.transform(words, marked), ""), r"\n++")
-    return F.array_distinct(F.transform(F.filter(F.transform(found, F.rtrim), lambda p: p != ""), lambda p: F.xxhash64(p)))
+    """Digests of the distinct paragraphs; texts of up to ``_SHORT`` characters are cut more finely."""
+    fine = rf"(?:\S++(?<!{_LAST})[^\S\n]++){{0,{_WORDS - 1}}}+(?:\S++[^\S\n]*+)?"
+    coarse = rf"(?:\S++[^\S\n]*+){{1,{_WORDS}}}+"
+    found = F.when(F.char_length(text) <= _SHORT, F.regexp_extract_all(text, F.lit(fine), F.lit(0))).otherwise(
+        F.regexp_extract_all(text, F.lit(coarse), F.lit(0))
+    )
+    found = F.filter(F.transform(found, F.rtrim), lambda p: p != "")
+    return F.array_distinct(F.transform(found, lambda p: F.xxhash64(p)))
 
 
 def _place(digest: Column, table: int, cells: Column) -> Column:
