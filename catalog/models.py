@@ -13,7 +13,7 @@ from catalog.views import cast_all, header, scored, table, with_views
 from tabml.functions.ordered import numbered
 from tabml.operators import boosting, metrics, models, registry, score, split, tune
 from tabml.operators.features import FeaturePlan
-from tabml.operators.labels import is_positive
+from tabml.operators.labels import class_label, index_label, is_positive, label_map
 from tabml.plans import rules
 from tabml.session import new_path, staged
 from tabml.sources import readers, writers
@@ -327,6 +327,17 @@ def _new_version(spark, sf):
     return registry.version_row(chosen, registry.closest_run(_runs(spark, sf), chosen), "alpha", number)
 
 
+def _stored_labels(spark, sf):
+    """The label map of finished orders, stored with a run, read back and applied to all orders."""
+    orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority")
+    reg = registry.Registry(spark, new_path(spark, "registry"))
+    done = orders.filter("o_orderstatus = 'F' and o_orderpriority <> '3-MEDIUM'")
+    reg.log_labels("first", label_map(done, "o_orderpriority"), "string")
+    classes = reg.labels("first")
+    counts = index_label(orders, "o_orderpriority", classes).groupBy("class_id").agg(F.count(F.lit(1)).alias("n"))
+    return class_label(counts, classes, "string", "class_id")
+
+
 def _q(build):
     return lambda spark, sf: cast_all(build(spark, sf))
 
@@ -365,6 +376,7 @@ QUERIES = {
     "i09_named_timestamps": _timestamps,
     "h02_best_of_made_trials": _made_trials,
     "s05_new_version": _q(_new_version),
+    "s06_stored_labels": _q(_stored_labels),
 }
 
 # ---------------------------------------------------------------- comparison SQL
@@ -470,6 +482,12 @@ from (select c.*, {RATES} from c), r""",
     )
 
 SQL = {
+    "s06_stored_labels": """
+with m as (
+  select label, row_number() over (order by label) - 1 as class_id from (
+    select distinct o_orderpriority as label from orders
+    where o_orderstatus = 'F' and o_orderpriority <> '3-MEDIUM'))
+select class_id, label, count(*) as n from orders left join m on o_orderpriority = label group by all""",
     "d01_dense_ids": """
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, row_number() over (order by o_custkey, o_orderkey) - 1 as row_id,
   row_number() over (partition by o_orderstatus order by o_totalprice, o_orderkey) - 1 as in_status

@@ -1,6 +1,6 @@
 """Model choice and bookkeeping: selection, run log, model versions, serving threshold.
 
-Runs and versions are two append-only tables; everything else is a query on them.
+Runs, versions and label maps are append-only tables; everything else is a query on them.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tabml.functions.scalars import finite
 from tabml.operators.metrics import metric_name
+from tabml.session import bounded_rows
 
 METRICS = ("auprc", "auroc", "precision", "recall", "f1")
 RUN_SCHEMA = (
@@ -26,6 +27,8 @@ VERSION_SCHEMA = (
     + ", ".join(f"test_{m} double" for m in METRICS)
 )
 
+LABEL_SCHEMA = "run_id string, class_id int, label string, kind string"
+
 
 def select_model(leaderboard: DataFrame, primary: str = "auprc", min_recall: float = 0.6) -> DataFrame:
     """One row: the best model among those with enough recall, or among all if none has.
@@ -131,7 +134,7 @@ def version_row(selected: DataFrame, run: DataFrame, model: str, version: int) -
 
 @dataclass(frozen=True)
 class Registry:
-    """The two tables at a path in shared storage. One writer at a time."""
+    """The three tables at a path in shared storage. One writer at a time."""
 
     spark: SparkSession
     path: str
@@ -179,8 +182,27 @@ class Registry:
         )
         return version
 
+    def log_labels(self, run_id: str, classes: list, kind: str) -> None:
+        """Store the label map of a run: the place of a class is its id, ``kind`` the type of the label.
+
+        A run has one map; a second one is an error.
+        """
+        if self.labels(run_id):
+            raise ValueError(f"run {run_id!r} has a label map")
+        rows = [(run_id, i, str(v), kind) for i, v in enumerate(classes)]
+        self.spark.createDataFrame(rows, LABEL_SCHEMA).write.mode("append").parquet(f"{self.path}/label_maps")
+
+    def labels(self, run_id: str) -> list:
+        """The classes of a run by id, in the type they had; empty where none were stored."""
+        rows = self._read("label_maps", LABEL_SCHEMA).filter(F.col("run_id") == run_id)
+        kind = rows.agg(F.max("kind")).first()[0]
+        if kind is None:
+            return []
+        found = rows.select("class_id", F.col("label").cast(kind).alias("label"))
+        return [r["label"] for r in sorted(bounded_rows(found, 100_000, "classes of the run"), key=lambda r: r["class_id"])]
+
     def serving(self, model: str, default: float = 0.5) -> dict:
-        """Version, model path and threshold to score with."""
+        """Version, model path, threshold and label map to score with."""
         found = (
             serving_threshold(self.versions(), self.runs(), default)
             .filter(F.col("model") == model)
@@ -189,4 +211,4 @@ class Registry:
         )
         if found is None:
             raise LookupError(f"no version of {model!r}")
-        return found.asDict()
+        return found.asDict() | {"labels": self.labels(found["run_id"])}

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from tabml.operators import models, registry, score, tune
+from tabml.operators import labels, models, registry, score, tune
 from tabml.operators.features import FeaturePlan
 from tabml.plans import rules
 from tabml.session import new_path
@@ -268,3 +268,17 @@ def test_queries_search_the_whole_budget(spark, sf, data, monkeypatch):
     whole = {(r["model"], r["param"], r["low"], r["high"]) for r in tune.space_table(spark, tune.DEFAULT_SPACE).collect()}
     assert names == ["xgb", "lgbm", "logreg"] and space == whole and trials == 100
     assert not {"minutes", "patience"} & set(options)
+
+
+@pytest.mark.parametrize("classes, kind", [(["a", "b", "é"], "string"), ([1, 2, 10], "bigint"), ([False, True], "boolean"), ([0.5, 2.0], "double")])
+def test_label_map_is_stored(spark, classes, kind):
+    reg = registry.Registry(spark, new_path(spark, "registry"))
+    assert reg.labels("r") == []
+    reg.log_labels("r", classes, kind)
+    reg.log_labels("other", classes[:1], kind)
+    assert reg.labels("r") == classes and reg.labels("other") == classes[:1]
+    with pytest.raises(ValueError):
+        reg.log_labels("r", classes, kind)
+    scored = spark.createDataFrame([(0, 1), (1, 0), (2, 99), (3, None)], "id int, prediction int")
+    named = {r["id"]: r["label"] for r in labels.class_label(scored, reg.labels("r"), kind).collect()}
+    assert named == {0: classes[1], 1: classes[0], 2: None, 3: None}
