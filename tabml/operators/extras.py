@@ -3,6 +3,7 @@ correlated-column removal, cyclic months, text weights."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np

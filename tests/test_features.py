@@ -213,3 +213,10 @@ def test_correlated_wide(spark):
     cols = [F.rand(i).alias(f"c{i}") for i in range(41)]
     df = spark.range(500).select(*cols).withColumn("twin", F.col("c3") * 2)
     assert extras.correlated_columns(df, df.columns) == ["twin"]
+
+
+def test_month_cycle_turns_once_a_year(spark):
+    df = spark.sql("select * from values (1, date '2020-03-05'), (2, date '2020-12-31'), (3, null) as t(k, at)")
+    got = {r["k"]: (r["at_month_sin"], r["at_month_cos"]) for r in extras.month_cycle(df, "at").collect()}
+    assert got[1] == pytest.approx((1.0, 0.0), abs=1e-12) and got[2] == pytest.approx((0.0, 1.0), abs=1e-12)
+    assert got[3] == (None, None)
