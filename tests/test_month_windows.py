@@ -102,3 +102,26 @@ def test_no_join_between_months_and_events(spark):
     plan = totals._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
     assert plan.count("Aggregate") == 2
+
+
+@pytest.mark.parametrize("heavy", [[], [0], [0, None, 3]])
+def test_light_keys_are_shuffled_once(spark, heavy):
+    """The same figures whichever keys count as heavy; without heavy ones a single shuffle, by the key."""
+    rows = make_events(0.4, 5) + [(None, "a", dt.date(2024, 5, 5), 3)]
+    events = spark.createDataFrame(rows, "k int, ident string, day date, v int")
+    measures = [mw.Measure("s", SPANS["year"], "sum", F.col("v")), mw.Measure("m", SPANS["ahead"], "max", F.col("v"))]
+    tagged = events.withColumn("kind", F.lit("short"))
+    for build in (
+        lambda h: mw.window_totals(events, "k", "day", measures, h),
+        lambda h: mw.distinct_steps(tagged, "k", "kind", "ident", "day", {"short": SPANS["short"]}, ("short",), heavy=h),
+    ):
+        got = build(heavy)
+        assert sorted(map(str, got.collect())) == sorted(map(str, build(None).collect()))
+        if not heavy:
+            assert build(heavy)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_heavy_keys_are_counted_over_all_tables(spark):
+    events = spark.createDataFrame([(0,), (0,), (1,), (None,), (None,)], "k int")
+    assert set(mw.heavy_keys([events, events.filter("k = 1")], "k", 1)) == {0, 1, None}
+    assert mw.heavy_keys([events], "k", 2) == []
