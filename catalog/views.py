@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabml.operators.cohort import ClaimTables, CohortOptions
+from tabml.session import small_tasks
 
 OPTIONS = CohortOptions(
     drug_pattern="%RING%", coverage_index=datetime.date(1998, 6, 30)
@@ -20,6 +21,7 @@ _SCHEMAS: dict = {}
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A given table. Its schema is read from the file once; naming it afterwards saves
     the job that would read it again."""
+    small_tasks(spark)
     path = f"{sf}/{name}.parquet"
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema
