@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import threading
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tabml.operators import labels, models, registry, score, tune
 from tabml.operators.features import FeaturePlan
 from tabml.plans import rules
-from tabml.session import new_path
+from tabml.session import ADVISORY, new_path, small_tasks
 
 
 @pytest.fixture(scope="module")
@@ -282,3 +283,25 @@ def test_label_map_is_stored(spark, classes, kind):
     scored = spark.createDataFrame([(0, 1), (1, 0), (2, 99), (3, None)], "id int, prediction int")
     named = {r["id"]: r["label"] for r in labels.class_label(scored, reg.labels("r"), kind).collect()}
     assert named == {0: classes[1], 1: classes[0], 2: None, 3: None}
+
+
+def test_folds_advance_side_by_side(spark, monkeypatch):
+    together = threading.Barrier(3)
+
+    def found(train, val, plan, chosen, **_):
+        together.wait(60)  # ends only when every fold is here
+        return train.sparkSession.createDataFrame([("logreg", None, 0.5)], "name string, fit_error string, auprc double")
+
+    monkeypatch.setattr(models, "search", found)
+    rows = spark.range(30).selectExpr("id", "cast(id % 2 as int) as y", "cast(id as double) as x")
+    board = models.cross_validate(rows, FeaturePlan("y", ["x"]), models.candidates(), ("id",), folds=3)
+    assert sorted(r["fold"] for r in board.collect()) == [0, 1, 2]
+
+
+def test_tasks_are_small_unless_the_session_says(spark):
+    own = spark.newSession()
+    small_tasks(own)
+    assert own.conf.get(ADVISORY) == "8m"
+    own.conf.set(ADVISORY, "32m")
+    small_tasks(own)
+    assert own.conf.get(ADVISORY) == "32m"
