@@ -6,7 +6,8 @@ points are dealt into cells by a k-d tree over a bounded sample (the cuts balanc
 each looks at its own cell; the distance of the k-th candidate then tells which other cells, by
 their exact boxes, may hold a nearer point, and it looks there as well. Many columns make the boxes overlap,
 and more cells are looked at. A cell with many visitors is copied, so that a task holds
-``VISITS`` of them and one cell.
+``VISITS`` of them and one cell. Visitors are taken ``ALIKE`` at a time, by a k-d tree again: points that are farther
+from their box than the k-th can be are not compared with each of them.
 
 Distances are Euclidean, each column divided by its scale, and rounded to ten digits of their square; ties go
 to the smaller place. Rows whose point has a NULL or NaN are no neighbours and have none.
@@ -17,8 +18,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ CELL_ROWS = 1_000
 MOST_CELLS = 16_384
 SAMPLE_PER_CELL = 32
 VISITS = 20_000
+ALIKE = 64  # visitors that lie together and look at the same points of a cell
 _NEAR = "array<struct<d2:double,place:string,at:array<double>,load:string>>"
 DIGITS = 10
 
@@ -89,31 +91,60 @@ def _points(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _answers(asks: pd.DataFrame, held: pd.DataFrame, k: int, scale: np.ndarray) -> pd.DataFrame:
-    """The ``k`` + 1 nearest candidates of one cell for every visitor."""
+def _answers(asks: pa.Table, hosts: pa.Table, k: int, scale: np.ndarray) -> pa.Table:
+    """The ``k`` + 1 nearest candidates of one cell for every visitor, within its reach."""
+    kind = pa.struct([("d2", pa.float64()), ("place", pa.string()), ("at", pa.list_(pa.float64())), ("load", pa.string())])
+    schema = pa.schema([("pid", pa.int64()), ("near", pa.list_(kind))])
+    if not len(asks) or not len(hosts):
+        return schema.empty_table()
+    pids, places = asks.column("pid").combine_chunks(), hosts.column("at").combine_chunks()
+    queries, points = _points(asks.column("at").combine_chunks(), len(scale)), _points(places, len(scale))
+    held = hosts.column("held").combine_chunks()
+    sizes, rows = pc.list_value_length(held).to_numpy(zero_copy_only=False).astype(np.int64), held.flatten()
+    names, loads = rows.field("place").cast(pa.string()), rows.field("load").cast(pa.string())
+    rank = np.empty(len(names), np.int64)
+    rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+    starts = np.cumsum(sizes) - sizes
+    most = min(k, len(points) - 1)
     out = []
-    if len(asks) and len(held):
-        queries, points = np.stack(asks["at"].to_list()), np.stack(held["at"].to_list())
-        sizes = held["held"].map(len).to_numpy()
-        for first in range(0, len(queries), 256):
-            block = queries[first : first + 256]
-            d2 = np.zeros((len(block), len(points)))
-            for c in range(points.shape[1]):
-                d2 += ((block[:, c, None] - points[None, :, c]) / scale[c]) ** 2
-            d2 = np.round(d2, DIGITS)
-            most = min(k, len(points) - 1)
-            edge = np.partition(d2, most, axis=1)[:, most]
-            for row in range(len(block)):
-                near = np.flatnonzero(d2[row] <= edge[row])
-                near = near[np.argsort(d2[row, near], kind="stable")]
-                # Points beyond those that hold k + 1 rows already are of no use.
-                enough = np.searchsorted(np.cumsum(sizes[near]), k + 1)
-                near = near[d2[row, near] <= d2[row, near[min(enough, len(near) - 1)]]]
-                found = [(d2[row, p], h["place"], points[p].tolist(), h["load"]) for p in near for h in held["held"].iat[p]]
-                found.sort(key=lambda f: f[:2])
-                names = ("d2", "place", "at", "load")
-                out.append((asks["pid"].iat[first + row], [dict(zip(names, f)) for f in found[: k + 1]]))
-    return pd.DataFrame(out, columns=["pid", "near"])
+    reaches = asks.column("reach").to_numpy()
+    scaled = points / scale
+    together = Cells(queries / scale, -(-len(queries) // ALIKE)).of(queries / scale)
+    turn = np.argsort(together, kind="stable")
+    cuts = np.flatnonzero(np.diff(together[turn])) + 1
+    groups = [g[i : i + 256] for g in np.split(turn, cuts) for i in range(0, len(g), 256)]
+    for mine in groups:
+        block, reach = queries[mine], reaches[mine] * (1 + 1e-9) + 1e-9
+        low, high = (block / scale).min(axis=0), (block / scale).max(axis=0)
+        nearest_way = np.maximum(np.maximum(low - scaled, scaled - high), 0)
+        farthest_way = np.maximum(np.abs(scaled - low), np.abs(high - scaled))
+        bound = np.partition((farthest_way * farthest_way).sum(1), most)[most] * (1 + 1e-9) + 1e-9
+        chosen = np.flatnonzero((nearest_way * nearest_way).sum(1) <= min(bound, reach.max()))
+        if not len(chosen):
+            continue
+        some = points[chosen]
+        d2 = np.zeros((len(block), len(some)))
+        for c in range(some.shape[1]):
+            d2 += ((block[:, c, None] - some[None, :, c]) / scale[c]) ** 2
+        d2 = np.round(d2, DIGITS)
+        last = min(most, len(some) - 1)
+        edge = np.minimum(np.partition(d2, last, axis=1)[:, last], reach)
+        query, column = np.nonzero(d2 <= edge[:, None])
+        apart, point = d2[query, column], chosen[column]
+        # One entry per row that such a point holds, the k + 1 first of each query by distance and place.
+        many = sizes[point]
+        query, point, apart = np.repeat(query, many), np.repeat(point, many), np.repeat(apart, many)
+        entry = starts[point] + np.arange(len(point)) - np.repeat(np.cumsum(many) - many, many)
+        order = np.lexsort((rank[entry], apart, query))
+        query, point, entry, apart = query[order], point[order], entry[order], apart[order]
+        few = np.arange(len(query)) - np.searchsorted(query, query) <= k
+        query, point, entry, apart = query[few], point[few], entry[few], apart[few]
+        found = [pa.array(apart), names.take(pa.array(entry)), places.take(pa.array(point)), loads.take(pa.array(entry))]
+        found = pa.StructArray.from_arrays([f.cast(t.type) for f, t in zip(found, kind)], fields=list(kind))
+        ends = np.searchsorted(query, np.arange(len(block) + 1)).astype(np.int32)
+        near = pa.ListArray.from_arrays(pa.array(ends), found).cast(schema.field("near").type)
+        out.append(pa.Table.from_arrays([pids.take(pa.array(mine)), near], schema=schema))
+    return pa.concat_tables(out) if out else schema.empty_table()
 
 
 def nearest(rows: DataFrame, place: Column, columns: list[str], load: Column, k: int, scales: dict[str, float]) -> DataFrame:
@@ -159,14 +190,14 @@ def nearest(rows: DataFrame, place: Column, columns: list[str], load: Column, k:
         many = asks.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / VISITS).alias("copies"))
         many = F.broadcast(staged(many, "visits"))  # one row a cell
         chunk = F.pmod(F.xxhash64("pid"), F.col("copies")).alias("chunk")
-        visitors = asks.join(many, "cell").select(F.col("pid").alias("pid"), F.col("at").alias("at"), F.col("cell").alias("to"), chunk)
+        visitors = asks.join(many, "cell").select(F.col("pid").alias("pid"), F.col("at").alias("at"), F.col("reach").alias("reach"), F.col("cell").alias("to"), chunk)
         copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("part")
         hosts = points.join(many, "cell").select(F.col("at").alias("at"), F.col("held").alias("held"), F.col("cell").alias("here"), copies)
-        return visitors.groupBy("to", "chunk").cogroup(hosts.groupBy("here", "part")).applyInPandas(
+        return visitors.groupBy("to", "chunk").cogroup(hosts.groupBy("here", "part")).applyInArrow(
             lambda a, b: _answers(a, b, k, scale), f"pid long, near {_NEAR}"
         )
 
-    own = staged(answered(points.select("pid", "at", "cell")), "own-cell")
+    own = staged(answered(points.select("pid", "at", "cell", F.lit(float("inf")).alias("reach"))), "own-cell")
     reach = F.when(F.size("near") > k, F.element_at("near", -1)["d2"]).otherwise(F.lit(float("inf"))).alias("reach")
     asking = own.select("pid", reach).join(points.select("pid", "at", "cell"), "pid").select("pid", "at", "cell", "reach")
 
@@ -189,9 +220,9 @@ def nearest(rows: DataFrame, place: Column, columns: list[str], load: Column, k:
                 if len(active):
                     take = pa.array(active)
                     cell = pa.array(np.full(len(active), tree.cell[node]))
-                    yield pa.RecordBatch.from_arrays([batch.column("pid").take(take), batch.column("at").take(take), cell], names=["pid", "at", "cell"])
+                    yield pa.RecordBatch.from_arrays([batch.column(c).take(take) for c in ("pid", "at", "reach")] + [cell], names=["pid", "at", "reach", "cell"])
 
-    asks = staged(asking.mapInArrow(further, "pid long, at array<double>, cell long"), "visits")
+    asks = staged(asking.mapInArrow(further, "pid long, at array<double>, reach double, cell long"), "visits")
     found = own.unionByName(answered(asks)).groupBy("pid").agg(F.flatten(F.collect_list("near")).alias("all"))
     best = found.select("pid", F.slice(F.sort_array("all"), 1, k + 1).alias("all")).join(points.select("pid", "at"), "pid")
     joined = given.join(best.select(F.col("at").alias("_at"), "all"), "_at", "left")

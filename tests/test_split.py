@@ -201,3 +201,15 @@ def test_no_rows(spark):
     assert split.oversample(df, "y", ("id",)).count() == 0
     assert split.synthetic_rows(df, "y", ("id",), ["a"]).count() == 0
     assert split.stratified_folds(df, "y", ("id",)).count() == 0
+
+
+@pytest.mark.parametrize("alike", [1, 3])
+def test_nearest_of_visitors_that_lie_together(spark, monkeypatch, alike):
+    """Small groups of visitors compare with few points, and find the same."""
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 30)
+    monkeypatch.setattr(neighbours, "ALIKE", alike)
+    rng = random.Random(alike)
+    points = [(f"p{i:03d}", [rng.gauss(0, 1), float(rng.randint(0, 3))], rng.choice(["a", None])) for i in range(300)]
+    rows = spark.createDataFrame([(p, *at, load) for p, at, load in points], "place string, c0 double, c1 double, load string")
+    found = neighbours.nearest(rows, F.col("place"), ["c0", "c1"], F.col("load"), 3, {"c0": 0.5, "c1": 2.0}).collect()
+    assert {r["place"]: [(n["place"], n["load"]) for n in r["near"]] for r in found} == _by_hand(points, 3, [0.5, 2.0])
