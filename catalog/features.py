@@ -109,7 +109,7 @@ def _selected(spark, sf):
 def _text_weights(spark, sf):
     """Per language: documents with words, distinct terms, occurrences, and total weight."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    weights = extras.text_weights(docs, "doc_id", "text").join(docs.select("doc_id", "lang"), "doc_id")
+    weights = extras.text_weights(docs, "doc_id", "text", ("lang",))
     per_term = weights.groupBy("lang", "term").agg(
         F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("pairs"), F.sum("weight").alias("weight")
     )

@@ -8,10 +8,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabml.functions.ordered import exact_quantiles
+from tabml.session import staged
+
+SMALL_TERMS = 500_000  # terms that a task may hold
 
 PART_FUNCTIONS = {
     "year": F.year,
@@ -108,17 +111,32 @@ def correlated_columns(df: DataFrame, columns: list[str], limit: float = 0.95) -
     return dropped
 
 
-def text_weights(df: DataFrame, key: str, column: str) -> DataFrame:
-    """(key, term, tf, docs, weight): tf-idf of the lower-cased words of whole texts.
+def text_weights(df: DataFrame, key: str, column: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, *keep, term, tf, docs, weight): tf-idf of the lower-cased words of whole texts.
 
     ``docs`` counts the rows that hold the term; weight = tf * ln((rows + 1) / (docs + 1)).
     Terms are compared as they are, none collide. Rows without words give no rows. Keys
-    have to tell rows apart. A term in most rows joins as one row: its counts are narrow, and
-    adaptive execution splits it.
+    have to tell rows apart; ``keep`` names columns of theirs that come along (rows without a key have none).
+
+    Texts are dealt by key whole, so their terms are counted where they lie and written once; the row counts of
+    terms are broadcast where they are few, else a term in most rows joins as one row that adaptive execution splits.
     """
     words = F.explode(F.split(F.lower(F.col(column)), r"\s+")).alias("term")
-    terms = df.select(key, words).filter("term <> ''").groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    docs = terms.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+    dealt = df.select(key, column).repartition(key)
+    terms = dealt.select(key, words).filter("term <> ''").groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    if keep:
+        # A key that several rows share has its terms once for each of them, but counts as one. One narrow row per row.
+        nth = F.row_number().over(Window.partitionBy(key).orderBy(*keep))
+        told = df.filter(F.col(key).isNotNull()).select(key, *keep, (nth > 1).alias("_again"))
+        terms = terms.join(told.hint("shuffle_hash"), key, "left")
+    terms = staged(terms, "terms")
+    counted = terms.filter("_again is null or not _again") if keep else terms
+    docs = staged(counted.groupBy("term").agg(F.count(F.lit(1)).alias("docs")), "term-rows")
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("term")).alias("bytes")).first()
+    if size["n"] <= SMALL_TERMS and (size["bytes"] or 0) <= 32 * SMALL_TERMS:
+        docs = F.broadcast(docs)
     rows = df.agg(F.count(F.lit(1))).scalar()
+    if keep:
+        terms = terms.filter(F.col(key).isNotNull())
     idf = F.log((rows + 1) / (F.col("docs") + 1))
-    return terms.join(docs, "term").select(key, "term", "tf", "docs", (F.col("tf") * idf).alias("weight"))
+    return terms.join(docs, "term").select(key, *keep, "term", "tf", "docs", (F.col("tf") * idf).alias("weight"))

@@ -220,3 +220,11 @@ def test_month_cycle_turns_once_a_year(spark):
     got = {r["k"]: (r["at_month_sin"], r["at_month_cos"]) for r in extras.month_cycle(df, "at").collect()}
     assert got[1] == pytest.approx((1.0, 0.0), abs=1e-12) and got[2] == pytest.approx((0.0, 1.0), abs=1e-12)
     assert got[3] == (None, None)
+
+
+def test_text_weights_with_kept_columns(spark):
+    """Kept columns come along; a repeated key counts once, and a key that is NULL counts but has no rows."""
+    rows = [(1, "a b a", "x"), (2, "b", "y"), (2, "B c", "z"), (None, "c", "x"), (3, None, "x")]
+    df = spark.createDataFrame(rows, "id int, t string, l string")
+    got = sorted((r["id"], r["l"], r["term"], r["tf"], r["docs"]) for r in extras.text_weights(df, "id", "t", ("l",)).collect())
+    assert got == [(1, "x", "a", 2, 1), (1, "x", "b", 1, 2), (2, "y", "b", 2, 2), (2, "y", "c", 1, 2), (2, "z", "b", 2, 2), (2, "z", "c", 1, 2)]
