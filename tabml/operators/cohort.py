@@ -328,11 +328,13 @@ FILL_IDENTS = {"rx_ndc_unique_180d": "ndc", "rx_prescribers_180d": "prescriber_i
 
 
 def pharmacy_use(tables: ClaimTables, opts: CohortOptions) -> DataFrame:
-    rx = fills(tables.pharmacy)
+    # Written once, narrow: totals and distinct counts need other columns, so each would read and join the claims anew.
+    rx = staged(fills(tables.pharmacy).select(KEY, "fill_day", "rx_paid", *FILL_IDENTS.values()), "fills")
+    heavy = mw.heavy_keys([rx], KEY)
     measures = [m for m in fill_measures(opts) if m.name in ("fills_180d", "rx_paid_180d")]
-    totals = mw.window_totals(rx, KEY, "fill_day", measures)
+    totals = mw.window_totals(rx, KEY, "fill_day", measures, heavy)
     stream = tagged(rx, "fill_day", {k: F.col(c) for k, c in FILL_IDENTS.items()})
-    steps = distinct_parts([(stream, {k: HALF_YEAR for k in FILL_IDENTS})])
+    steps = distinct_parts([(stream, {k: HALF_YEAR for k in FILL_IDENTS})], heavy=heavy)
     out = mw.assemble(month_spine(tables), KEY, totals=[totals], steps=steps)
     return out.filter("fills_180d > 0")
 

@@ -125,3 +125,11 @@ def test_heavy_keys_are_counted_over_all_tables(spark):
     events = spark.createDataFrame([(0,), (0,), (1,), (None,), (None,)], "k int")
     assert set(mw.heavy_keys([events, events.filter("k = 1")], "k", 1)) == {0, 1, None}
     assert mw.heavy_keys([events], "k", 2) == []
+
+
+def test_pharmacy_joins_its_claims_once(spark, sf):
+    """Totals and distinct counts read the written fills, not the view of the claims again."""
+    from catalog import cohort as queries
+
+    plan = queries.QUERIES["c13_pharmacy"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_partkey") == 0
