@@ -17,32 +17,33 @@ from pyspark.sql import types as T
 
 from tabml.session import bounded_rows, staged
 
-_CUTS = 256  # buckets between approximate quantiles, found by two 16-way searches
+_CUTS = 256  # buckets between approximate quantiles, found by a binary search
 _PARTS = 16  # equal-width parts inside each bucket, at least
 _PART_ROWS = 4_000  # rows that a part is meant for: more rows make more parts
 
 
 def _cut_tree(df: DataFrame, order: Column) -> Column:
-    """Approximate quantiles at 0/256 .. 256/256, flat and as a two-level search tree.
+    """Approximate quantiles at 0/256 .. 256/256, and the parts that each bucket is cut into.
 
     They only balance the buckets, so the sketch that every task sends is kept small.
     """
     shares = F.expr("array(" + ",".join(f"{i / _CUTS}D" for i in range(_CUTS + 1)) + ")")
     cuts = df.agg(F.percentile_approx(order.cast("double"), shares, 1024).alias("q"), F.count(order).alias("n"))
-    return cuts.selectExpr(
-        f"struct(q, greatest({_PARTS}L, n div {_CUTS * _PART_ROWS}L) as parts, transform(sequence(1, 15), i -> q[i * 16]) as top,"
-        " transform(sequence(0, 15), k -> transform(sequence(1, 15), i -> q[k * 16 + i])) as low) as t"
-    ).scalar()
+    return cuts.selectExpr(f"struct(q, greatest({_PARTS}L, n div {_CUTS * _PART_ROWS}L) as parts) as t").scalar()
 
 
 def _bucket(df: DataFrame, tree: str, value: str) -> DataFrame:
-    """A bucket number that grows with the value: 30 comparisons and one interpolation.
+    """A bucket number that grows with the value: 8 comparisons and one interpolation.
 
     Bucket k lies between quantiles k and k + 1 and is cut into equal-width parts.
     """
     v = f"cast(`{value}` as double)"
-    df = df.withColumn("_a", F.expr(f"size(filter({tree}.top, c -> c < {v}))"))
-    df = df.withColumn("_b", F.expr(f"_a * 16 + size(filter({tree}.low[_a], c -> c < {v}))"))
+    # A binary search, one plain expression a step: compiled, unlike a filter over the array.
+    df = df.withColumn("_b", F.lit(0))
+    step = _CUTS // 2
+    while step:
+        df = df.withColumn("_b", F.expr(f"_b + if({tree}.q[_b + {step}] < {v}, {step}, 0)"))
+        step //= 2
     part = F.expr(
         f"case when {tree}.q[_b + 1] > {tree}.q[_b] then"
         f" least(greatest(floor(({v} - {tree}.q[_b]) / ({tree}.q[_b + 1] - {tree}.q[_b]) * {tree}.parts), 0),"
@@ -50,7 +51,7 @@ def _bucket(df: DataFrame, tree: str, value: str) -> DataFrame:
     )
     # Never NULL, so that a join on it asks for no check of the input rows.
     number = F.coalesce(F.col("_b") * F.col(f"{tree}.parts") + part, F.lit(0))
-    return df.withColumn("_bucket", number).drop(tree, "_a", "_b")
+    return df.withColumn("_bucket", number).drop(tree, "_b")
 
 
 def balanced_buckets(df: DataFrame, order: str) -> DataFrame:
@@ -58,26 +59,47 @@ def balanced_buckets(df: DataFrame, order: str) -> DataFrame:
     return _bucket(df.withColumn("_tree", _cut_tree(df, F.col(order))), "_tree", order)
 
 
+def _plain_keys(df: DataFrame, by: list[str]) -> tuple[DataFrame, list[str]]:
+    """The groups as keys that are never NULL: plain equality keeps the partitioning
+    of a window, null-safe equality would shuffle and sort the rows once more."""
+    keys = [f"_key{i}" for i in range(len(by))]
+    for key, c in zip(keys, by):
+        text = F.concat(F.lit("="), F.col(f"`{c}`").cast("string"))
+        df = df.withColumn(key, F.coalesce(text, F.lit("null")))
+    return df, keys
+
+
+def counted_upto(df: DataFrame, by: list[str], order: str, weight: str) -> DataFrame:
+    """``df`` with ``upto``: the sum of ``weight`` over the rows of the group that are not beyond it in the order.
+
+    ``order`` holds no NULL. Rows stay as they are, so a row of weight 0 asks for the count at its place.
+    """
+    tagged, keys = _plain_keys(_bucket(df.withColumn("_tree", _cut_tree(df, F.col(order))), "_tree", order), by)
+    place = ["_bucket", *keys]  # the bucket first: sorts compare it before any text
+    inside = Window.partitionBy(*place).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = tagged.groupBy(*place).agg(F.sum(weight).alias("_sum"))
+    offsets = totals.select(*place, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
+    local = tagged.withColumn("_in", F.sum(weight).over(inside)).join(offsets, place)
+    return local.select(*df.columns, (F.col("_in") + F.col("_off")).alias("upto"))
+
+
 def running_totals(
-    df: DataFrame, by: list[str], order: str, sums: dict[str, Column], descending: bool = False
+    df: DataFrame, by: list[str], order: str, sums: dict[str, Column], descending: bool = False, grouped: bool = False
 ) -> DataFrame:
     """One row per (by, order) with each sum, its running total and its grand total.
 
     Adds ``<name>``, ``cum_<name>`` (inclusive) and ``all_<name>``. NULL order values
-    are left out.
+    are left out. ``grouped``: each (by, order) is one row already, and the sums are plain columns.
     """
     df = df.filter(F.col(order).isNotNull())
-    groups = df.groupBy(*by, order).agg(*[c.alias(n) for n, c in sums.items()])
+    values = [c.alias(n) for n, c in sums.items()]
+    groups = df.select(*by, order, *values) if grouped else df.groupBy(*by, order).agg(*values)
     # Cuts from the rows themselves: a pass over one column instead of a second grouping.
     tagged = _bucket(groups.withColumn("_tree", _cut_tree(df, F.col(order))), "_tree", order)
 
-    # The groups as keys that are never NULL: plain equality below keeps the partitioning
-    # of the window, null-safe equality would shuffle and sort the rows once more.
-    keys = [f"_key{i}" for i in range(len(by))]
-    for key, c in zip(keys, by):
-        text = F.concat(F.lit("="), F.col(f"`{c}`").cast("string"))
-        tagged = tagged.withColumn(key, F.coalesce(text, F.lit("null")))
-    place = [*keys, "_bucket"]
+    tagged, keys = _plain_keys(tagged, by)
+    place = ["_bucket", *keys]  # the bucket first: sorts compare it before any text
 
     def toward(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()

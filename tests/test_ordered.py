@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabml.functions import ordered
 from tabml.functions.ordered import class_sizes, digest_levels, exact_quantiles, rank_cuts, running_totals
 
 
@@ -63,3 +64,18 @@ def test_rank_cuts_at_every_depth(spark, last_bucket):
 def test_too_many_classes(spark):
     with pytest.raises(ValueError):
         class_sizes(spark.range(50), F.col("id"), 20)
+
+
+def test_counted_upto(spark):
+    """Each row's count of weights not beyond it, wherever the buckets are cut; groups that are NULL too."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([7, rng.randint(-500, 500)]), rng.randint(0, 3), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v long, w long, i int").repartition(5)
+    got = {r["i"]: r["upto"] for r in ordered.counted_upto(df, ["g"], "v", "w").collect()}
+    assert got == {i: sum(w2 for g2, v2, w2, _ in rows if g2 == g and v2 <= v) for g, v, _, i in rows}
+
+
+def test_grouped_totals_are_not_grouped_again(spark):
+    df = spark.range(2000).select((F.col("id") % 2).alias("g"), (F.col("id") * 7 % 2003).alias("v"), F.lit(2).alias("n"))
+    plain = ordered.running_totals(df, ["g"], "v", {"n": F.sum("n")})
+    assert plain.exceptAll(ordered.running_totals(df, ["g"], "v", {"n": F.col("n")}, grouped=True).select(*plain.columns)).count() == 0
