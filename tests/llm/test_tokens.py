@@ -119,3 +119,13 @@ def test_open_windows_are_bounded():
     more, last = packer.close()
     assert sum(w.size for w in [*full, *more, last]) == sizes.sum()
     assert all(90 < w.size <= 100 for w in full) and all(w.size == 100 for w in more)
+
+
+def test_stops_stay_with_their_word():
+    """A word with a comma or full stop is one chunk, with the library's ids."""
+    from tabml.llm.encoding import Encoder
+
+    enc = Encoder(public_tokenizers.path("word_bpe_49k.json"), drops_space=True)
+    text = "Some words, and more. Numbers 1, 2. End."
+    assert enc.encode(text) == enc._encoded([text])[0]
+    assert "words," in enc.rest.young
