@@ -1,3 +1,4 @@
+import datetime
 import math
 
 import pytest
@@ -228,3 +229,15 @@ def test_text_weights_with_kept_columns(spark):
     df = spark.createDataFrame(rows, "id int, t string, l string")
     got = sorted((r["id"], r["l"], r["term"], r["tf"], r["docs"]) for r in extras.text_weights(df, "id", "t", ("l",)).collect())
     assert got == [(1, "x", "a", 2, 1), (1, "x", "b", 1, 2), (2, "y", "b", 2, 2), (2, "y", "c", 1, 2), (2, "z", "b", 2, 2), (2, "z", "c", 1, 2)]
+
+
+def test_card_reads_its_profile_once_and_tells_values_apart(spark):
+    """Zeros of both signs, texts around the length that is kept whole, days; the card reads the written profile."""
+    long = "x" * 60
+    rows = [(0.0, "1", datetime.date(1970, 1, 1), True, long), (-0.0, "1.0", datetime.date(1970, 1, 2), False, long + "y"), (0.0, "0", None, None, None)]
+    df = spark.createDataFrame(rows, "f double, s string, d date, b boolean, t string").withColumn("y", F.lit(1))
+    got = {r["column"]: (r["n_unique"], r["zero_one"]) for r in profile.distinct_counts(df, df.columns).collect()}
+    assert got == {"f": (2, True), "s": (3, True), "d": (2, True), "b": (2, True), "t": (2, True), "y": (1, True)}
+    card = profile.data_card(df, profile.ProfileOptions(target="y"))
+    assert "zero_one" not in card._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["column"]: r["n_unique"] for r in card.collect()} == {c: n for c, (n, _) in got.items()}
