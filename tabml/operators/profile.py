@@ -328,10 +328,10 @@ def correlations(df: DataFrame, columns: list[str], target: str) -> DataFrame:
     )
 
 
-def _rank_cells(pairs: DataFrame, bins: int) -> DataFrame:
+def _rank_cells(pairs: DataFrame, bins: int, rows: Column) -> DataFrame:
     """(column, value, cell) for the distinct values of each column: ``bins`` groups of about
-    equal size by rank, equal values staying together."""
-    cum = running_totals(pairs, ["column"], "value", {"n": F.count(F.lit(1))})
+    equal size by rank, equal values staying together. ``rows`` sums the rows that the pairs stand for."""
+    cum = running_totals(pairs, ["column"], "value", {"n": rows})
     cell = F.floor((F.col("cum_n") - F.col("n")) * bins / F.col("all_n")).cast("string")
     return cum.select("column", "value", cell.alias("cell"))
 
@@ -349,7 +349,7 @@ def mutual_information(
     if str(task or "").startswith("regress"):
         known = known.withColumn("_t", F.col(target).cast("double")).filter(~F.isnan("_t"))
         own = known.select(F.lit(target).alias("column"), F.col("_t").alias("value"))
-        cells = _rank_cells(own, bins).select(F.col("value").alias("_t"), F.col("cell").alias("_y"))
+        cells = _rank_cells(own, bins, F.count(F.lit(1))).select(F.col("value").alias("_t"), F.col("cell").alias("_y"))
         known = known.join(cells, "_t")
     else:
         known = known.withColumn("_y", F.col(target).cast("string"))
@@ -366,7 +366,6 @@ def mutual_information(
             .agg(F.count(F.lit(1)).alias("n"))
         )
     if numeric:
-        values = unpivoted(known, numeric).filter("value is not null and not isnan(value)")
         pairs = [
             F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
             for c in numeric
@@ -378,8 +377,9 @@ def mutual_information(
             .groupBy("column", "value", "_y")
             .agg(F.count(F.lit(1)).alias("n"))
         )
+        counts = staged(counts, "value-counts")  # read for the ranks and for the cells
         tables.append(
-            counts.join(_rank_cells(values, bins), ["column", "value"])
+            counts.join(_rank_cells(counts, bins, F.sum("n")), ["column", "value"])
             .groupBy("column", "cell", "_y")
             .agg(F.sum("n").alias("n"))
         )
