@@ -8,9 +8,9 @@ emitted as they are. At its end a partition merges its open windows into full on
 and one window that is not full stays; those leftovers are merged across partitions,
 ``FAN_IN`` at a time, level by level, until a single one remains, which is padded.
 
-A task holds ``open_windows`` windows and one batch of texts, whatever the size of the
-partition. The level results are written tables, so a lost executor repeats tasks of one
-level only. Ids are little-endian unsigned 32-bit numbers.
+A task holds ``open_windows`` windows, one batch of texts and the ids of about a megabyte
+of them, whatever the size of the partition. The level results are written tables, so a
+lost executor repeats tasks of one level only. Ids are little-endian unsigned 32-bit numbers.
 
 Results for odd input: NULL and empty texts are just their end id; repeated rows, or rows
 with the same or a NULL key, are packed as texts of their own; an empty table gives no
@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from tabml.llm.encoding import encoder
 from tabml.llm.frames import in_batches
-from tabml.llm.tokens import slices
+from tabml.llm.text import blocks, utf8
 from tabml.session import staged
 
 FAN_IN = 256
@@ -165,9 +165,10 @@ def packed(
         for batch in batches:
             key_type = batch.column("key").type
             keys = iter(batch.column("key").to_pylist())
-            for texts in slices(batch.column("text")):
-                for t in texts:
-                    ids = enc.encode(t or "") + end
+            column = batch.column("text")
+            for i, j, *_ in blocks(*utf8(column)):
+                for body in enc.encode_all([t or "" for t in column.slice(i, j - i).to_pylist()]):
+                    ids = body + end
                     for window in packer.add((next(keys), 0, ids, len(ids) // 4)):
                         out += _rows(window, part * _PART + made, None)
                         made += 1

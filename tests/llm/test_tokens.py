@@ -129,3 +129,28 @@ def test_stops_stay_with_their_word():
     text = "Some words, and more. Numbers 1, 2. End."
     assert enc.encode(text) == enc._encoded([text])[0]
     assert "words," in enc.rest.young
+
+
+def test_blocks_of_texts_equal_the_library():
+    enc = encoding.Encoder(WORD, drops_space=True)
+    more = [*ALPHABET, "$$$", "_", "'", "'ll", "J", "̌", "ª", "µ", "À", "×", "<|", "|", "&&&", "<|ENDOFTEXT|>", "\xa0", "\x0b", "\x85"]
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(st.lists(st.sampled_from(more), max_size=10).map("".join), max_size=6))
+    def check(texts):
+        assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode_all(texts)] == library(WORD, texts)
+
+    check()
+
+
+def test_a_block_looks_up_each_chunk_once(monkeypatch):
+    """Twenty texts of 4,000 words with five distinct chunks: five are looked up, and none needs the whole library."""
+    enc, seen, whole = encoding.Encoder(WORD, drops_space=True), [], []
+    fill = enc._fill
+    monkeypatch.setattr(enc, "_fill", lambda words, *rest: seen.append(len(words)) or fill(words, *rest))
+    texts = ["Some words, zzqxj&&& | über. " * 800 + str(i) for i in range(20)]
+    expected = library(WORD, texts)
+    encoded = enc._encoded
+    monkeypatch.setattr(enc, "_encoded", lambda words: whole.extend(words) or encoded(words))
+    assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode_all(texts)] == expected
+    assert seen == [25] and sorted(whole) == sorted(str(i) for i in range(20))
