@@ -50,7 +50,8 @@ def paragraphs(text: Column) -> Column:
     found = F.when(F.char_length(text) <= _SHORT, F.regexp_extract_all(text, F.lit(fine), F.lit(0))).otherwise(
         F.regexp_extract_all(text, F.lit(coarse), F.lit(0))
     )
-    found = F.filter(F.transform(found, F.rtrim), lambda p: p != "")
+    # Not ``F.rtrim`` itself: it takes a second argument, which would be the place in the list.
+    found = F.filter(F.transform(found, lambda p: F.rtrim(p)), lambda p: p != "")
     return F.array_distinct(F.transform(found, lambda p: F.xxhash64(p)))
 
 

@@ -142,3 +142,11 @@ def test_short_lines_keep_a_likeness(spark):
     rows = [(i, " ".join(word() for _ in range(40))) for i in range(60)]
     near = [r["near_edited"] for r in sketch.versions(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert sum(near) / len(near) > 0.3
+
+
+def test_only_white_space_is_trimmed(spark):
+    """The first paragraph keeps a 0 at its end, the second a 1; spaces go."""
+    texts = ["text 30\nmore 21", "text 3\nmore 2", "text 30 \nmore 21  "]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    found = dict(df.select("i", sketch.paragraphs(F.col("text"))).collect())
+    assert not set(found[0]) & set(found[1]) and found[0] == found[2]
