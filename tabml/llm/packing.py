@@ -184,7 +184,7 @@ def packed(
             yield batch_of(out)
 
     tables, level = [], 0
-    pieces = staged(in_batches(rows, pack, schema), "packed")
+    pieces = staged(in_batches(rows, pack, schema, keeps=True), "packed")
     while True:
         tables.append(pieces.filter(F.col("left_by").isNull()))
         left = pieces.filter(F.col("left_by").isNotNull())

@@ -9,7 +9,7 @@ other than space, tab, line feed, vertical tab, form feed and carriage return.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +33,24 @@ def release() -> None:
         trim(0)
 
 
-def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches; when they end, freed memory goes back to the system, as workers live on."""
-    yield from batches
+kept: dict = {}  # what this worker keeps for later tasks that ask for it
+
+
+def _trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; before each next one, what the work on the one before freed goes back to the system."""
+    for batch in batches:
+        yield batch
+        del batch
+        release()
+
+
+def released(work: Callable, batches: Iterator[pa.RecordBatch], keeps: bool) -> Iterator[pa.RecordBatch]:
+    """``work(batches)`` in a worker that lives on: freed memory goes back to the system batch by batch and
+    at the end, and unless it ``keeps`` them, what tasks of another kind left in the worker goes first."""
+    if not keeps and kept:
+        kept.clear()
+        release()
+    yield from work(_trimmed(batches))
     release()
 
 

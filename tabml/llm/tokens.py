@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabml.llm.encoding import digest_of, encoder
-from tabml.llm.frames import in_batches
+from tabml.llm.frames import empty_table, in_batches
 from tabml.session import new_path, staged
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
@@ -45,7 +45,7 @@ def stored(spark: SparkSession, cache: str) -> DataFrame:
     try:
         rows = spark.read.schema(CACHE_SCHEMA).parquet(cache)
     except (AnalysisException, Py4JJavaError):
-        rows = spark.createDataFrame([], CACHE_SCHEMA)
+        rows = empty_table(spark, CACHE_SCHEMA)
     return rows.groupBy("content", "tokenizer").agg(F.max("n_tokens").alias("n_tokens"))
 
 
@@ -90,7 +90,7 @@ def token_counts(
             )
 
     texts = rows.select("content", "row", "text").join(missing, ["content", "row"], "left_semi")
-    new = in_batches(texts.select("content", "text"), counted, "content binary, n_tokens long").distinct()
+    new = in_batches(texts.select("content", "text"), counted, "content binary, n_tokens long", keeps=True).distinct()
     new.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
 
     now = stored(spark, cache).filter(F.col("tokenizer") == version).select("content", "n_tokens")
