@@ -11,6 +11,9 @@ from their box than the k-th can be are not compared with each of them.
 
 Distances are Euclidean, each column divided by its scale, and rounded to ten digits of their square; ties go
 to the smaller place. Rows whose point has a NULL or NaN are no neighbours and have none.
+
+Places are texts and long, so on the way they are numbers in the same order; equal places have one number. What a step
+has written or shuffled is removed once the next step is written.
 """
 
 from __future__ import annotations
@@ -20,20 +23,38 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabml.session import staged
+from tabml.session import let_go, new_path, removed, staged
 
 CELL_ROWS = 1_000
 MOST_CELLS = 16_384
 SAMPLE_PER_CELL = 32
 VISITS = 20_000
 ALIKE = 64  # visitors that lie together and look at the same points of a cell
-_NEAR = "array<struct<d2:double,place:string,at:array<double>,load:string>>"
+_NEAR = "array<struct<d2:double,place:long,at:array<double>,load:string>>"
+_HELD = "array<struct<place:long,load:string>>"
 DIGITS = 10
 
 
+class Tables:
+    """Written tables of one search; those that nothing reads any more are removed, and shuffle files with them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, {}
+
+    def put(self, name: str, rows: DataFrame) -> DataFrame:
+        self.path[name] = new_path(self.spark, name)
+        rows.write.parquet(self.path[name])
+        let_go(self.spark)
+        return self.spark.read.parquet(self.path[name])
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            removed(self.spark, self.path.pop(name))
+
+
 class Cells:
     """A k-d tree: inner nodes cut one column, leaves are cells."""
 
@@ -93,7 +114,7 @@ def _points(column: pa.Array, width: int) -> np.ndarray:
 
 def _answers(asks: pa.Table, hosts: pa.Table, k: int, scale: np.ndarray) -> pa.Table:
     """The ``k`` + 1 nearest candidates of one cell for every visitor, within its reach."""
-    kind = pa.struct([("d2", pa.float64()), ("place", pa.string()), ("at", pa.list_(pa.float64())), ("load", pa.string())])
+    kind = pa.struct([("d2", pa.float64()), ("place", pa.int64()), ("at", pa.list_(pa.float64())), ("load", pa.string())])
     schema = pa.schema([("pid", pa.int64()), ("near", pa.list_(kind))])
     if not len(asks) or not len(hosts):
         return schema.empty_table()
@@ -101,9 +122,8 @@ def _answers(asks: pa.Table, hosts: pa.Table, k: int, scale: np.ndarray) -> pa.T
     queries, points = _points(asks.column("at").combine_chunks(), len(scale)), _points(places, len(scale))
     held = hosts.column("held").combine_chunks()
     sizes, rows = pc.list_value_length(held).to_numpy(zero_copy_only=False).astype(np.int64), held.flatten()
-    names, loads = rows.field("place").cast(pa.string()), rows.field("load").cast(pa.string())
-    rank = np.empty(len(names), np.int64)
-    rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+    names, loads = rows.field("place"), rows.field("load").cast(pa.string())
+    rank = names.to_numpy()
     starts = np.cumsum(sizes) - sizes
     most = min(k, len(points) - 1)
     out = []
@@ -147,23 +167,30 @@ def _answers(asks: pa.Table, hosts: pa.Table, k: int, scale: np.ndarray) -> pa.T
     return pa.concat_tables(out) if out else schema.empty_table()
 
 
-def nearest(rows: DataFrame, place: Column, columns: list[str], load: Column, k: int, scales: dict[str, float]) -> DataFrame:
+def nearest(
+    rows: DataFrame, place: Column, columns: list[str], load: Column, k: int, scales: dict[str, float], named: bool = True
+) -> DataFrame:
     """``rows`` with ``near``: the ``k`` nearest other rows as (d2, place, at, load), nearest first.
 
-    ``place`` is a text that identifies the row, ``load`` a text that neighbours bring along.
+    ``place`` is a text that identifies the row, ``load`` a text that neighbours bring along. Without ``named``, the
+    places of neighbours stay numbers, which saves a join.
     """
     scale = np.array([scales[c] or 1.0 for c in columns])
     width = len(columns)
     entries = [F.col(f"`{c}`").cast("double") + F.lit(0.0) for c in columns]  # -0.0 becomes 0.0
     given = rows.withColumns({"_place": place, "_load": load.cast("string"), "_at": F.array(*entries)})
     whole = F.forall("_at", lambda c: c.isNotNull() & ~F.isnan(c))
-    given = staged(given, "points")
-    first = Window.partitionBy("_at").orderBy("_place")
-    kept = given.filter(whole).select("_at", "_place", "_load", F.row_number().over(first).alias("_n")).filter(F.col("_n") <= k + 1)
+    tables = Tables(rows.sparkSession)
+    # Ranges of places lie in order, so that the window needs no other exchange.
+    given = given.repartitionByRange("_place").sortWithinPartitions("_place").withColumn("_first", F.monotonically_increasing_id())
+    given = given.withColumn("_no", F.min("_first").over(Window.partitionBy("_place"))).drop("_first")
+    given = tables.put("points", given)
+    first = Window.partitionBy("_at").orderBy("_no")
+    kept = given.filter(whole).select("_at", "_no", "_load", F.row_number().over(first).alias("_n")).filter(F.col("_n") <= k + 1)
     points = kept.groupBy("_at").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_place").alias("place"), F.col("_load").alias("load")))).alias("held")
+        F.sort_array(F.collect_list(F.struct(F.col("_no").alias("place"), F.col("_load").alias("load")))).alias("held")
     )
-    points = staged(points.select(F.monotonically_increasing_id().alias("pid"), F.col("_at").alias("at"), "held"), "distinct-points")
+    points = tables.put("distinct-points", points.select(F.monotonically_increasing_id().alias("pid"), F.col("_at").alias("at"), "held"))
     n = points.count()
     cells = min(MOST_CELLS, max(1, n // CELL_ROWS))
     share = min(1.0, cells * SAMPLE_PER_CELL / max(n, 1))
@@ -176,7 +203,8 @@ def nearest(rows: DataFrame, place: Column, columns: list[str], load: Column, k:
             found = tree.of(_points(batch.column("at"), width) / scale)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=["pid", "at", "held", "cell"])
 
-    points = staged(points.mapInArrow(dealt, "pid long, at array<double>, held array<struct<place:string,load:string>>, cell long"), "cells")
+    points = tables.put("cells", points.mapInArrow(dealt, f"pid long, at array<double>, held {_HELD}, cell long"))
+    tables.drop("distinct-points")
     ends = [f(F.get("at", F.lit(c))).alias(f"{name}{c}") for c in range(width) for name, f in (("low", F.min), ("high", F.max))]
     # One row a cell, MOST_CELLS of them at most.
     boxes = points.groupBy("cell").agg(*ends).collect()
@@ -186,9 +214,9 @@ def nearest(rows: DataFrame, place: Column, columns: list[str], load: Column, k:
         high[b["cell"]] = [b[f"high{c}"] / scale[c] for c in range(width)]
     lows, highs = tree.boxed(low, high)
 
-    def answered(asks: DataFrame) -> DataFrame:
+    def answered(asks: DataFrame, name: str) -> DataFrame:
         many = asks.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / VISITS).alias("copies"))
-        many = F.broadcast(staged(many, "visits"))  # one row a cell
+        many = F.broadcast(tables.put(f"{name}-copies", many))  # one row a cell
         chunk = F.pmod(F.xxhash64("pid"), F.col("copies")).alias("chunk")
         visitors = asks.join(many, "cell").select(F.col("pid").alias("pid"), F.col("at").alias("at"), F.col("reach").alias("reach"), F.col("cell").alias("to"), chunk)
         copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("part")
@@ -197,7 +225,7 @@ def nearest(rows: DataFrame, place: Column, columns: list[str], load: Column, k:
             lambda a, b: _answers(a, b, k, scale), f"pid long, near {_NEAR}"
         )
 
-    own = staged(answered(points.select("pid", "at", "cell", F.lit(float("inf")).alias("reach"))), "own-cell")
+    own = tables.put("own-cell", answered(points.select("pid", "at", "cell", F.lit(float("inf")).alias("reach")), "own"))
     reach = F.when(F.size("near") > k, F.element_at("near", -1)["d2"]).otherwise(F.lit(float("inf"))).alias("reach")
     asking = own.select("pid", reach).join(points.select("pid", "at", "cell"), "pid").select("pid", "at", "cell", "reach")
 
@@ -222,13 +250,28 @@ def nearest(rows: DataFrame, place: Column, columns: list[str], load: Column, k:
                     cell = pa.array(np.full(len(active), tree.cell[node]))
                     yield pa.RecordBatch.from_arrays([batch.column(c).take(take) for c in ("pid", "at", "reach")] + [cell], names=["pid", "at", "reach", "cell"])
 
-    asks = staged(asking.mapInArrow(further, "pid long, at array<double>, reach double, cell long"), "visits")
-    found = own.unionByName(answered(asks)).groupBy("pid").agg(F.flatten(F.collect_list("near")).alias("all"))
+    asks = tables.put("visits", asking.mapInArrow(further, "pid long, at array<double>, reach double, cell long"))
+    found = own.unionByName(answered(asks, "further")).groupBy("pid").agg(F.flatten(F.collect_list("near")).alias("all"))
     best = found.select("pid", F.slice(F.sort_array("all"), 1, k + 1).alias("all")).join(points.select("pid", "at"), "pid")
-    joined = given.join(best.select(F.col("at").alias("_at"), "all"), "_at", "left")
-    others = F.slice(F.filter("all", lambda x: x["place"] != F.col("_place")), 1, k)
+    best = tables.put("best", best.select(F.col("at").alias("_at"), "all"))
+    tables.drop("own-cell", "visits", "cells", "own-copies", "further-copies")
+    joined = given.join(best, "_at", "left")
+    others = F.slice(F.filter("all", lambda x: x["place"] != F.col("_no")), 1, k)
     near = F.when(whole, F.coalesce(others, F.array().cast(_NEAR))).otherwise(F.array().cast(_NEAR))
-    return joined.withColumn("near", near).drop("all", "_at", "_load")
+    joined = joined.withColumn("near", near).drop("all", "_at", "_load")
+    return (_named(joined, given) if named else joined).drop("_no")
+
+
+def _named(joined: DataFrame, given: DataFrame) -> DataFrame:
+    """The places of neighbours as the texts that they were given as."""
+    joined = joined.withColumn("_row", F.monotonically_increasing_id())
+    joined = staged(joined, "numbered-neighbours")
+    texts = given.select(F.col("_no").alias("_number"), F.col("_place").alias("_text")).distinct()
+    each = joined.select("_row", F.posexplode("near").alias("_at", "_n")).join(texts, F.col("_n.place") == F.col("_number"))
+    entry = F.struct("_at", F.struct("_n.d2", F.col("_text").alias("place"), F.col("_n.at").alias("at"), "_n.load").alias("n"))
+    near = each.groupBy("_row").agg(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["n"]).alias("near"))
+    empty = F.array().cast("array<struct<d2:double,place:string,at:array<double>,load:string>>")
+    return joined.drop("near").join(near, "_row", "left").withColumn("near", F.coalesce("near", empty)).drop("_row")
 
 
 def spreads(rows: DataFrame, columns: list[str]) -> dict[str, float]:

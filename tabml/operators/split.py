@@ -235,13 +235,14 @@ def synthetic_rows(
     if not sizes:
         return df.select(*columns, label, F.lit(1).alias("copy"))
     rare = min(sizes, key=lambda v: (sizes[v], str(v)))
-    few = staged(df.filter(F.col(label).eqNullSafe(F.lit(rare))).dropna(subset=columns), "rare-class")
+    few = df.filter(F.col(label).eqNullSafe(F.lit(rare))).dropna(subset=columns)
+    few = staged(few.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*key, *columns, label])]), "rare-class")
     n = few.count()
     missing = max(round(max(sizes.values()) * ratio) - sizes[rare], 0)
     times, extra = divmod(missing, max(n, 1))
     cut = _cuts(few, F.lit(1), key, seed, [(1, extra)]).get((1, extra), "")
     copies = F.lit(times) + (F.col("_place") <= F.lit(cut)).cast("int")
-    found = nearest(few, order_text(key, seed), columns, F.lit(None), neighbours, spreads(few, columns))
+    found = nearest(few, order_text(key, seed), columns, F.lit(None), neighbours, spreads(few, columns), named=False)
     found = found.withColumn("_copies", copies).filter("_copies > 0")
     found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     number = F.col("copy").cast("string")
@@ -265,6 +266,6 @@ def cleaned(
     is a class.
     """
     own = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("null"))
-    found = nearest(df, order_text(key, seed), columns, own, neighbours, spreads(df.dropna(subset=columns), columns))
+    found = nearest(df, order_text(key, seed), columns, own, neighbours, spreads(df.dropna(subset=columns), columns), named=False)
     against = F.size(F.filter("near", lambda x: x["load"] != own))
     return found.filter(2 * against <= F.size("near")).select(*[F.col(f"`{c}`") for c in df.columns])

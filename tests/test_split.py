@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabml.operators import cohort, neighbours, split
+from tabml.session import work_dir
 
 
 def counts(df, *by):
@@ -213,3 +214,27 @@ def test_nearest_of_visitors_that_lie_together(spark, monkeypatch, alike):
     rows = spark.createDataFrame([(p, *at, load) for p, at, load in points], "place string, c0 double, c1 double, load string")
     found = neighbours.nearest(rows, F.col("place"), ["c0", "c1"], F.col("load"), 3, {"c0": 0.5, "c1": 2.0}).collect()
     assert {r["place"]: [(n["place"], n["load"]) for n in r["near"]] for r in found} == _by_hand(points, 3, [0.5, 2.0])
+
+
+def test_a_search_removes_the_tables_of_its_steps(spark):
+    """What stays is what the result reads; places of neighbours are numbers in the order of the texts, one for equal ones."""
+    rows = spark.range(400).select(
+        F.format_string("%04d", F.col("id") % 300).alias("place"), (F.col("id") % 37).cast("double").alias("c0"), F.lit(None).cast("string").alias("load")
+    )
+    folder = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def tables():
+        return {f.getPath().getName() for f in files.listStatus(folder)}
+
+    before = tables()
+    found = neighbours.nearest(rows, F.col("place"), ["c0"], F.col("load"), 3, {"c0": 1.0}, named=False)
+    assert sorted(t.split("-")[0] for t in tables() - before) == ["best", "points"]
+    got = {(r["id"], r["place"]): [n["place"] for n in r["near"]] for r in found.withColumn("id", F.monotonically_increasing_id()).collect()}
+    named = neighbours.nearest(rows, F.col("place"), ["c0"], F.col("load"), 3, {"c0": 1.0})
+    texts = {(r["place"], tuple(n["place"] for n in r["near"])) for r in named.collect()}
+    numbers = sorted({n for near in got.values() for n in near})
+    names = sorted({n for _, near in texts for n in near})
+    assert len(got) == 400 and len(numbers) == len(names)
+    say = dict(zip(numbers, names))
+    assert {(place, tuple(say[n] for n in near)) for (_, place), near in got.items()} == texts
