@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tabml.operators import labels, models, registry, score, tune
 from tabml.operators.features import FeaturePlan
 from tabml.plans import rules
-from tabml.session import ADVISORY, new_path, small_tasks
+from tabml.session import ADVISORY, new_path, small_tasks, work_dir
 
 
 @pytest.fixture(scope="module")
@@ -305,3 +305,20 @@ def test_tasks_are_small_unless_the_session_says(spark):
     own.conf.set(ADVISORY, "32m")
     small_tasks(own)
     assert own.conf.get(ADVISORY) == "32m"
+
+
+def test_splits_leave_no_copy_of_the_feature_rows(spark, sf):
+    """Once the splits are written, the rows that they were dealt from are removed; the fits need none but the splits."""
+    from catalog import models as queries
+
+    folder = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def tables():
+        return {f.getPath().getName() for f in files.listStatus(folder)}
+
+    before = tables()
+    found = queries._splits(spark, sf)
+    kinds = {t.split("-")[0] for t in tables() - before}
+    assert "splits" in kinds and "features" not in kinds
+    assert all(found[s].count() > 0 for s in ("train", "val", "test"))
